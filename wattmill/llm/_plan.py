@@ -118,5 +118,5 @@ def connected_components(edges: DataFrame, shared: Shared, max_rounds: int = 60)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     tree = now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
-    roots = tree.select(F.col("component").alias("node")).distinct().join(tree, "node", "left_anti")
+    roots = tree.select(F.col("component").alias("node")).distinct()  # settled: no root is a member of another star
     return tree.unionByName(roots.withColumn("component", F.col("node")))

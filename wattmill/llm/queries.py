@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, media, packing, sharding
+from . import bpe, media, ngram_join, packing, sharding, substring
 
 
 def _vocabulary(name: str) -> str:
@@ -19,6 +20,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_table(spark, sf_dir, "documents"), 5, 80)
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.dedup(_table(spark, sf_dir, "documents"), 13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
 
@@ -37,7 +47,30 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_byte_bpe, op8_jump_sharding, op9_media_columns, op10_packing)
+    f.__name__: f for f in (op1_ngram_jaccard, op4_substring_dedup, op7_byte_bpe, op8_jump_sharding, op9_media_columns, op10_packing)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_substring_dedup": r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(ws[i:i+12], ' ') AS seq
+  FROM w, unnest(generate_series(1, len(ws) - 12)) AS g(i) WHERE len(ws) >= 13
+), firsts AS (
+  SELECT seq, min(doc_id) AS lo FROM win GROUP BY seq
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS pos FROM win JOIN firsts USING (seq), generate_series(0, 12) AS g(k) WHERE lo < doc_id
+), words AS (
+  SELECT doc_id, pos, ws[pos] AS word FROM w, unnest(generate_series(1, len(ws))) AS g(pos)
+), marked AS (
+  SELECT words.doc_id, words.pos, word, gone.pos IS NOT NULL AS out FROM words LEFT JOIN gone USING (doc_id, pos)
+), per AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE out) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT out), '') AS kept
+  FROM marked GROUP BY doc_id
+)
+SELECT documents.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN per USING (doc_id)
+""",
+}
