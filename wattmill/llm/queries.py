@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, media, ngram_join, packing, sharding, substring
+from . import bpe, media, ngram_join, packing, sharding, substring, suffix_dedup
 
 
 def _vocabulary(name: str) -> str:
@@ -24,6 +24,12 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents"), 5, 80)
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup(_table(spark, sf_dir, "documents"), 100)
+    runs = (F.size("spans") / 2).cast("long").alias("n_spans")
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), runs, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.dedup(_table(spark, sf_dir, "documents"), 13)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -47,7 +53,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op4_substring_dedup, op7_byte_bpe, op8_jump_sharding, op9_media_columns, op10_packing)
+    f.__name__: f for f in (op1_ngram_jaccard, op3_suffix_array, op4_substring_dedup, op7_byte_bpe, op8_jump_sharding, op9_media_columns, op10_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {
