@@ -162,8 +162,14 @@ def _windows(table: pa.Table, length: int):
 
 def _level_one(table: pa.Table, skip: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     keys = [np.empty(0, _U)]
-    for *_, row, least, new in _windows(table, length):
-        keys.append(least[new][~skip[row[new]]])
+    for _, _, _, grams, place, row, least, new in _windows(table, length):
+        mine = ~skip[row[new]]
+        keys.append(least[new][mine])
+        if len(place):  # a gram at a window's very start that is the next one's least as well has a second place
+            again = grams[place] == least
+            again[:-1] &= (least[1:] == least[:-1]) & (row[1:] == row[:-1])
+            again[-1] = False
+            keys.append(least[new][mine & np.logical_or.reduceat(again, new)])
     keys = np.concatenate(keys)
     keys, _, several = repeated_keys(keys, np.arange(len(keys)))
     return keys, several
