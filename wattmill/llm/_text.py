@@ -32,11 +32,11 @@ def lower(buf: np.ndarray) -> np.ndarray:
     return _LOWER[buf]
 
 
-def words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end of every word, number of words before each text and in all)."""
+def words(buf: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end of every word, number of words before each text and in all); `blank` marks the bytes between words."""
     if not len(buf):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offsets), np.int64)
-    full = ~_BLANK[buf]
+    full = ~blank[buf]
     cut = np.zeros(len(buf) + 1, bool)
     cut[offsets] = True
     start = full.copy()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, media, ngram_join, packing, sharding, substring, suffix_dedup
+from . import bpe, media, ngram_join, packing, pii, sharding, substring, suffix_dedup, topk, toxicity
 
 
 def _vocabulary(name: str) -> str:
@@ -24,6 +24,15 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents"), 5, 80)
 
 
+TOXIC_AT = 0.6
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.grade(docs, model, TOXIC_AT).select("doc_id", "severity", "expected_severity", "toxic")
+
+
 def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.dedup(_table(spark, sf_dir, "documents"), 100)
     runs = (F.size("spans") / 2).cast("long").alias("n_spans")
@@ -35,6 +44,17 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", topk.quantise(F.col("embedding"), 256.0).alias("weights"))
+    return topk.search(rows.filter("vec_id % 50 = 0"), rows, 5)
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.extract(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    count = [pii.count(F.col("base_spans"), k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *count, F.sha2(pii.spell(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"), pii.spell(F.col("spans")).alias("spans"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
 
@@ -53,10 +73,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op3_suffix_array, op4_substring_dedup, op7_byte_bpe, op8_jump_sharding, op9_media_columns, op10_packing)
+    f.__name__: f for f in (op1_ngram_jaccard, op2_toxicity, op3_suffix_array, op4_substring_dedup, op5_topk, op6_pii, op7_byte_bpe, op8_jump_sharding, op9_media_columns, op10_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_topk": """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, r.vec_id, CAST(list_sum([z[1] * z[2] FOR z IN list_zip(q.w, r.w)]) AS BIGINT) AS score
+  FROM v q JOIN v r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+""",
     "op4_substring_dedup": r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
