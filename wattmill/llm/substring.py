@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import _exchange as X
 from ._text import inside, repeated_keys, slice_hashes, table_batches, windows, words
@@ -70,20 +71,21 @@ def _level_two(table: pa.Table, replies: pa.Table, length: int, n: int):
     return keys, least
 
 
-def dedup(df: DataFrame, length: int = 13, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_removed, kept): `kept` has the words left, joined by one space.
+def dedup(df: DataFrame, length: int = 13, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept, *carry): `kept` has the words left, joined by one space.
 
     A word goes if a window of `length` words that covers it also starts in a document with a
     smaller id. Words are runs of bytes other than ASCII white space. A null text has no words and
     gives an empty `kept`; a null id counts as the least; rows that share an id aren't smaller than
-    one another, so none removes the other's words. An empty table gives none; other columns aren't
-    read. Windows are compared by 64-bit hashes of their words. Memory goes by chunks of about
+    one another, so none removes the other's words. An empty table gives none; of other
+    columns only those named in `carry` are read. Windows are compared by 64-bit hashes of their words. Memory goes by chunks of about
     4 MB of stored input; whole texts are hashed a megabyte at a time.
     """
     if length < 2:
         raise ValueError("length must be at least 2")
     n = X.ways(df)
-    docs = X.chunked(df, n, key, text)
+    docs = X.chunked(df, n, key, text, *carry)
+    extra = "".join(f", `{c}` {df.schema[c].dataType.simpleString()}" for c in carry)
 
     def halves(table: pa.Table) -> pa.Table:
         keys, _, several = _level_one(table, length)
@@ -115,10 +117,9 @@ def dedup(df: DataFrame, length: int = 13, key: str = "doc_id", text: str = "tex
                 if less:
                     parts = [w for w, x in zip(parts, gone[at[i] : at[i + 1]].tolist(), strict=True) if not x]
                 kept.append(b" ".join(parts))
-        return pa.table({"doc_id": table["doc_id"], "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept": pa.array(kept, pa.binary()).cast(pa.string())})
-
-    from pyspark.sql import functions as F
+        own = {"doc_id": table["doc_id"], "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept": pa.array(kept, pa.binary()).cast(pa.string())}
+        return pa.table(own | {c: table[c] for c in carry})
 
     one = X.ask(docs, halves, X.in_several).withColumn("level", F.lit(1))
     two = X.ask(docs, fulls, X.elsewhere_first, one).withColumn("level", F.lit(2))
-    return X.tell(docs, one.unionByName(two), cut, "doc_id long, n_words long, n_removed long, kept string")
+    return X.tell(docs, one.unionByName(two), cut, "doc_id long, n_words long, n_removed long, kept string" + extra)
