@@ -101,7 +101,7 @@ def parse_document_instant(text: Column) -> Column:
 def strict_instant(text: Column, fmt: str = "yyyy-MM-dd'T'HH:mm:ss") -> Column:
     """Raises on what doesn't parse, and on a zone suffix."""
     zoned = text.rlike(r"([Zz]|[+-]\d{2}:?\d{2})$") & text.contains("T")
-    return F.when(zoned, F.raise_error(F.concat(F.lit("instant has a zone suffix: "), text)).cast("timestamp")).otherwise(F.to_timestamp(text, F.lit(fmt)))
+    return F.when(zoned, F.raise_error(F.concat(F.lit("instant has a zone suffix: "), text)).cast("timestamp")).otherwise(F.to_timestamp(text, fmt))
 
 
 def safe_date(text: Column) -> Column:

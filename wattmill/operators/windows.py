@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.calendar import parse_minute
+
 
 def parse_window_end(text: Column) -> Column:
     """ISO with a zone, or twelve digits in UTC."""
-    iso = F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), F.try_to_timestamp(text))
+    iso = F.when(text.rlike(r"T.*(Z|[+-]\d{2}:?\d{2})$"), F.coalesce(F.try_to_timestamp(text), parse_minute(text)))
     return F.coalesce(iso, F.when(text.rlike(r"^\d{12}$"), F.try_to_timestamp(text, F.lit("yyyyMMddHHmm"))))
 
 

@@ -52,10 +52,10 @@ def latest_vintage_orders(spark, d):
 
 @query("""
 SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, l_quantity FROM lineitem
-QUALIFY row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY l_shipdate DESC NULLS LAST, l_orderkey DESC, l_linenumber DESC) = 1""")
+QUALIFY row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY l_shipdate DESC NULLS LAST, l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC, l_quantity DESC) = 1""")
 def latest_vintage_lineitem(spark, d):
     spec = vintage.LatestSpec(("l_partkey",), ("l_shipdate",), optional_keys=("l_suppkey",))
-    return vintage.latest_by(tables.read(spark, d, "lineitem"), spec, ("l_orderkey", "l_linenumber")).select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity")
+    return vintage.latest_by(tables.read(spark, d, "lineitem"), spec, ("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")).select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity")
 
 
 @query("""
@@ -131,7 +131,7 @@ def lenient_instants_orders(spark, d):
 
 @query("""
 WITH latest AS (
-  SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC NULLS LAST, l_linenumber DESC) = 1)
+  SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC NULLS LAST, l_linenumber DESC, l_extendedprice DESC, l_quantity DESC) = 1)
 SELECT l_orderkey, l_extendedprice - l_quantity AS spread, abs(l_quantity - 25) AS abs_imbalance,
   CAST(hour(l_shipdate) AS INTEGER) AS hour_of_day, CAST(isodow(l_shipdate) AS INTEGER) AS day_of_week FROM latest""")
 def gold_spread_features(spark, d):
@@ -139,7 +139,7 @@ def gold_spread_features(spark, d):
         "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("available_at"), F.col("l_shipdate").alias("timestamp_utc"),
         F.col("l_extendedprice").alias("system_buy_price"), F.col("l_quantity").alias("system_sell_price"), (F.col("l_quantity") - 25).alias("net_imbalance_volume"),
     )
-    latest = vintage.latest_by(rows, vintage.LatestSpec(("l_orderkey",)), ("l_linenumber",))
+    latest = vintage.latest_by(rows, vintage.LatestSpec(("l_orderkey",)), ("l_linenumber", "system_buy_price", "system_sell_price"))
     return gold.spread_features(latest).select("l_orderkey", "spread", "abs_imbalance", "hour_of_day", "day_of_week")
 
 
