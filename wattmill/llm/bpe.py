@@ -10,7 +10,6 @@ offsets of the slices are kept, and ids decode through one gather of token bytes
 from __future__ import annotations
 
 import base64
-import hashlib
 import heapq
 import json
 import unicodedata
@@ -450,27 +449,52 @@ def text_batches(batch: pa.RecordBatch, column: int, limit: int = 1 << 20):
         i = j
 
 
-def round_trip(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encode every text, decode the ids, and return counts and digests of both.
-
-    A null text counts as empty (no ids; digests of nothing). Repeated rows and null keys pass
-    through, an empty table gives none, other columns aren't read, and texts may be of any length:
-    work goes by about a megabyte of whole texts.
-    """
+def _rows(df: DataFrame, path: str, key: str, text: str, outputs: tuple[str, ...]) -> DataFrame:
     kind = df.schema[key].dataType.simpleString()
 
     def rows(batches):
         made = encoder(path)
         for batch in batches:
-            n_tokens, ids_sha, text_sha = [], [], []
-            for _, _, buf, offsets in text_batches(batch, 1):
+            for first, last, buf, offsets in text_batches(batch, 1):
                 ids, at = made.encode(buf, offsets)
                 back, where = made.decode(ids)
-                packed, back = memoryview(ids.astype("<u4").view(np.uint8)), memoryview(back)
-                for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                    n_tokens.append(b - a)
-                    ids_sha.append(hashlib.sha256(packed[4 * a : 4 * b]).hexdigest())
-                    text_sha.append(hashlib.sha256(back[where[a] : where[b]]).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_tokens, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return df.select(F.col(key).alias("doc_id"), F.col(text).cast("binary")).mapInArrow(rows, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                packed, cuts = ids.astype("<u4").tobytes(), at.tolist()
+                cols = {}
+                if "ids" in outputs:
+                    cols["ids"] = [packed[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
+                if "ends" in outputs:
+                    cols["ends"] = [(where[a + 1 : b + 1] - where[a]).astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+                if "decoded" in outputs:
+                    raw = back.tobytes()
+                    cols["decoded"] = [raw[where[a] : where[b]] for a, b in zip(cuts, cuts[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), *[pa.array(cols[c], pa.binary()) for c in outputs]], ["doc_id", *outputs])
+
+    return df.select(F.col(key).alias("doc_id"), F.col(text).cast("binary")).mapInArrow(rows, f"doc_id {kind}, " + ", ".join(f"{c} binary" for c in outputs))
+
+
+def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, ids, ends): ids as little-endian unsigned 32-bit integers, and where each one's bytes end in the text.
+
+    A null text counts as empty (no ids). Repeated rows and null keys pass through, an empty table
+    gives none, other columns aren't read, and texts may be of any length: work goes by about a
+    megabyte of whole texts.
+    """
+    return _rows(df, path, key, text, ("ids", "ends"))
+
+
+def round_trip(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, ids, decoded): the ids of `encode`, and the bytes that they decode to. Edge cases as there."""
+    return _rows(df, path, key, text, ("ids", "decoded"))
+
+
+def decode(df: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """(doc_id, decoded) from ids as little-endian unsigned 32-bit integers; null ids decode to nothing."""
+    kind = df.schema[key].dataType.simpleString()
+
+    def rows(batches):
+        made = encoder(path)
+        for batch in batches:
+            out = [made.decode(np.frombuffer(x or b"", "<u4").astype(np.int64))[0].tobytes() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "decoded"])
+
+    return df.select(F.col(key).alias("doc_id"), ids).mapInArrow(rows, f"doc_id {kind}, decoded binary")

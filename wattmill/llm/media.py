@@ -7,13 +7,12 @@ batches, one container at a time, so memory follows the longest text and not the
 
 from __future__ import annotations
 
-import hashlib
 import struct
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SAMPLE = 576  # bytes in a sample, and the block to which a payload is padded
 KEY_EVERY = 8  # every so many samples one is a sync sample
@@ -153,30 +152,46 @@ def payload(data: bytes, track: dict) -> bytes:
 
 
 def media(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One media row for each row: lengths, digests of stored and read-back bytes, and the feature string.
+    """(doc_id, n_bytes, media, payload, feature): the container, what is read back from it, and what its tables tell.
 
     A null or empty text gives one block of padding. Equal texts give equal values; repeated rows
     and null keys pass through; an empty table gives none; other columns are not read.
     """
     kind = df.schema[key].dataType.simpleString()
 
+    def rows(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                out = []
+                for raw in part.column(1):
+                    raw = raw.as_buffer().to_pybytes() if raw.is_valid else b""
+                    stored = build(pad(raw))
+                    (track,) = tracks(stored)
+                    out.append((len(raw), stored, payload(stored, track), feature(track)))
+                kinds = (pa.int64(), pa.binary(), pa.binary(), pa.string())
+                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)]], ["doc_id", "n_bytes", "media", "payload", "feature"])
+
+    return df.select(F.col(key).alias("doc_id"), F.col(text).cast("binary")).mapInArrow(rows, f"doc_id {kind}, n_bytes long, media binary, payload binary, feature string")
+
+
+def probe(df: DataFrame, key: str = "doc_id", media: str = "media") -> DataFrame:
+    """(doc_id, track, codec, timescale, duration, samples, keyframes): one row a track of stored containers.
+
+    keyframes are (start, end) byte ranges. Bytes that aren't a container, and nulls, give no rows.
+    """
+    kind = df.schema[key].dataType.simpleString()
+    ranges = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
     def rows(batches):
         for batch in batches:
             out = []
-            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = raw.as_buffer().to_pybytes() if raw.is_valid else b""
-                stored = build(pad(raw))
-                (track,) = tracks(stored)
-                back = payload(stored, track)
-                out.append((k, len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(stored), hashlib.sha256(stored).hexdigest(), feature(track)))
-            names = ("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
-            yield pa.RecordBatch.from_pylist([dict(zip(names, x, strict=True)) for x in out], schema=schema)
-
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    ddl = f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    schema = to_arrow_schema(StructType.fromDDL(ddl))
-    from pyspark.sql import functions as F
-
-    return df.select(F.col(key), F.col(text).cast("binary")).mapInArrow(rows, ddl)
+            for i, data in enumerate(batch.column(1).to_pylist()):
+                for j, t in enumerate(tracks(data or b"")):
+                    keys = [{"start": o, "end": o + n} for o, n, is_key in t["samples"] if is_key]
+                    out.append((i, j, t["codec"].strip(), t["timescale"], t["duration"], len(t["samples"]), keys))
+            where = batch.column(0).take(pa.array([x[0] for x in out], pa.int64()))
+            kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), ranges)
+            yield pa.RecordBatch.from_arrays([where, *[pa.array([x[k + 1] for x in out], t) for k, t in enumerate(kinds)]], ["doc_id", "track", "codec", "timescale", "duration", "samples", "keyframes"])
+
+    return df.select(F.col(key).alias("doc_id"), media).mapInArrow(rows, f"doc_id {kind}, track int, codec string, timescale long, duration long, samples long, keyframes array<struct<start:long,end:long>>")

@@ -118,9 +118,8 @@ def pack(df: DataFrame, path: str, window: int = WINDOW, key: str = "doc_id", te
     pieces of their own; an empty table gives none; other columns aren't read. Ties in length go
     by key, then by digest, so a rerun of a lost task packs alike.
     """
-    groups = max(1, min(estimated_bytes(df) // GROUP_BYTES, 1 << 30))
-    tasks = shuffle_partitions(df.sparkSession)
-    groups = max(groups, 2 * tasks if estimated_bytes(df) > GROUP_BYTES else 1)
+    size = estimated_bytes(df)
+    groups = max(size // GROUP_BYTES, 2 * shuffle_partitions(df.sparkSession)) if size > GROUP_BYTES else 1
     cut = pieces(df, path, window, key, text).withColumn("_group", F.pmod(F.xxhash64("doc_id", F.lit("pack")), F.lit(groups)).cast("long"))
 
     def place(table: pa.Table) -> pa.Table:

@@ -56,7 +56,9 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trip(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
+    out = bpe.round_trip(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
+    n = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return out.select("doc_id", n, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +67,11 @@ def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.media(_table(spark, sf_dir, "documents"))
+    out = media.media(_table(spark, sf_dir, "documents"))
+    size = lambda c: F.octet_length(c).cast("long")
+    tail = F.crc32(F.substring("payload", -32, 32)).alias("tail_crc32")
+    digests = (F.sha2(c, 256).alias(f"{c}_sha256") for c in ("payload", "media"))
+    return out.select("doc_id", "n_bytes", size("payload").alias("payload_bytes"), size("media").alias("media_bytes"), tail, *digests, "feature")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,7 +78,7 @@ def shard(df: DataFrame, shards: int, key: str = "doc_id", text: str = "text") -
         F.lit("key").alias("law"),
         jump_hash(F.col(key), shards).alias("shard"),
         jump_hash(F.col(key), shards + 1).alias("grown_shard"),
-        F.pmod(F.xxhash64(F.col(key), F.lit("slot")), F.lit(buckets)).cast("int").alias("_bucket"),
+        F.pmod(F.xxhash64(F.col(key), F.lit("slot")), F.lit(buckets)).alias("_bucket"),
     )
     from pyspark.sql import Window as W
 

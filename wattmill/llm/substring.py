@@ -19,8 +19,8 @@ from ._text import inside, repeated_keys, slice_hashes, table_batches, windows,
 
 def _halves(full: np.ndarray, length: int, half: int) -> np.ndarray:
     """The least hash of the windows of `half` words inside each window of `length` words."""
-    n = len(full) - (length - half)
-    out = full[:n].copy() if n > 0 else full[:0]
+    n = max(0, len(full) - (length - half))
+    out = full[:n].copy()
     for j in range(1, length - half + 1):
         np.minimum(out, full[j : j + n], out=out)
     return out
