@@ -220,3 +220,36 @@ def test_streams(spark, tmp_path, sf_dir):
     q = counts.writeStream.outputMode("complete").format("memory").queryName("counts").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("counts").agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_inventories(spark, tmp_path):
+    company = {"name": "C", "eic": "E1", "facilities": [{"name": "F1", "eic": "E2"}, {"name": "F2", "eic": "E3"}]}
+    land(tmp_path, "gie_agsi", "about_listing", {"data": [company]})
+    land(tmp_path, "gie_agsi", "about_summary", {"data": {"SSO": {"Europe": {"Germany": [company]}}}})
+    for name in ("about_listing", "about_summary"):
+        d = dataset("gie_agsi", name)
+        got = silver.transform(silver.scan(spark, str(tmp_path), d, DAY), d).collect()
+        assert sorted((r.entity_level, r.name, r.eic) for r in got) == [("company", "C", "E1"), ("facility", "F1", "E2"), ("facility", "F2", "E3")]
+
+
+def test_rows_of_the_day(spark, tmp_path):
+    d = dataset("gie_agsi", "news")
+    land(tmp_path, "gie_agsi", "news", {"data": [{"url": "a", "start_at": "2024-05-30", "end_at": "2024-06-02"}, {"url": "b", "start_at": "2024-06-05"}, {"url": "c", "updatedAt": "2024-06-01"}, {"url": "d"}]})
+    got = silver.owned(silver.transform(silver.scan(spark, str(tmp_path), d, DAY), d), d, DAY)
+    assert {r.url for r in got.collect()} == {"a", "c", "d"}
+    d = dataset("entsog", "nominations")
+    land(tmp_path, "entsog", "nominations", {"operationalData": [{"id": "1", "periodFrom": "2024-06-01T00:30:00+02:00"}, {"id": "2", "periodFrom": "2024-06-02"}, {"id": "3"}]})
+    got = silver.owned(silver.transform(silver.scan(spark, str(tmp_path), d, DAY), d), d, DAY)
+    assert {r.id for r in got.collect()} == {"1", "3"}
+
+
+def test_covering_day_and_neighbour(spark, tmp_path):
+    rows = [{"settlementDate": "2024-06-01", "settlementPeriod": 1, "demand": 5, "publishTime": t} for t in ("2024-06-01T10:00:00Z", "2024-06-02T00:00:00Z")]
+    rows[1]["settlementPeriod"] = 2
+    land(tmp_path / "b", "elexon", "indo", {"data": rows})
+    assert bronze.covering_day(spark, str(tmp_path / "b"), "elexon", "indo", date(2024, 6, 20)) == DAY
+    assert bronze.covering_day(spark, str(tmp_path / "b"), "elexon", "indo", date(2024, 8, 20)) is None
+    run = lambda: silver.run(spark, str(tmp_path / "b"), str(tmp_path / "s"), "elexon", "indo", DAY, "r").count()
+    assert run() == 2
+    bronze.write_raw(str(tmp_path / "b"), "elexon", "indo", date(2024, 6, 2), b"[]", {"request_params": {"publishDateTimeFrom": "2024-06-02T00:00Z", "publishDateTimeTo": "2024-06-03T00:00Z"}})
+    assert run() == 1

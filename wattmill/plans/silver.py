@@ -133,8 +133,30 @@ def from_flows(records: DataFrame, d: Dataset) -> DataFrame:
     return finish(rows.withColumns(cols), d)
 
 
+def inventory(records: DataFrame, depth: int = 4) -> DataFrame:
+    """Company records from lists nested at most `depth` deep, and the facilities of each as rows of their own."""
+    flat = records
+    nested = lambda r: F.get_json_object(r, "$.facilities").isNull() & F.get_json_object(r, "$.name").isNull() & r.startswith("{")
+    for _ in range(depth):  # objects that are no company give way to what they hold
+        items = F.flatten(F.transform(F.map_values(F.from_json("record", "map<string,string>")), lambda v: F.when(v.startswith("["), F.from_json(v, "array<string>")).when(v.startswith("{"), F.array(v)).otherwise(F.array().cast("array<string>"))))
+        inner = flat.filter(nested(F.col("record"))).select(*[c for c in flat.columns if c not in ("record", "ordinal")], F.posexplode(items).alias("_i", "record"), "ordinal")
+        inner = inner.withColumn("ordinal", F.col("ordinal") * 1000 + F.col("_i")).drop("_i")
+        flat = flat.filter(~nested(F.col("record"))).unionByName(inner)
+    company = F.map_concat(F.map_filter(F.from_json("record", "map<string,string>"), lambda k, v: k != "facilities"), F.create_map(F.lit("entity_level"), F.lit("company")))
+    own = flat.withColumn("record", F.to_json(company))
+    below = flat.select("*", F.posexplode(F.from_json(F.get_json_object("record", "$.facilities"), "array<string>")).alias("_i", "_f"))
+    made = F.create_map(F.lit("entity_level"), F.lit("facility"), F.lit("company"), F.coalesce(F.get_json_object("record", "$.name"), F.lit("")))
+    facility = below.withColumns({"record": F.to_json(F.map_concat(F.map_filter(F.from_json("_f", "map<string,string>"), lambda k, v: ~k.isin("entity_level", "company")), made)), "ordinal": F.col("ordinal") * 1000 + F.col("_i") + 1})
+    return own.withColumn("ordinal", F.col("ordinal") * 1000).unionByName(facility.drop("_i", "_f"))
+
+
 def from_dynamic(records: DataFrame, d: Dataset) -> DataFrame:
-    """Payloads whose columns are found in the data: names normalised, numbers and instants by name."""
+    """Payloads whose columns are found in the data: names normalised, numbers and instants by name.
+
+    `_local_day`, for the day's filter, is the date as the vendor wrote it, before it becomes UTC.
+    """
+    if d.name in ("about_summary", "about_listing"):
+        records = inventory(records)
     names = records.select(F.explode(F.map_keys(F.from_json("record", "map<string,string>"))).alias("k")).distinct()
     found = sorted(r.k for r in names.collect())  # as many as the payload has columns
     rows = records.withColumn("_f", F.from_json("record", "map<string,string>"))
@@ -142,8 +164,10 @@ def from_dynamic(records: DataFrame, d: Dataset) -> DataFrame:
     wide = rows.select(*ORDINAL, *carried, *[F.try_element_at("_f", F.lit(n)).alias(n) for n in found])
     wide = S.normalise_names(wide, d.options.get("blanks_yield", False))
     cast = {}
+    written = [C.safe_date(F.col(c)) for c in S.INSTANT_PRIORITY if c in wide.columns]
+    wide = wide.withColumn("_local_day", F.coalesce(*written) if written else F.lit(None).cast("date"))
     for c in wide.columns:
-        if c not in (*ORDINAL, *carried):
+        if c not in (*ORDINAL, *carried, "_local_day"):
             if S.is_instant_name(c):
                 cast[c] = C.parse_lenient(F.col(c))
             elif S.is_numeric_name(c):
@@ -156,7 +180,7 @@ def from_dynamic(records: DataFrame, d: Dataset) -> DataFrame:
     if d.options.get("dedup") is not None:
         wide = vintage.dedup_keep_last(wide, subset, ORDINAL) if subset else wide
     else:
-        wide = vintage.dedup_whole_rows(wide, ORDINAL, ("timestamp_utc", "stamp", "day"))
+        wide = vintage.dedup_whole_rows(wide, ORDINAL, ("timestamp_utc", "stamp", "day", "_local_day"))
     return finish(wide, d)
 
 
@@ -280,8 +304,9 @@ def transform(rows: DataFrame, d: Dataset) -> DataFrame:
 
 
 def scan(spark: SparkSession, root: str, d: Dataset, day: date) -> DataFrame:
-    """A day's bronze rows in the form that the dataset's recipe takes."""
-    files = bronze.list_files(spark, root, d.source, d.name, day)
+    """A day's bronze rows in the form that the dataset's recipe takes; some sources fall back to an earlier day that covers it."""
+    found = day if d.source in ("entsoe", "entsog") else bronze.covering_day(spark, root, d.source, d.name, day) or day
+    files = bronze.list_files(spark, root, d.source, d.name, found)
     own = bronze.newest_vouched(files) if d.options.get("newest_file") else bronze.vouched(files)
     own = own.filter("ext != '.tmp'")
     if d.recipe == "xml":
@@ -297,16 +322,51 @@ def scan(spark: SparkSession, root: str, d: Dataset, day: date) -> DataFrame:
     return bronze.json_records(own, d.options.get("record_key", "data"))
 
 
+def owned(rows: DataFrame, d: Dataset, day: date) -> DataFrame:
+    """The rows that belong to a day, by the rule of their shape; rows without a date stay."""
+    target = F.lit(day)
+    if d.recipe == "dynamic":
+        cols = rows.columns
+        text = lambda c: C.safe_date(F.col(c).cast("string")) if c in cols else F.lit(None).cast("date")
+        if d.name in ("news", "news_item"):
+            rows = rows.filter(windows.classify_event(text("start_at"), text("end_at"), text("updated_at"), target, target) != "outside")
+        elif d.name == "unavailability":
+            rows = rows.filter(windows.overlaps_day(text("event_start"), text("event_end"), target))
+        elif d.options.get("windowed"):
+            rows = rows.filter(windows.on_day_or_undated(F.col("_local_day"), target))
+        return rows.drop("_local_day", "day")
+    if d.recipe in ("storage", "lng"):
+        return rows.filter(windows.on_day_or_undated(F.col("gas_day"), target))
+    if d.recipe == "weather":
+        return rows.filter(windows.on_day_or_undated(F.col("timestamp_utc").cast("date"), target))
+    return rows
+
+
+def neighbour_owns(spark: SparkSession, root: str, d: Dataset, day: date) -> bool:
+    """Whether the next day's partition holds a whole request that covers its first instant."""
+    next_day = date.fromordinal(day.toordinal() + 1)
+    files = bronze.list_files(spark, root, d.source, d.name, next_day)
+    side = bronze.sidecars(files).filter("meta IS NOT NULL").select("stem", "meta.*")
+    sound = windows.request_windows(side, d.source, d.name, "publishDateTimeFrom", "publishDateTimeTo").filter("reason IS NULL")
+    held = bronze.bodies(files).select("stem", F.lit(True).alias("has_body"))
+    chunks = windows.durable_chunks(sound.join(held, "stem", "left").withColumn("has_body", F.coalesce("has_body", F.lit(False))))
+    return not windows.covering_is_durable(chunks, F.lit(next_day).cast("timestamp")).isEmpty()
+
+
 def run(spark: SparkSession, root: str, silver: str, source: str, name: str, day: date, run_id: str) -> DataFrame:
     """Scan, transform, stamp and write one dataset's day; returns what was written."""
     d = dataset(source, name)
-    rows = transform(scan(spark, root, d, day), d)
+    rows = owned(transform(scan(spark, root, d, day), d), d, day)
     stamp = F.coalesce(F.col("stamp"), F.current_timestamp()) if "stamp" in rows.columns else F.current_timestamp()
     gas = d.clock.partition(":")[2] if d.clock.startswith("gas") else None
     out = bitemporal.stamp_rows(rows, run_id, d.version, stamp, day, gas).drop("stamp")
     if d.half_open:
         start = F.lit(day).cast("timestamp")
         out = windows.half_open_filter(out, "timestamp_utc", start, start + F.expr("INTERVAL 1 DAY"))
+    closed = windows.closed_window_column(name) if source == "elexon" else None
+    if closed and closed in out.columns and bronze.has_day(spark, root, source, name, date.fromordinal(day.toordinal() + 1)):
+        end = F.lit(date.fromordinal(day.toordinal() + 1)).cast("timestamp")
+        out = windows.closed_filter(out, closed, end, F.lit(neighbour_owns(spark, root, d, day)))
     out = out.withColumn("partition_date", F.lit(day))
     tables.write_silver(out, f"{silver}/{source}/{name}", append_only=d.append_only)
     return out

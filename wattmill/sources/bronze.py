@@ -36,6 +36,25 @@ def list_files(spark: SparkSession, root: str, source: str = "*", dataset: str =
     )
 
 
+def days(spark: SparkSession, root: str, source: str, dataset: str) -> list[date]:
+    """Days with a folder, ascending; only names are listed."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    pattern = hadoop.Path(f"{root}/{source}/{dataset}/*/*/*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    names = (re.search(r"/(\d{4})/(\d{2})/(\d{2})$", x.getPath().toString()) for x in found)
+    return sorted(date(*map(int, m.groups())) for m in names if m)
+
+
+def has_day(spark: SparkSession, root: str, source: str, dataset: str, day: date) -> bool:
+    return day in days(spark, root, source, dataset)
+
+
+def covering_day(spark: SparkSession, root: str, source: str, dataset: str, day: date, back: int = COVER_DAYS) -> date | None:
+    """The day itself, or the nearest earlier one at most `back` days before it."""
+    near = [x for x in days(spark, root, source, dataset) if x <= day and (day - x).days <= back]
+    return near[-1] if near else None
+
+
 def bodies(files: DataFrame) -> DataFrame:
     return files.filter("ext != '.meta.json' and ext != ''")
 
