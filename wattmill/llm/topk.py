@@ -70,9 +70,9 @@ def select(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def quantise(vector: Column, scale: float = 256.0) -> Column:
-    """floor(scale * x) of each component as a long, or null for a vector that takes no part."""
+    """floor(scale * x) of each component as a long, or null for a vector that takes no part: one that is null, or holds a null, a component that isn't finite, or one whose result no long can hold."""
     real = F.transform(vector, lambda x: x.cast("double"))
-    sound = F.forall(real, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(2.0**53 / scale)))
+    sound = F.forall(real, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(2.0**63 / scale)))
     return F.when(vector.isNotNull() & sound, F.transform(real, lambda x: F.floor(x * F.lit(scale)).cast("long")))
 
 
