@@ -8,17 +8,20 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType, TimestampNTZType, TimestampType
 
 #: Names that a writer in progress may leave behind.
 RESERVED = re.compile(r"\.parquet\.tmp_[0-9a-f]+$")
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A driver table, with zoneless instants read as UTC."""
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
-    naive = [f.name for f in df.schema if f.dataType.simpleString() == "timestamp_ntz"]
-    return df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
+    """A driver table. Zoneless instants are read as UTC by the scan itself, so filters on them still reach it."""
+    path = f"{folder}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if not any(isinstance(f.dataType, TimestampNTZType) for f in df.schema):
+        return df
+    zoned = StructType([StructField(f.name, TimestampType() if isinstance(f.dataType, TimestampNTZType) else f.dataType, f.nullable) for f in df.schema])
+    return spark.read.schema(zoned).parquet(path)
 
 
 def read_path(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
