@@ -216,6 +216,7 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
     # equal texts: narrow rows only; the minimum is aggregated before the join back
     marks = df.select(node.alias("doc_id"), F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256).alias("mark"))
     groups = marks.groupBy("mark").agg(F.min("doc_id").alias("rep"), F.count("*").alias("_c")).filter("_c > 1").drop("_c")
+    groups = shared.table(groups)  # so that the join back sees two plain sides, whose hot marks it can split
     copies = marks.join(groups, "mark").filter("doc_id != rep").select("doc_id", "rep")
     docs = X.chunked(df.withColumn("_node", node), n, "_node", text)
     told = copies.select(
