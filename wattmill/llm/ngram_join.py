@@ -124,7 +124,7 @@ def trie_links(rows: list[np.ndarray], sizes: np.ndarray, num: int = 80, den: in
     from rows). Rows too short for a link even with the smallest set stay out of the trie.
     """
     lengths = np.array([len(r) for r in rows])
-    fit = np.flatnonzero((num + den) * lengths >= num * (sizes + sizes.min(initial=0)))
+    fit = np.flatnonzero((num + den) * lengths >= num * (sizes + (sizes.min() if len(sizes) else 0)))
     root = np.arange(len(rows))
     if len(fit) < len(rows):
         if len(fit):
