@@ -123,21 +123,25 @@ def induce(edges: DataFrame, rounds: int = 3, least_known: int = 3, least_share:
     return accepted
 
 
-def extract(df: DataFrame, text: str = "text", rounds: int = 3) -> DataFrame:
+def extract(df: DataFrame, text: str = "text", rounds: int = 3, keep_text: bool = True) -> DataFrame:
     """`df` with base_spans and spans, arrays of (start, order, end, kind), ascending; ends are exclusive.
 
     Positions are code points. base_spans holds what the fixed patterns find (leftmost, not
     overlapping within a kind, failing matches dropped); spans holds these and what accepted
     contexts add, which never overlaps them. A null text has none. Repeated rows are told apart by a
     row number of their own; null keys pass through; an empty table gives none; columns of `df`
-    named base_spans or spans give way. The text is scanned once and what is found is written to
+    named base_spans or spans give way, and so does the text unless it is kept. It is scanned once and what is found is written to
     the shared folder; patterns are aggregated before any join, so none meets in one task.
     """
     from ._plan import Shared
 
     shared = Shared(df.sparkSession)
     kept = [c for c in df.columns if c not in ("base_spans", "spans", "_row")]
-    found = shared.table(_scan(df.select(*kept).withColumn("_row", F.monotonically_increasing_id()), text))
+    found = _scan(df.select(*kept).withColumn("_row", F.monotonically_increasing_id()), text)
+    if not keep_text:
+        kept = [c for c in kept if c != text]
+        found = found.drop(text)
+    found = shared.table(found)
     near = found.select("_row", F.explode("_near").alias("n")).select("_row", "n.*")
     edges = shared.table(near.groupBy("pattern", "entity").agg(F.max("kind").alias("kind")))
     accepted = induce(edges, rounds).withColumnRenamed("kind", "found")

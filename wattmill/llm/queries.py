@@ -50,7 +50,7 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.extract(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    found = pii.extract(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     count = [pii.count(F.col("base_spans"), k).alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *count, F.sha2(pii.spell(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"), pii.spell(F.col("spans")).alias("spans"))
 
