@@ -68,6 +68,24 @@ def test_contexts_discover_more(spark):
     assert {r.pattern for r in once} == {"to a9@a.a"}
 
 
+def test_instances_are_whole_tokens_and_matches(spark):
+    rows = [(0, "write to: anna.berg@mail.com today"), (11, "member A1 B2 member C3"), (12, "card 4111 1111 1111 1111, tel +1 (555) 010-9999")]
+    rows += [(13, "card 4111 1111 1111 1112"), (31, "(a@b.cc d@e.ff) g@h.ii")]
+    near = {r.doc_id: [(n.pattern, n.entity, n.kind) for n in r._near] for r in pii._scan(spark.createDataFrame(rows, SCHEMA), "text").collect()}
+    assert near[0] == [("to: a.a@a.a", "anna.berg@mail.com", "email")]
+    assert [n[:2] for n in near[11]] == [("member a9", "A1"), ("a1 a9", "B2"), ("member a9", "C3")]
+    assert near[12] == [("card 9 9 9 9", "4111 1111 1111 1111", "card"), ("tel +9 (9) 9-9", "+1 (555) 010-9999", "phone")]
+    assert near[13] == [("card 9 9 9 9", "4111 1111 1111 1112", None)]
+    assert near[31] == [("(a@b.cc a@a.a", "d@e.ff", "email"), ("d@e.ff) a@a.a", "g@h.ii", "email")]
+
+
+def test_contexts_find_spaced_numbers(spark):
+    cards = ("4111 1111 1111 1111", "5500 0000 0000 0004", "3400 0000 0000 009", "6011 0000 0000 0004", "4012 8888 8888 1881")
+    rows = [(i, f"card {c}") for i, c in enumerate(cards)] + [(40, "card 4111 1111 1111 1112"), (41, "rank 4111 1111 1111 1112")]
+    got = {r.doc_id: r.s for r in pii.extract(spark.createDataFrame(rows, SCHEMA)).select("doc_id", pii.spell(F.col("spans")).alias("s")).collect()}
+    assert got[0] == got[40] == "card:5:24" and got[41] == ""
+
+
 def test_redaction(spark):
     rows = [(1, "a x@y.zz b 1.2.3.4"), (2, None), (3, "plain"), (4, "🙂 x@y.zz")]
     out = {r.doc_id: (r.text, r.n) for r in pii.redact(spark.createDataFrame(rows, SCHEMA).withColumn("n", F.lit(7))).collect()}

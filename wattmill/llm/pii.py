@@ -2,7 +2,10 @@
 
 Seeds are what fixed patterns find: e-mail and IP addresses, card and phone numbers. The word left
 of an entity and its shape make a lexical pattern; patterns and the tokens they match, over all
-documents, are a graph of two sides. In each round a pattern's score is the share of its instances
+documents, are a graph of two sides. Every token with a left word is an instance, and so is every
+whole base match, whatever its tokens. Known instances hold a digit or an at sign, and a pattern
+only matches tokens of its own shape, so tokens with neither can neither be found nor count for or
+against a pattern that could be accepted: they are left out without loss. In each round a pattern's score is the share of its instances
 that are known, weighted by how many there are; patterns with a high score make their other
 instances known, and those lend weight to further patterns. New instances become spans.
 """
@@ -21,10 +24,12 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: A word, and after white space a token that holds a digit.
-_INSTANCE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+#: A whole token that holds a digit or an at sign, as whatever shares the shape of a base match does.
+_TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+_LAST_WORD = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+$"
+_OPENERS = r"\"'(<\[{#*"
 #: Worth a look for each kind: each pattern's cheaper necessary condition.
-_NEEDS = {"ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "instance": "[0-9]"}
+_NEEDS = {"ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "token": "[0-9@]"}
 _OCTET = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})$"
 
 
@@ -35,18 +40,23 @@ def _hits(text: Column, kind: str, pattern: str) -> Column:
 
 
 def _spans(text: Column, hits: Column, pattern: str) -> Column:
-    """Array of (start, end, hit), in code points: what `split` leaves before each match tells where it starts."""
-    gaps = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
-    rows = F.arrays_zip(hits.alias("hit"), F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"))
-    none = F.array().cast("array<struct<start:int,end:int,hit:string>>")
+    """Array of (start, end, hit, left), in code points: what `split` leaves before each match tells where it starts.
+
+    `left` is the word left of the match, up to it where they touch; empty if there is none. It may be the match before.
+    """
+    rows = F.arrays_zip(hits.alias("hit"), F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits)).alias("gap"))
+    none = F.array().cast("array<struct<start:int,end:int,hit:string,left:string>>")
 
     def step(acc: Column, row: Column) -> Column:
-        start = acc["at"] + row["gap"]
+        start = acc["at"] + F.length(row["gap"])
         end = start + F.length(row["hit"])
-        new = F.array(F.struct(start.alias("start"), end.alias("end"), row["hit"].alias("hit")))
-        return F.struct(end.alias("at"), F.concat(acc["out"], new).alias("out"))
+        before = F.regexp_replace(F.concat(acc["last"], row["gap"]), f"(?<![{_OPENERS}])[{_OPENERS}]++$", "")
+        left = F.lower(F.regexp_extract(before, _LAST_WORD, 1))
+        new = F.array(F.struct(start.alias("start"), end.alias("end"), row["hit"].alias("hit"), left.alias("left")))
+        last = F.regexp_extract(F.concat(acc["last"], row["gap"], row["hit"]), _LAST_WORD, 1)
+        return F.struct(end.alias("at"), last.alias("last"), F.concat(acc["out"], new).alias("out"))
 
-    found = F.aggregate(rows, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+    found = F.aggregate(rows, F.struct(F.lit(0).alias("at"), F.lit("").alias("last"), none.alias("out")), step, lambda acc: acc["out"])
     return F.when(F.size(hits) > 0, found).otherwise(none)
 
 
@@ -62,8 +72,12 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(place, worth), F.lit(0), lambda a, x: a + x) % 10 == 0
 
 
+def _digits(hit: Column) -> Column:
+    return F.regexp_replace(hit, "[^0-9]", "")
+
+
 def _valid(kind: str, hit: Column) -> Column:
-    digits = F.regexp_replace(hit, "[^0-9]", "")
+    digits = _digits(hit)
     n = F.length(digits)
     if kind == "ip":
         return F.forall(F.split(hit, r"\."), lambda p: p.rlike(_OCTET))
@@ -77,29 +91,39 @@ def _valid(kind: str, hit: Column) -> Column:
 def _scan(df: DataFrame, text: str) -> DataFrame:
     """`df` with _base, array of (start, order, end, kind) ascending, and _near, array of contextual instances."""
     text_ = F.coalesce(F.col(text), F.lit(""))
-    hits = df.select("*", *[_hits(text_, k, PATTERNS[k]).alias(f"_h_{k}") for k in KINDS], _hits(text_, "instance", _INSTANCE).alias("_h_instance"))
-    spans = hits.select(*df.columns, *[_spans(text_, F.col(f"_h_{k}"), PATTERNS[k]).alias(f"_s_{k}") for k in KINDS], _spans(text_, F.col("_h_instance"), _INSTANCE).alias("_s_instance"))
+    every = PATTERNS | {"token": _TOKEN}
+    hits = df.select("*", *[_hits(text_, k, p).alias(f"_h_{k}") for k, p in every.items()])
+    spans = hits.select(*df.columns, *[_spans(text_, F.col(f"_h_{k}"), p).alias(f"_s_{k}") for k, p in every.items()])
 
     def typed(i: int, kind: str) -> Column:
         valid = F.filter(F.col(f"_s_{kind}"), lambda s: _valid(kind, s["hit"]))
         return F.transform(valid, lambda s: F.struct(s["start"].alias("start"), F.lit(i).alias("order"), s["end"].alias("end"), F.lit(kind).alias("kind")))
 
-    def instance(s: Column) -> Column:
-        token = F.regexp_extract(s["hit"], r"[^\x20\x09-\x0D]+$", 0)
-        inner = F.regexp_replace(token, r"^[\"'(<\[{#*]+", "")
-        entity = F.regexp_replace(inner, r"[\"')>\]}.,;:!?#*]+$", "")
-        start = s["end"] - F.length(inner)
-        word = F.lower(F.regexp_extract(s["hit"], r"^[^\x20\x09-\x0D]+", 0))
+    def whole(kind: str) -> Column:
+        # a card's number is one thing even if its checksum fails
+        return F.filter(F.col(f"_s_{kind}"), lambda s: F.length(_digits(s["hit"])).between(12, 19) if kind == "card" else _valid(kind, s["hit"]))
+
+    def lexical(start: Column, entity: Column, left: Column) -> Column:
         shape = F.regexp_replace(F.regexp_replace(entity, "[0-9]+", "9"), "[A-Za-z]+", "a")
-        return F.struct(start.alias("start"), (start + F.length(entity)).alias("end"), entity.alias("entity"), F.concat_ws(" ", F.substring(word, 1, 64), F.substring(shape, 1, 64)).alias("pattern"))
+        return F.struct(start.alias("start"), (start + F.length(entity)).alias("end"), entity.alias("entity"), F.concat_ws(" ", F.substring(left, 1, 64), F.substring(shape, 1, 64)).alias("pattern"))
+
+    def token(s: Column) -> Column:
+        inner = F.regexp_replace(s["hit"], f"^[{_OPENERS}]+", "")
+        return lexical(s["end"] - F.length(inner), F.regexp_replace(inner, r"[\"')>\]}.,;:!?#*]+$", ""), s["left"])
+
+    def unbroken(s: Column) -> Column:
+        """Not a piece of a match that goes beyond it."""
+        return ~F.exists("_whole", lambda w: (w["start"] < s["end"]) & (w["end"] > s["start"]) & ((w["start"] < s["start"]) | (w["end"] > s["end"])))
 
-    based = spans.select(*df.columns, "_s_instance", F.array_sort(F.concat(*[typed(i, k) for i, k in enumerate(KINDS)])).alias("_base"))
+    based = spans.select(*df.columns, "_s_token", F.array_sort(F.concat(*[typed(i, k) for i, k in enumerate(KINDS)])).alias("_base"), F.concat(*[whole(k) for k in KINDS]).alias("_whole"))
 
     def judged(x: Column) -> Column:
         over = F.filter(F.col("_base"), lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"]))
         return F.struct(x["start"].alias("start"), x["end"].alias("end"), x["entity"].alias("entity"), x["pattern"].alias("pattern"), F.get(over, F.lit(0))["kind"].alias("kind"))
 
-    return based.select(*df.columns, "_base", F.transform(F.transform("_s_instance", instance), judged).alias("_near"))
+    tokens = F.transform(F.filter("_s_token", lambda s: (s["left"] != "") & unbroken(s)), token)
+    wholes = F.transform(F.filter("_whole", lambda s: s["left"] != ""), lambda s: lexical(s["start"], s["hit"], s["left"]))
+    return based.select(*df.columns, "_base", F.transform(F.array_distinct(F.concat(tokens, wholes)), judged).alias("_near"))
 
 
 def induce(edges: DataFrame, rounds: int = 3, least_known: int = 3, least_share: float = 0.8) -> DataFrame:
