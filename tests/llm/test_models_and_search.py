@@ -68,6 +68,16 @@ def test_contexts_discover_more(spark):
     assert {r.pattern for r in once} == {"to a9@a.a"}
 
 
+def test_rounds_go_on_until_nothing_is_new(spark):
+    edges = [("p0 9", f"e{i}", "card") for i in range(3)]
+    for r in range(6):  # each pattern's known instances come from the one before
+        edges += [(f"p{r + 1} 9", f"e{i}", None) for i in range(r, r + 4)]
+        edges += [(f"p{r} 9", f"e{r + 3}", None)]
+    df = spark.createDataFrame([(p, e, k) for (p, e), k in {(p, e): k for p, e, k in reversed(edges)}.items()], "pattern string, entity string, kind string")
+    assert len(pii.induce(df, 3, least_share=0.7).collect()) == 3
+    assert {r.pattern for r in pii.induce(df, least_share=0.7).collect()} == {f"p{r} 9" for r in range(7)}
+
+
 def test_instances_are_whole_tokens_and_matches(spark):
     rows = [(0, "write to: anna.berg@mail.com today"), (11, "member A1 B2 member C3"), (12, "card 4111 1111 1111 1111, tel +1 (555) 010-9999")]
     rows += [(13, "card 4111 1111 1111 1112"), (31, "(a@b.cc d@e.ff) g@h.ii")]

@@ -7,15 +7,20 @@ whole base match, whatever its tokens. Known instances hold a digit or an at sig
 only matches tokens of its own shape, so tokens with neither can neither be found nor count for or
 against a pattern that could be accepted: they are left out without loss. In each round a pattern's score is the share of its instances
 that are known, weighted by how many there are; patterns with a high score make their other
-instances known, and those lend weight to further patterns. New instances become spans.
+instances known, and those lend weight to further patterns, until a round finds nothing new. New
+instances become spans.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ._plan import Shared
+
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns, possessive where no later part could take characters back.
 PATTERNS = {
@@ -126,28 +131,39 @@ def _scan(df: DataFrame, text: str) -> DataFrame:
     return based.select(*df.columns, "_base", F.transform(F.array_distinct(F.concat(tokens, wholes)), judged).alias("_near"))
 
 
-def induce(edges: DataFrame, rounds: int = 3, least_known: int = 3, least_share: float = 0.8) -> DataFrame:
+def induce(edges: DataFrame, rounds: int | None = None, least_known: int = 3, least_share: float = 0.8, shared: Shared | None = None) -> DataFrame:
     """(pattern, kind, score) of the accepted patterns, from distinct (pattern, entity, kind or null).
 
     A pattern's instances that are known count for it, all of its instances against it:
     score = share * log2(1 + known). A pattern needs `least_known` known instances and
-    `least_share` of all. What an accepted pattern matches is known to the next round.
+    `least_share` of all. What an accepted pattern matches is known to the next round. Rounds go on
+    until one makes nothing new known, or as many as are given; each round's patterns and what is
+    known after it are written to the shared folder.
     """
-    total = edges.groupBy("pattern").agg(F.count("*").alias("_all"))
-    known = edges.filter("kind is not null").select("entity", "kind").distinct()
-    accepted = None
-    for _ in range(rounds):
+    shared = shared or Shared(edges.sparkSession)
+    total = shared.table(edges.groupBy("pattern").agg(F.count("*").alias("_all")))
+    known = shared.table(edges.filter("kind is not null").select("entity", "kind").distinct())
+    n_known = known.count()
+    for done in itertools.count(1):
         hits = edges.select("pattern", "entity").join(known, "entity").groupBy("pattern", "kind").agg(F.count("*").alias("_known"))
         share = F.col("_known") / F.col("_all")
         accepted = hits.join(total, "pattern").filter((F.col("_known") >= least_known) & (share >= least_share))
         accepted = accepted.select("pattern", "kind", (share * F.log2(F.col("_known") + 1)).alias("score"))
         best = accepted.groupBy("pattern").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"), F.max("score").alias("score"))
-        accepted = best.select("pattern", "kind", "score")
-        known = known.unionByName(edges.join(accepted.select("pattern", F.col("kind").alias("_k")), "pattern").select("entity", F.col("_k").alias("kind"))).distinct()
-    return accepted
-
-
-def extract(df: DataFrame, text: str = "text", rounds: int = 3, keep_text: bool = True) -> DataFrame:
+        accepted = shared.table(best.select("pattern", "kind", "score"))
+        if done == rounds:
+            return accepted
+        more = edges.join(accepted.select("pattern", F.col("kind").alias("_k")), "pattern").select("entity", F.col("_k").alias("kind"))
+        grown = shared.table(known.unionByName(more).distinct())
+        n_grown = grown.count()
+        if n_grown == n_known:  # known only grows, so the next round would be this one again
+            return accepted
+        shared.drop(known)
+        shared.drop(accepted)
+        known, n_known = grown, n_grown
+
+
+def extract(df: DataFrame, text: str = "text", rounds: int | None = None, keep_text: bool = True) -> DataFrame:
     """`df` with base_spans and spans, arrays of (start, order, end, kind), ascending; ends are exclusive.
 
     Positions are code points. base_spans holds what the fixed patterns find (leftmost, not
@@ -157,8 +173,6 @@ def extract(df: DataFrame, text: str = "text", rounds: int = 3, keep_text: bool
     named base_spans or spans give way, and so does the text unless it is kept. It is scanned once and what is found is written to
     the shared folder; patterns are aggregated before any join, so none meets in one task.
     """
-    from ._plan import Shared
-
     shared = Shared(df.sparkSession)
     kept = [c for c in df.columns if c not in ("base_spans", "spans", "_row")]
     found = _scan(df.select(*kept).withColumn("_row", F.monotonically_increasing_id()), text)
@@ -168,7 +182,7 @@ def extract(df: DataFrame, text: str = "text", rounds: int = 3, keep_text: bool
     found = shared.table(found)
     near = found.select("_row", F.explode("_near").alias("n")).select("_row", "n.*")
     edges = shared.table(near.groupBy("pattern", "entity").agg(F.max("kind").alias("kind")))
-    accepted = induce(edges, rounds).withColumnRenamed("kind", "found")
+    accepted = induce(edges, rounds, shared=shared).withColumnRenamed("kind", "found")
     more = near.filter("kind is null and entity != ''").join(accepted.select("pattern", "found"), "pattern")
     order = F.array_position(F.lit(list(KINDS)), F.col("found")).cast("int") - 1
     more = more.select("_row", F.struct("start", order.alias("order"), "end", F.col("found").alias("kind")).alias("s")).groupBy("_row").agg(F.collect_list("s").alias("_more"))
@@ -187,7 +201,7 @@ def spell(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(df: DataFrame, text: str = "text", rounds: int = 3) -> DataFrame:
+def redact(df: DataFrame, text: str = "text", rounds: int | None = None) -> DataFrame:
     """`df` with each found span replaced by its kind in brackets; where spans overlap, the first one's.
 
     A null text stays null. Other columns stay as they are.
