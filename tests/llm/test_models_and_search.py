@@ -89,6 +89,12 @@ def test_instances_are_whole_tokens_and_matches(spark):
     assert near[31] == [("(a@b.cc a@a.a", "d@e.ff", "email"), ("d@e.ff) a@a.a", "g@h.ii", "email")]
 
 
+def test_long_contexts_stay_apart(spark):
+    rows = [(1, "k" * 70 + "x A1"), (2, "k" * 70 + "y A1"), (3, "m " + "a1." * 40 + "p@q"), (4, "m " + "a1." * 40 + "p+q@r")]
+    near = [n.pattern for r in pii._scan(spark.createDataFrame(rows, SCHEMA), "text").collect() for n in r._near]
+    assert len(set(near)) == 4
+
+
 def test_contexts_find_spaced_numbers(spark):
     cards = ("4111 1111 1111 1111", "5500 0000 0000 0004", "3400 0000 0000 009", "6011 0000 0000 0004", "4012 8888 8888 1881")
     rows = [(i, f"card {c}") for i, c in enumerate(cards)] + [(40, "card 4111 1111 1111 1112"), (41, "rank 4111 1111 1111 1112")]

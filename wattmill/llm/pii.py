@@ -110,7 +110,7 @@ def _scan(df: DataFrame, text: str) -> DataFrame:
 
     def lexical(start: Column, entity: Column, left: Column) -> Column:
         shape = F.regexp_replace(F.regexp_replace(entity, "[0-9]+", "9"), "[A-Za-z]+", "a")
-        return F.struct(start.alias("start"), (start + F.length(entity)).alias("end"), entity.alias("entity"), F.concat_ws(" ", F.substring(left, 1, 64), F.substring(shape, 1, 64)).alias("pattern"))
+        return F.struct(start.alias("start"), (start + F.length(entity)).alias("end"), entity.alias("entity"), F.concat_ws(" ", left, shape).alias("pattern"))
 
     def token(s: Column) -> Column:
         inner = F.regexp_replace(s["hit"], f"^[{_OPENERS}]+", "")
