@@ -41,6 +41,13 @@ def test_components_of_odd_tables(spark):
         ngram_join.join(rows, percent=40)
 
 
+def test_components_of_ids_with_several_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (7, b + " more"), (8, c + " more"), (9, c), (9, a), (11, c), (11, "other"), (11, "")]
+    got = {(r.doc_id, r.component_id) for r in ngram_join.join(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {(i, 3) for i in (3, 5, 7, 8, 9, 11)}
+
+
 def test_trie_against_pairs():
     rng = np.random.default_rng(0)
     for _ in range(120):

@@ -14,6 +14,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -217,18 +219,26 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
     marks = df.select(node.alias("doc_id"), F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256).alias("mark"))
     groups = marks.groupBy("mark").agg(F.min("doc_id").alias("rep"), F.count("*").alias("_c")).filter("_c > 1").drop("_c")
     groups = shared.table(groups)  # so that the join back sees two plain sides, whose hot marks it can split
-    copies = marks.join(groups, "mark").filter("doc_id != rep").select("doc_id", "rep")
+    copies = marks.join(groups, "mark").filter("doc_id != rep").select("doc_id", "rep", F.unhex("mark").alias("mark"))
     docs = X.chunked(df.withColumn("_node", node), n, "_node", text)
     told = copies.select(
         F.pmod(F.xxhash64("doc_id", F.lit("chunk")), F.lit(n)).cast("long").alias("chunk"),
-        F.lit(-1).cast("long").alias("p"), F.col("doc_id").alias("id"), "rep", F.lit(None).cast("binary").alias("reply"),
+        F.lit(-1).cast("long").alias("p"), F.col("doc_id").alias("id"), "rep", F.col("mark").alias("reply"),
     )
 
     def sent_part(table: pa.Table, notes: pa.Table) -> tuple[np.ndarray, np.ndarray, list]:
         mine = notes.filter(pc.equal(notes["p"], -1))
-        rep = dict(zip(mine["id"].to_pylist(), mine["rep"].to_pylist(), strict=True))
         ids = table["doc_id"].to_pylist()
-        sets = [(i, rep.get(ids[i], ids[i]), g) for i, g in _sets(table, size)]
+        # by id and text: rows that share an id may differ in text
+        rep = dict(zip(zip(mine["id"].to_pylist(), mine["reply"].to_pylist(), strict=True), mine["rep"].to_pylist(), strict=True))
+        noted = {x for x, _ in rep}
+
+        def stands(i: int) -> int:
+            if ids[i] not in noted:
+                return ids[i]
+            return rep.get((ids[i], hashlib.sha256(table["text"][i].as_py() or b"").digest()), ids[i])
+
+        sets = [(i, stands(i), g) for i, g in _sets(table, size)]
         parts = [g[: _prefix(len(g), num, den)] if r == ids[i] else g[:0] for i, r, g in sets]
         flat = np.concatenate([np.empty(0, np.uint64), *parts])
         keys, count = np.unique(flat, return_counts=True)
@@ -322,7 +332,14 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
     if not parted.isEmpty():
         label = label.unionByName(connected_components(parted.select("u", "v"), shared).withColumnRenamed("node", "rep"))
     label = label.groupBy("rep").agg(F.min("component").alias("component"))
-    out = every.select("doc_id", "rep", "n").join(label, "rep", "left")
-    where = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "rep"))
+    at = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("rep"))
+    out = every.select("doc_id", at.alias("rep"), "n")
+    shares = out.groupBy("doc_id").agg(F.count("*").alias("_c")).filter("_c > 1").select("doc_id")
+    if not shares.isEmpty():  # rows of one id tie what each of them links with
+        rows = out.join(shares, "doc_id", "left_semi").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
+        every_link = links.select("u", "v").unionByName(rows).filter("u != v")
+        label = connected_components(every_link, shared).withColumnRenamed("node", "rep")
+    out = out.join(label, "rep", "left")
+    where = F.coalesce("component", "rep")
     back = F.when(F.col("doc_id") == -(1 << 63), F.lit(None)).otherwise(F.col("doc_id"))
     return out.select(back.cast("long").alias("doc_id"), F.col("n").alias("n_shingles"), where.alias("component_id"))
