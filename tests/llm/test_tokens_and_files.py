@@ -93,6 +93,12 @@ def test_best_fit_is_tightest():
             plain[number] += n
 
 
+def test_packing_groups_grow_with_size(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"w{i} " * 9) for i in range(200)], SCHEMA)
+    monkeypatch.setattr(packing, "GROUP_BYTES", packing.estimated_bytes(df) * 2 // 3)
+    assert {r.sequence_id >> 32 for r in packing.pack(df, VOCABULARY).collect()} == {0, 1}
+
+
 def test_packing(spark):
     rng = random.Random(4)
     rows = [(i, " ".join(f"w{rng.randint(0, 999)}" for _ in range(rng.choice([0, 3, 50, 300, 2500])))) for i in range(60)] + [(90, None), (91, ""), (1, "again"), (None, "x")]

@@ -15,12 +15,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._plan import estimated_bytes, shuffle_partitions
+from ._plan import estimated_bytes
 from .bpe import encoder, text_batches
 
 WINDOW = 2048
 END_OF_TEXT = 1
-GROUP_BYTES = 32 << 20  # stored input for which one group is opened, about 10,000 remainders
+GROUP_BYTES = 32 << 20  # stored input for each group, about 10,000 remainders
 
 
 class BestFit:
@@ -118,8 +118,7 @@ def pack(df: DataFrame, path: str, window: int = WINDOW, key: str = "doc_id", te
     pieces of their own; an empty table gives none; other columns aren't read. Ties in length go
     by key, then by digest, so a rerun of a lost task packs alike.
     """
-    size = estimated_bytes(df)
-    groups = max(size // GROUP_BYTES, 2 * shuffle_partitions(df.sparkSession)) if size > GROUP_BYTES else 1
+    groups = max(1, -(-estimated_bytes(df) // GROUP_BYTES))
     cut = pieces(df, path, window, key, text).withColumn("_group", F.pmod(F.xxhash64("doc_id", F.lit("pack")), F.lit(groups)).cast("long"))
 
     def place(table: pa.Table) -> pa.Table:
