@@ -2,8 +2,9 @@
 
 Level one takes windows of half the wanted length, one for each wanted window: that with the least
 hash inside it. Wanted windows whose half is found in one document alone can't repeat; only the
-others are extended to the full length and asked about. More levels, each of twice the length, can
-follow until no candidate survives; they tell how long a document's longest repeats are.
+others are extended to the full length and asked about. Only this one extension is built: doubling
+is not carried on beyond the wanted length until no candidate survives, so how long the longest
+repeats are is not told. The words to remove don't depend on it.
 """
 
 from __future__ import annotations
