@@ -11,23 +11,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-UNKNOWN_BYTES = 1 << 50  # Catalyst's guess for plans that it knows nothing of, or products of joins, lie beyond this
+UNKNOWN_BYTES = 1 << 50  # Catalyst's guess for a source that it knows nothing of lies beyond this
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (file sizes for a scan), which costs no job.
+    """The bytes of the files and tables that a plan reads, by Catalyst's statistics, which costs no job.
 
-    Where it has none, the bytes of strings are counted in one pass, at half for what compression
-    would leave of them.
+    Only sources are asked: estimates of joins multiply. Where a source has none, the bytes of
+    strings are counted in one pass, at half for what compression would leave of them.
     """
-    guess = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if guess < UNKNOWN_BYTES:
-        return guess
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    if max(sizes, default=0) < UNKNOWN_BYTES:
+        return sum(sizes)
     texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema if f.dataType.simpleString() in ("string", "binary")]
     row = df.agg(F.count("*").alias("n"), F.sum(sum(texts, F.lit(0).cast("long"))).alias("b")).first()
     return 16 * row.n + (row.b or 0) // 2
 
 
+def private(df: DataFrame, *names: str) -> list[str]:
+    """`names`, changed where a column of `df` has one of them (in any case of letters)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -38,9 +50,11 @@ def chunk_count(df: DataFrame, chunk_bytes: int = 4 << 20) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only where the session has none (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. One is made only for a local session without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         import tempfile
 
         folder = "file://" + tempfile.mkdtemp(prefix="wattmill-")
@@ -49,12 +63,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Shared:
-    """Tables written to the shared folder, so that a lost executor loses no lineage."""
+    """Tables written to the shared folder, so that a lost executor loses no lineage.
+
+    They go when the session ends, as results read them lazily.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/wattmill-{uuid.uuid4().hex}"
         self.count = 0
+        target = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(target)
+        files.deleteOnExit(target)
 
     def table(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{self.count}"

@@ -7,7 +7,7 @@ import pyarrow as pa
 
 from .bpe import mix, slice_hashes, spread, text_batches
 
-__all__ = ["mix", "slice_hashes", "spread", "text_batches", "table_batches", "words", "windows", "inside", "repeated_keys", "lower"]
+__all__ = ["mix", "slice_hashes", "spread", "text_batches", "table_batches", "words", "windows", "distinct", "lower"]
 
 _U = np.uint64
 #: The bytes between words.
@@ -49,6 +49,8 @@ def words(buf: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _BLANK) -> t
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     """A hash of each run of `size` items, by the item it starts at; runs across texts are included."""
+    if size > len(_FACTORS):
+        raise ValueError(f"a run has at most {len(_FACTORS)} items")
     n = len(hashes) - size + 1
     if n <= 0:
         return np.empty(0, _U)
@@ -58,19 +60,12 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(out)
 
 
-def inside(at: np.ndarray, size: int) -> np.ndarray:
-    """Which runs of `size` items stay in one text, given the number of items before each text."""
-    counts = np.diff(at)
-    of = np.repeat(np.arange(len(counts)), counts)
-    return of[: len(of) - size + 1] == of[size - 1 :] if len(of) >= size else np.empty(0, bool)
-
-
-def repeated_keys(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct keys ascending, least owner of each, whether it has several owners)."""
-    if not len(keys):
-        return keys, owners, np.empty(0, bool)
-    order = np.argsort(keys, kind="stable")
-    keys, owners = keys[order], owners[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    low = np.minimum.reduceat(owners, first)
-    return keys[first], low, low != np.maximum.reduceat(owners, first)
+def distinct(keys: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(an order in which equal rows of the columns are neighbours, where in it a new one begins)."""
+    order = np.lexsort((*more[::-1], keys)) if more else np.argsort(keys, kind="stable")
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = keys[order][1:] != keys[order][:-1]
+        for c in more:
+            new[1:] |= c[order][1:] != c[order][:-1]
+    return order, new

@@ -3,8 +3,9 @@
 Pre-tokenisation works on arrays: every character gets a class, the class arrays become symbols of
 a small automaton, and the automaton's transition functions are composed associatively, so blocks
 of text are scanned side by side and then joined. The resulting slices are looked up in a table
-of merged slices; new ones are merged together, one lowest-ranked pair of each at a time. Byte
-offsets of the slices are kept, and ids decode through one gather of token bytes.
+of merged slices, whose bytes are compared with theirs; new ones are merged together, one
+lowest-ranked pair of each at a time. Byte offsets of the slices are kept, and ids decode through
+one gather of token bytes.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ _BLOCK = 128
 _LONG = 64  # bytes from which a slice is merged alone, with a heap
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
-_INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], _U)
 
 #: The code points that count as white space in the public pattern.
 WHITE = (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -203,20 +204,6 @@ class Table:
             slot[left] = (slot[left] + 1) & mask
 
 
-_powers = (np.ones(1, _U), np.ones(1, _U))
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0 to n of the hash base and of its inverse mod 2**64."""
-    global _powers
-    if len(_powers[0]) <= n:
-        size = max(n + 1, 1 << 16)
-        up, down = np.full(size, _BASE, _U), np.full(size, _INVERSE, _U)
-        up[0] = down[0] = 1
-        _powers = np.cumprod(up, dtype=_U), np.cumprod(down, dtype=_U)
-    return _powers
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection that spreads every bit."""
     h = h ^ (h >> _U(33))
@@ -227,12 +214,37 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def slice_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each slice of `buf`; equal bytes give equal hashes wherever they stand."""
-    up, down = powers(len(buf))
-    run = np.zeros(len(buf) + 1, _U)
-    np.cumsum((buf.astype(_U) + _U(1)) * up[: len(buf)], out=run[1:])
-    return mix((run[ends] - run[starts]) * down[starts])
+def lanes(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number; zeros follow the end."""
+    padded = np.zeros(len(buf) + 8, np.uint8)
+    padded[: len(buf)] = buf
+    return np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (len(buf) + 1,), (1,))
+
+
+def slice_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each slice of `buf`; equal bytes give equal hashes wherever they stand.
+
+    Up to seven bytes it is injective. Longer slices add up their lanes of eight bytes, each mixed
+    with its place beforehand, so it isn't linear in the bytes. Hashes of two seeds are independent.
+    """
+    length = ends - starts
+    at = lanes(buf)
+    first = at[starts] & _MASKS[np.minimum(length, 8)]
+    salt = _U(seed * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF)
+    out = mix(first ^ length.astype(_U) << _U(56) ^ salt)
+    more = np.flatnonzero(length > 7)
+    if len(more):
+        extra = (length[more] + 7) // 8 - 1
+        total = mix(first[more] + _BASE ^ salt)
+        wide = np.flatnonzero(extra)
+        if len(wide):
+            where, n, whole = starts[more[wide]], extra[wide], length[more[wide]]
+            step = spread(np.ones(len(n), np.int64), n)
+            lane = at[np.repeat(where, n) + 8 * step] & _MASKS[np.minimum(np.repeat(whole, n) - 8 * step, 8)]
+            lane = mix(mix(lane ^ salt) + step.astype(_U) * _BASE)
+            total[wide] += np.add.reduceat(lane, np.cumsum(n) - n)
+        out[more] = mix(total ^ length[more].astype(_U) * _BASE)
+    return out
 
 
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -245,6 +257,15 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(shift, lengths)
 
 
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """`array`, or a longer copy that holds `size` items."""
+    if size <= len(array):
+        return array
+    out = np.empty(max(size, 2 * len(array)), array.dtype)
+    out[: len(array)] = array
+    return out
+
+
 class Encoder:
     """Encodes and decodes many texts at a time by a table of ranks."""
 
@@ -288,6 +309,8 @@ class Encoder:
         self.known, self.pool = Table(), np.empty(1 << 16, np.int32)
         self.used, self.rows = 0, 0
         self.at, self.length = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int32)
+        self.raw, self.raw_used = np.empty(1 << 16, np.uint8), 0
+        self.raw_at, self.size = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         found = self.pairs.find((left.astype(_U) << _U(32) | right.astype(_U)) + _U(1))
@@ -370,11 +393,10 @@ class Encoder:
         order = np.argsort(of, kind="stable")
         return flat[order], counts
 
-    def _learn(self, buf: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        keys, first = np.unique(keys, return_index=True)
-        starts, lengths = starts[first], (ends - starts)[first]
+    def _merged(self, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Merge slices and keep their bytes and ids; the row numbers that they get."""
         short = lengths < _LONG
-        parts, counts = [], np.zeros(len(keys), np.int64)
+        parts, counts = [], np.zeros(len(starts), np.int64)
         if short.any():
             flat, n = self._merge(self.of_byte[buf[spread(starts[short], lengths[short])]], lengths[short])
             parts.append(flat)
@@ -384,19 +406,30 @@ class Encoder:
             parts.append(np.array(ids, np.int32))
             counts[i] = len(ids)
         order = np.concatenate((np.flatnonzero(short), np.flatnonzero(~short)))
-        keys, counts = keys[order], counts[order]
-        flat = np.concatenate(parts)
-        while self.used + len(flat) > len(self.pool):
-            self.pool = np.concatenate((self.pool, np.empty_like(self.pool)))
-        while self.rows + len(keys) > len(self.at):
-            self.at, self.length = np.concatenate((self.at, np.empty_like(self.at))), np.concatenate((self.length, np.empty_like(self.length)))
+        starts, lengths, counts = starts[order], lengths[order], counts[order]
+        flat, raw = np.concatenate(parts), buf[spread(starts, lengths)]
+        self.pool, self.raw = _room(self.pool, self.used + len(flat)), _room(self.raw, self.raw_used + len(raw))
         self.pool[self.used : self.used + len(flat)] = flat
-        span = slice(self.rows, self.rows + len(keys))
-        self.at[span] = self.used + np.concatenate(([0], np.cumsum(counts)[:-1]))
-        self.length[span] = counts
-        self.known.add(keys, np.arange(self.rows, self.rows + len(keys), dtype=np.int32))
-        self.used += len(flat)
-        self.rows += len(keys)
+        self.raw[self.raw_used : self.raw_used + len(raw)] = raw
+        span = slice(self.rows, self.rows + len(order))
+        for name, values in (("at", self.used + np.cumsum(counts) - counts), ("length", counts), ("raw_at", self.raw_used + np.cumsum(lengths) - lengths), ("size", lengths)):
+            held = _room(getattr(self, name), span.stop)
+            held[span] = values
+            setattr(self, name, held)
+        self.used, self.raw_used, self.rows = self.used + len(flat), self.raw_used + len(raw), span.stop
+        rows = np.empty(len(order), np.int32)
+        rows[order] = np.arange(span.start, span.stop)
+        return rows
+
+    def _others(self, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Which slices aren't, byte by byte, those of their rows: texts of one hash may differ."""
+        bad = self.size[rows] != lengths
+        long = np.flatnonzero(~bad & (lengths > 7))  # up to seven bytes and of one length, equal hashes are equal bytes
+        if len(long):
+            n = lengths[long]
+            differ = self.raw[spread(self.raw_at[rows[long]], n)] != buf[spread(starts[long], n)]
+            bad[long] = np.logical_or.reduceat(differ, np.cumsum(n) - n)
+        return np.flatnonzero(bad)
 
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, offsets of the texts in them)."""
@@ -404,14 +437,19 @@ class Encoder:
         if not len(starts):
             return np.empty(0, np.int32), np.zeros(len(offsets), np.int64)
         ends = np.append(starts[1:], len(buf))
+        sizes = ends - starts
         keys = np.maximum(slice_hashes(buf, starts, ends), _U(1))
-        if self.rows > self.cache_slices:
+        if self.rows > self.cache_slices or self.used + self.raw_used > 64 * self.cache_slices:
             self.forget()
         rows = self.known.find(keys)
         new = np.flatnonzero(rows < 0)
         if len(new):
-            self._learn(buf, keys[new], starts[new], ends[new])
+            names, first = np.unique(keys[new], return_index=True)
+            self.known.add(names, self._merged(buf, starts[new[first]], sizes[new[first]]))
             rows[new] = self.known.find(keys[new])
+        others = self._others(buf, starts, sizes, rows)
+        if len(others):  # merged for this call alone; the table keeps the first text of a hash
+            rows[others] = self._merged(buf, starts[others], sizes[others])
         lengths = self.length[rows].astype(np.int64)
         total = np.concatenate(([0], np.cumsum(lengths)))
         ids = self.pool[spread(self.at[rows], lengths)]
@@ -476,8 +514,8 @@ def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
     """(doc_id, ids, ends): ids as little-endian unsigned 32-bit integers, and where each one's bytes end in the text.
 
     A null text counts as empty (no ids). Repeated rows and null keys pass through, an empty table
-    gives none, other columns aren't read, and texts may be of any length: work goes by about a
-    megabyte of whole texts.
+    gives none, other columns aren't read. Work goes by about a megabyte of whole texts, and what
+    comes of a text must fit one Arrow array: texts of up to 2**28 bytes.
     """
     return _rows(df, path, key, text, ("ids", "ends"))
 
@@ -488,7 +526,11 @@ def round_trip(df: DataFrame, path: str, key: str = "doc_id", text: str = "text"
 
 
 def decode(df: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """(doc_id, decoded) from ids as little-endian unsigned 32-bit integers; null ids decode to nothing."""
+    """(doc_id, decoded) from ids as little-endian unsigned 32-bit integers.
+
+    Null ids decode to nothing; null keys and repeated rows pass through, an empty table gives none,
+    other columns aren't read.
+    """
     kind = df.schema[key].dataType.simpleString()
 
     def rows(batches):

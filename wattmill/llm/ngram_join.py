@@ -8,8 +8,11 @@
    tied to one other per n-gram, and ties chain into families. All partners are in one family.
 3. A family's sets go into a trie, commonest n-gram first. Each set walks it once: overlap counts
    are shared along common beginnings, and a subtree is left when the overlap still possible is
-   too small or all of it is linked to the set already. A large family is split into blocks, and
-   pairs of blocks meet in tasks of their own, each giving a spanning forest of its links.
+   too small or all of it is linked to the set already.
+4. A large family is dealt into blocks, each with a trie of its own and with a few pivots, the sets
+   with the fewest n-grams of their own, which every block gets. What links to a pivot is one
+   component, across blocks. Only sets outside of the family's largest component meet further
+   blocks, and there only those sets that share an n-gram of their prefixes with one of them.
 """
 
 from __future__ import annotations
@@ -26,24 +29,35 @@ from . import _exchange as X
 from ._plan import Shared, connected_components
 from ._text import lower, mix, slice_hashes, table_batches, windows, words
 
-BLOCK_GRAMS = 1 << 20  # n-grams in a block of a large family
+BLOCK_GRAMS = 1 << 15  # n-grams in a block of a large family
+MEET_GRAMS = 1 << 18  # n-grams on each side where sets that no pivot reached meet others
+PIVOTS = 4
 _SETS = "doc_id long, rep long, n long, grams binary"
 
 
 def _sets(table: pa.Table, size: int):
-    """(row, ascending distinct n-gram hashes) of every text."""
+    """(row, distinct n-grams as rows of two independent hashes, ascending) of every text."""
     for first, _, buf, offsets in table_batches(table, "text"):
         buf = lower(buf)
         starts, ends, at = words(buf, offsets)
-        hashes = slice_hashes(buf, starts, ends)
-        runs = windows(hashes, size)
+        hashes = [slice_hashes(buf, starts, ends, seed) for seed in (0, 1)]
+        runs = [windows(h, size) for h in hashes]
         for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
             if b - a >= size:
-                yield first + i, np.unique(runs[a : b - size + 1])
+                grams = [r[a : b - size + 1] for r in runs]
+                order = np.argsort(grams[0])
+                x, y = (g[order] for g in grams)
+                same = x[1:] == x[:-1]
+                if (same & (y[1:] != y[:-1])).any():  # one hash, two n-grams
+                    order = np.lexsort((y, x))
+                    x, y = x[order], y[order]
+                    same = (x[1:] == x[:-1]) & (y[1:] == y[:-1])
+                new = np.concatenate(([True], ~same))
+                yield first + i, np.stack((x[new], y[new]), axis=1)
             elif b > a:
-                yield first + i, mix(windows(hashes[a:b], b - a) ^ np.uint64(b - a))
+                yield first + i, np.stack([mix(windows(h[a:b], b - a) ^ np.uint64(b - a)) for h in hashes], axis=1)
             else:
-                yield first + i, hashes[:0]
+                yield first + i, np.empty((0, 2), np.uint64)
 
 
 def _needed(n: np.ndarray | int, num: int, den: int):
@@ -181,21 +195,21 @@ def trie_links(rows: list[np.ndarray], sizes: np.ndarray, num: int = 80, den: in
 
 
 def _family_links(table: pa.Table, num: int, den: int) -> tuple[list[int], list[int]]:
-    """(id, least linked id) for the members of one family, or of two of its blocks."""
-    ids = table["doc_id"].to_numpy()
-    order = np.argsort(ids, kind="stable")
-    ids = ids[order]
-    grams = table["grams"].to_pylist()
-    parts = [np.frombuffer(grams[i], np.uint64) for i in order]
+    """(id, least linked id) for the members of one family, of a block of it, or of two parts that meet."""
+    ids, at = np.unique(table["doc_id"].to_numpy(), return_index=True)  # a pivot may come twice
+    table = table.take(pa.array(at))
+    parts = [np.frombuffer(x, np.uint64).reshape(-1, 2) for x in table["grams"].to_pylist()]
     # numbers in the trie: commonest first, i.e. the reverse of (holders, hash), as each row is stored
     flat = np.concatenate(parts)
-    held = np.concatenate([np.frombuffer(x, np.uint16) for x in (table["holders"].to_pylist()[i] for i in order)])
-    names, first, of = np.unique(flat, return_index=True, return_inverse=True)
-    number = np.empty(len(names), np.int64)
-    number[np.lexsort((names, -held[first].astype(np.int64)))] = np.arange(len(names))
+    held = np.concatenate([np.frombuffer(x, np.uint16) for x in table["holders"].to_pylist()]).astype(np.int64)
+    order = np.lexsort((flat[:, 1], flat[:, 0], -held))
+    new = np.ones(len(order), bool)
+    new[1:] = (flat[order][1:] != flat[order][:-1]).any(axis=1)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
     cuts = np.cumsum([0, *map(len, parts)])
-    rows = [np.sort(number[of[a:b]]) for a, b in zip(cuts, cuts[1:], strict=False)]
-    root = trie_links(rows, table["n"].to_numpy()[order], num, den)
+    rows = [np.sort(number[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+    root = trie_links(rows, table["n"].to_numpy(), num, den)
     return ids.tolist(), ids[root].tolist()
 
 
@@ -206,29 +220,28 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
     `size`-grams; fewer words make one gram of all. component_id is the least id reachable. Rows
     without words or text have no grams and link with nothing. Ids are taken as distinct; rows that
     share an id are one node. A null id is a node like another (as the least long). An empty
-    table gives none; other columns aren't read. Grams are compared by 64-bit hashes.
+    table gives none; other columns aren't read. Grams are compared by two independent hashes, 128
+    bits; a single one only narrows the search.
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
     num, den = percent, 100
     spark = df.sparkSession
     shared = Shared(spark)
-    n = X.ways(df)
+    chunks = X.ways(df)
+    n = X.ranges(df, chunks)
     node = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
     # equal texts: narrow rows only; the minimum is aggregated before the join back
-    marks = df.select(node.alias("doc_id"), F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256).alias("mark"))
+    marks = df.select(node.alias("doc_id"), F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256).alias("mark"), X.chunk_of(key, text, chunks).alias("chunk"))
     groups = marks.groupBy("mark").agg(F.min("doc_id").alias("rep"), F.count("*").alias("_c")).filter("_c > 1").drop("_c")
     groups = shared.table(groups)  # so that the join back sees two plain sides, whose hot marks it can split
-    copies = marks.join(groups, "mark").filter("doc_id != rep").select("doc_id", "rep", F.unhex("mark").alias("mark"))
-    docs = X.chunked(df.withColumn("_node", node), n, "_node", text)
-    told = copies.select(
-        F.pmod(F.xxhash64("doc_id", F.lit("chunk")), F.lit(n)).cast("long").alias("chunk"),
-        F.lit(-1).cast("long").alias("p"), F.col("doc_id").alias("id"), "rep", F.col("mark").alias("reply"),
-    )
+    copies = marks.join(groups, "mark").filter("doc_id != rep")
+    docs = X.chunked(df, chunks, key, text)
+    told = copies.select("chunk", F.lit(-1).cast("long").alias("p"), F.col("doc_id").alias("id"), "rep", F.unhex("mark").alias("reply"))
 
     def sent_part(table: pa.Table, notes: pa.Table) -> tuple[np.ndarray, np.ndarray, list]:
         mine = notes.filter(pc.equal(notes["p"], -1))
-        ids = table["doc_id"].to_pylist()
+        ids = X.order_ids(table).tolist()
         # by id and text: rows that share an id may differ in text
         rep = dict(zip(zip(mine["id"].to_pylist(), mine["reply"].to_pylist(), strict=True), mine["rep"].to_pylist(), strict=True))
         noted = {x for x, _ in rep}
@@ -239,7 +252,7 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
             return rep.get((ids[i], hashlib.sha256(table["text"][i].as_py() or b"").digest()), ids[i])
 
         sets = [(i, stands(i), g) for i, g in _sets(table, size)]
-        parts = [g[: _prefix(len(g), num, den)] if r == ids[i] else g[:0] for i, r, g in sets]
+        parts = [g[: _prefix(len(g), num, den) if r == ids[i] else 0, 0] for i, r, g in sets]
         flat = np.concatenate([np.empty(0, np.uint64), *parts])
         keys, count = np.unique(flat, return_counts=True)
         return keys, count > 1, [(i, r, g, p) for (i, r, g), p in zip(sets, parts, strict=True)]
@@ -251,7 +264,7 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
     def keep(table: pa.Table, notes: pa.Table) -> pa.Table:
         keys, _, sets = sent_part(table, notes)
         seen = X.receive(notes.filter(pc.greater_equal(notes["p"], 0)), keys, n, bool)
-        ids = table["doc_id"].to_pylist()
+        ids = X.order_ids(table).tolist()
         out = [(ids[i], r, len(g), g, p) for i, r, g, p in sets]
         held = []
         for doc, r, m, g, p in out:
@@ -266,12 +279,13 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
 
     # exact counts among what is left, and the order by them
     left = every.filter("grams is not null")
-    m = X.ways(left)
-    parts = left.select(F.pmod(F.xxhash64("doc_id", F.lit("left")), F.lit(m)).cast("long").alias("chunk"), "doc_id", "n", "grams")
+    pieces = X.ways(left)
+    m = X.ranges(left, pieces)
+    parts = left.select(F.pmod(F.xxhash64("doc_id", "grams", F.lit("left")), F.lit(pieces)).cast("long").alias("chunk"), "doc_id", "n", "grams")
 
     def tally(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        sets = [np.frombuffer(x, np.uint64) for x in table["grams"].to_pylist()]
-        keys, count = np.unique(np.concatenate(sets), return_counts=True)
+        sets = [np.frombuffer(x, np.uint64).reshape(-1, 2) for x in table["grams"].to_pylist()]
+        keys, count = np.unique(np.concatenate(sets)[:, 0], return_counts=True)
         return keys, np.minimum(count, 65535).astype(np.uint16), sets
 
     def ask_counts(table: pa.Table) -> pa.Table:
@@ -283,18 +297,18 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
         total = X.receive(replies, keys, m, np.uint16)
         rows = {"doc_id": [], "n": [], "grams": [], "holders": [], "prefix": []}
         for doc, size_, g in zip(table["doc_id"].to_pylist(), table["n"].to_pylist(), sets, strict=True):
-            held = total[np.searchsorted(keys, g)]
+            held = total[np.searchsorted(keys, g[:, 0])]
             g, held = g[held > 1], held[held > 1]
             need = _needed(size_, num, den)
             if len(g) < need:
                 continue
-            rank = np.lexsort((g, held))
+            rank = np.lexsort((g[:, 1], g[:, 0], held))
             g, held = g[rank], held[rank]
             rows["doc_id"].append(doc)
             rows["n"].append(size_)
             rows["grams"].append(g.tobytes())
             rows["holders"].append(held.tobytes())
-            rows["prefix"].append(g[: len(g) - need + 1].astype(np.int64))
+            rows["prefix"].append(g[: len(g) - need + 1, 0].astype(np.int64))
         kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
         return pa.table({k: pa.array(v, t) for (k, v), t in zip(rows.items(), kinds, strict=True)})
 
@@ -305,14 +319,12 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
     near = ties.join(heads, "gram").filter("doc_id != head").select(F.col("doc_id").alias("u"), F.col("head").alias("v")).distinct()
     family = connected_components(near, shared).withColumnRenamed("component", "family")
 
-    # families, whole or as pairs of blocks
-    members = ready.drop("prefix").join(family.withColumnRenamed("node", "doc_id"), "doc_id")
-    weights = members.groupBy("family").agg(F.sum(F.octet_length("grams") / 8).alias("w"))
+    # families, whole or in blocks
+    members = shared.table(ready.join(family.withColumnRenamed("node", "doc_id"), "doc_id"))
+    grams = F.octet_length("holders") / 2
+    weights = members.groupBy("family").agg(F.sum(grams).alias("w"))
     weights = weights.select("family", F.ceil(F.col("w") / BLOCK_GRAMS).cast("int").alias("blocks"), (F.col("w") * 20 > BLOCK_GRAMS).alias("alone"))
-    placed = members.join(weights, "family").withColumn("b", F.pmod(F.xxhash64("doc_id", F.lit("block")), F.col("blocks")).cast("int"))
-    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(F.col("b"), j).alias("i"), F.greatest(F.col("b"), j).alias("j")))
-    bundle = F.when(F.col("alone"), F.col("family")).otherwise(-1 - F.pmod(F.xxhash64("family"), F.lit(m * 4)))
-    placed = placed.withColumn("meet", F.explode(F.array_distinct(meets))).select("doc_id", "n", "grams", "holders", "family", "blocks", bundle.alias("bundle"), "meet.i", "meet.j")
+    sets = ("doc_id", "n", "grams", "holders")
 
     def link(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("family")
@@ -323,14 +335,42 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
             got = _family_links(table.slice(a, b - a), num, den)
             u += got[0]
             v += got[1]
-            whole += [table["blocks"][a].as_py() == 1] * (b - a)
+            whole += [table["blocks"][a].as_py() == 1] * len(got[0])
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "whole": pa.array(whole, pa.bool_())})
 
-    links = shared.table(placed.groupBy("bundle", "i", "j").applyInArrow(link, "u long, v long, whole boolean"))
-    parted = links.filter("not whole")
+    def linked(placed: DataFrame, *by: str) -> DataFrame:
+        return shared.table(placed.groupBy(*by).applyInArrow(link, "u long, v long, whole boolean"))
+
+    placed = members.join(weights, "family").select(*sets, "family", "blocks", "alone", F.pmod(F.xxhash64("doc_id", F.lit("block")), F.col("blocks")).cast("int").alias("b"))
+    lot = F.pmod(F.xxhash64("doc_id", F.lit("pivot")), F.lit(PIVOTS))
+    pivots = placed.filter("blocks > 1").groupBy("family", "blocks", "alone", lot.alias("lot")).agg(F.min_by(F.struct(*sets), F.struct(F.col("n") - grams, "doc_id")).alias("s"))
+    pivots = pivots.select("s.*", "family", "blocks", "alone", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"))
+    bundle = F.when(F.col("alone"), F.col("family")).otherwise(-1 - F.pmod(F.xxhash64("family"), F.lit(m * 4)))
+    links = linked(placed.unionByName(pivots).select(*sets, "family", "blocks", "b", bundle.alias("bundle")), "bundle", "b")
     label = links.filter("whole and u != v").select(F.col("u").alias("rep"), F.col("v").alias("component"))
+    parted = links.filter("not whole").select("u", "v")
     if not parted.isEmpty():
-        label = label.unionByName(connected_components(parted.select("u", "v"), shared).withColumnRenamed("node", "rep"))
+        # sets outside of a family's largest component, and those that share an n-gram of the prefixes with one of them
+        near = shared.table(connected_components(parted, shared))
+        large = members.join(weights.filter("blocks > 1").select("family"), "family").select("doc_id", "family", "prefix", grams.alias("w"))
+        large = large.join(near.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        main = large.groupBy("family", "component").agg(F.count("*").alias("c")).groupBy("family").agg(F.max_by("component", F.struct("c", "component")).alias("main"))
+        large = large.join(main, "family")
+        rest = shared.table(large.filter("component != main").select("doc_id", "family", "prefix", "w"))
+        if not rest.isEmpty():
+            asked = rest.select("family", F.explode("prefix").alias("gram")).distinct()
+            other = large.select("doc_id", "family", "w", F.explode("prefix").alias("gram")).join(asked, ["family", "gram"], "left_semi")
+            other = shared.table(other.select("doc_id", "family", "w").distinct())
+            sides = [x.groupBy("family").agg(F.ceil(F.sum("w") / MEET_GRAMS).cast("int").alias(c)) for x, c in ((rest, "n_i"), (other, "n_j"))]
+            counts = sides[0].join(sides[1], "family")
+            deal = lambda c: F.pmod(F.xxhash64("doc_id", F.lit("meet")), F.col(c)).cast("int")
+            every_of = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+            left_side = rest.join(counts, "family").select("doc_id", deal("n_i").alias("i"), every_of("n_j").alias("j"))
+            right_side = other.join(counts, "family").select("doc_id", every_of("n_i").alias("i"), deal("n_j").alias("j"))
+            meet = left_side.union(right_side).distinct().join(members.select(*sets, "family"), "doc_id").withColumn("blocks", F.lit(2))
+            parted = parted.union(linked(meet, "family", "i", "j").select("u", "v"))
+        label = label.unionByName(connected_components(parted, shared).withColumnRenamed("node", "rep"))
+        links = links.select("u", "v").union(parted)
     label = label.groupBy("rep").agg(F.min("component").alias("component"))
     at = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("rep"))
     out = every.select("doc_id", at.alias("rep"), "n")

@@ -1,114 +1,140 @@
 """Substring dedup by level-wise doubling of word windows.
 
-Level one takes windows of half the wanted length, one for each wanted window: that with the least
-hash inside it. Wanted windows whose half is found in one document alone can't repeat; only the
-others are extended to the full length and asked about. Only this one extension is built: doubling
-is not carried on beyond the wanted length until no candidate survives, so how long the longest
-repeats are is not told. The words to remove don't depend on it.
+Level one asks which windows of a few words several documents hold. A window of the wanted length
+stays a candidate if all of its parts do; the parts of twice the length inside candidates alone are
+asked about at the next level, and so on, until the wanted length is reached or a chunk of texts
+has no candidate left, which then asks nothing more. The last level asks for the least document
+that holds a candidate as a whole.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _exchange as X
-from ._text import inside, repeated_keys, slice_hashes, table_batches, windows, words
+from ._text import distinct, slice_hashes, table_batches, windows, words
 
+FIRST_WORDS = 4  # the windows of level one
 
-def _halves(full: np.ndarray, length: int, half: int) -> np.ndarray:
-    """The least hash of the windows of `half` words inside each window of `length` words."""
-    n = max(0, len(full) - (length - half))
-    out = full[:n].copy()
-    for j in range(1, length - half + 1):
-        np.minimum(out, full[j : j + n], out=out)
+
+def levels(length: int, first: int = FIRST_WORDS) -> list[int]:
+    """The lengths asked about: each twice the one before, up to the wanted one."""
+    out = [min(first, length)]
+    while out[-1] < length:
+        out.append(min(2 * out[-1], length))
     return out
 
 
-def _scan(table: pa.Table, length: int):
-    """For about a megabyte of texts at a time: first row, buffer, words, hashes, which windows stay in a text, and their rows."""
-    half = -(-length // 2)
-    for first, last, buf, offsets in table_batches(table, "text"):
-        starts, ends, at = words(buf, offsets)
-        hashes = slice_hashes(buf, starts, ends)
-        ok = np.flatnonzero(inside(at, length))
-        row = np.repeat(np.arange(first, last), np.diff(at))[ok]
-        least = _halves(windows(hashes, half), length, half)[ok]
-        yield first, buf, offsets, (starts, ends, at), hashes, ok, row, least
-
-
-def _level_one(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keys, rows = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-    for *_, row, least in _scan(table, length):
-        new = np.flatnonzero(np.concatenate(([True], (least[1:] != least[:-1]) | (row[1:] != row[:-1])))) if len(least) else row
-        keys.append(least[new])
-        rows.append(row[new])
-    ids = X.order_ids(table)
-    return repeated_keys(np.concatenate(keys), ids[np.concatenate(rows)] if len(ids) else ids)
-
-
-def _candidates(table: pa.Table, replies: pa.Table, length: int, n: int):
-    """_scan, with the candidate windows' places in `ok` and their hashes at the full length."""
-    keys, _, several = _level_one(table, length)
-    shared = keys[X.receive(replies.filter(pa.compute.equal(replies["level"], 1)), keys, n, bool)]
-    for first, buf, offsets, found, hashes, ok, row, least in _scan(table, length):
-        where = np.searchsorted(shared, least)
-        held = np.zeros(len(least), bool)
-        near = where < len(shared)
-        held[near] = shared[where[near]] == least[near]
-        spot = np.flatnonzero(held)
-        yield first, buf, offsets, found, ok[spot], row[spot], windows(hashes, length)[ok[spot]] if len(spot) else np.empty(0, np.uint64)
-
-
-def _level_two(table: pa.Table, replies: pa.Table, length: int, n: int):
-    keys, rows = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-    for *_, row, full in _candidates(table, replies, length, n):
-        keys.append(full)
-        rows.append(row)
-    ids = X.order_ids(table)
-    keys, least, _ = repeated_keys(np.concatenate(keys), ids[np.concatenate(rows)] if len(ids) else ids)
-    return keys, least
-
-
-def dedup(df: DataFrame, length: int = 13, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept, *carry): `kept` has the words left, joined by one space.
+class _Candidates:
+    """The windows of a chunk's texts that can still repeat, by the word they start at."""
+
+    def __init__(self, table: pa.Table, length: int, n: int):
+        self.table, self.length, self.n = table, length, n
+        self.ids = X.order_ids(table)
+        hashes, others, counts = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for _, _, buf, offsets in table_batches(table, "text"):
+            starts, ends, at = words(buf, offsets)
+            hashes.append(slice_hashes(buf, starts, ends))
+            others.append(slice_hashes(buf, starts, ends, 1))
+            counts.append(np.diff(at))
+        self.hashes, self.others, counts = np.concatenate(hashes), np.concatenate(others), np.concatenate(counts)
+        self.row = np.repeat(np.arange(len(counts)), counts)
+        end = np.repeat(np.cumsum(counts), counts)
+        self.alive = np.arange(len(self.row)) + length <= end
+
+    def parts(self, size: int) -> np.ndarray:
+        """Where the windows of `size` words inside candidates start."""
+        run = np.concatenate(([0], np.cumsum(self.alive)))
+        at = np.arange(len(self.alive))
+        return np.flatnonzero(run[1:] > run[np.maximum(at - (self.length - size), 0)])
+
+    def _names(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(places of the parts, an order of them, where in it a new one begins, hash, least owner of each new one)."""
+        at = self.parts(size)
+        keys = windows(self.hashes, size)[at] if len(at) else self.hashes[:0]
+        more = (windows(self.others, size)[at],) if size == self.length and len(at) else ()
+        order, new = distinct(keys, *more)
+        return at, order, new, keys, self.ids[self.row[at]]
+
+    def ask(self, size: int) -> pa.Table:
+        at, order, new, keys, owner = self._names(size)
+        first = np.flatnonzero(new)
+        chunk = self.table["chunk"][0].as_py()
+        if not len(first):
+            return X.send(chunk, keys, np.empty(0, bool), self.n)
+        owner = owner[order]
+        least = np.minimum.reduceat(owner, first)
+        if size < self.length:
+            return X.send(chunk, keys[order][first], least != np.maximum.reduceat(owner, first), self.n, np.uint32)
+        other = windows(self.others, size)[at][order][first]
+        return X.send(chunk, keys[order][first], np.stack((other.view(np.int64), least), axis=1), self.n)
+
+    def narrow(self, size: int, replies: pa.Table) -> None:
+        """Keep the candidates all of whose parts are held by several documents; at full length, by an earlier one."""
+        at, order, new, keys, owner = self._names(size)
+        first = np.flatnonzero(new)
+        told = X.receive(replies, keys[order][first], self.n, bool)
+        held = np.zeros(len(self.alive) + 1, np.int64)
+        which = np.cumsum(new) - 1
+        if size < self.length:
+            held[at[order]] = told[which]
+        elif len(first):
+            least = np.minimum.reduceat(owner[order], first)
+            held[at[order]] = told[which] | (least[which] < owner[order])
+        run = np.concatenate(([0], np.cumsum(held)))
+        spot = np.flatnonzero(self.alive)
+        reach = self.length - size + 1
+        self.alive[spot] = run[spot + reach] - run[spot] == reach
+
+
+def dedup(df: DataFrame, length: int = 13, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), whole: bool = False, first: int = FIRST_WORDS) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept, carried): `kept` has the words left, joined by one space.
 
     A word goes if a window of `length` words that covers it also starts in a document with a
     smaller id. Words are runs of bytes other than ASCII white space. A null text has no words and
     gives an empty `kept`; a null id counts as the least; rows that share an id aren't smaller than
-    one another, so none removes the other's words. An empty table gives none; of other
-    columns only those named in `carry` are read. Windows are compared by 64-bit hashes of their words. Memory goes by chunks of about
-    4 MB of stored input; whole texts are hashed a megabyte at a time.
+    one another, so none removes the other's words. An empty table gives none. Of other columns
+    only those named in `carry` are read; they come back as a struct, `carried`, whatever their
+    names (without any there is no such column). With `whole` the text comes back as well, as it
+    was, in a column of that name. Windows shorter than `length` are compared by
+    hashes, which only narrows the search; those removed by two independent hashes, 128 bits.
+    Memory goes by chunks of about 4 MB of stored input; a text of N bytes takes some 50 N bytes.
     """
     if length < 2:
         raise ValueError("length must be at least 2")
-    n = X.ways(df)
-    docs = X.chunked(df, n, key, text, *carry)
-    extra = "".join(f", `{c}` {df.schema[c].dataType.simpleString()}" for c in carry)
-
-    def halves(table: pa.Table) -> pa.Table:
-        keys, _, several = _level_one(table, length)
-        return X.send(table["chunk"][0].as_py(), keys, several, n)
-
-    def fulls(table: pa.Table, replies: pa.Table) -> pa.Table:
-        keys, least = _level_two(table, replies, length, n)
-        return X.send(table["chunk"][0].as_py(), keys, least, n)
+    chunks = X.ways(df)
+    n = X.ranges(df, chunks)
+    docs = X.chunked(df, chunks, key, text, *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []))
+    sizes = levels(length, first)
+
+    def narrowed(table: pa.Table, replies: pa.Table | None, upto: int) -> _Candidates:
+        found = _Candidates(table, length, n)
+        for k in range(upto):
+            found.narrow(sizes[k], replies.filter(pc.equal(replies["level"], k)))
+        return found
+
+    def question(k: int):
+        if k == 0:
+            return lambda table: narrowed(table, None, 0).ask(sizes[0])
+        return lambda table, replies: narrowed(table, replies, k).ask(sizes[k])
 
     def cut(table: pa.Table, replies: pa.Table) -> pa.Table:
-        keys, least = _level_two(table, replies, length, n)
-        earlier = X.receive(replies.filter(pa.compute.equal(replies["level"], 2)), keys, n, bool)
-        ids = X.order_ids(table)
-        n_words, n_removed, kept = [], [], []
-        for _, buf, offsets, (starts, ends, at), spot, row, full in _candidates(table, replies, length, n):
-            where = np.searchsorted(keys, full)
-            hit = spot[earlier[where] | (least[where] < ids[row])]
-            cover = np.zeros(len(starts) + 1, np.int64)
-            np.add.at(cover, hit, 1)
-            np.add.at(cover, hit + length, -1)
-            gone = np.cumsum(cover[:-1]) > 0
-            removed = np.concatenate(([0], np.cumsum(gone)))[at]
+        hit = narrowed(table, replies, len(sizes)).alive
+        cover = np.zeros(len(hit) + 1, np.int64)
+        spot = np.flatnonzero(hit)
+        np.add.at(cover, spot, 1)
+        np.add.at(cover, spot + length, -1)
+        gone = np.cumsum(cover[:-1]) > 0
+        n_words, n_removed, kept, done = [], [], [], 0
+        for _, _, buf, offsets in table_batches(table, "text"):
+            _, _, at = words(buf, offsets)
+            mine = gone[done : done + int(at[-1])]
+            done += len(mine)
+            removed = np.concatenate(([0], np.cumsum(mine)))[at]
             raw = buf.tobytes()
             for i, total in enumerate(np.diff(at).tolist()):
                 less = int(removed[i + 1] - removed[i])
@@ -116,11 +142,16 @@ def dedup(df: DataFrame, length: int = 13, key: str = "doc_id", text: str = "tex
                 n_removed.append(less)
                 parts = raw[offsets[i] : offsets[i + 1]].split()
                 if less:
-                    parts = [w for w, x in zip(parts, gone[at[i] : at[i + 1]].tolist(), strict=True) if not x]
+                    parts = [w for w, x in zip(parts, mine[at[i] : at[i + 1]].tolist(), strict=True) if not x]
                 kept.append(b" ".join(parts))
         own = {"doc_id": table["doc_id"], "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept": pa.array(kept, pa.binary()).cast(pa.string())}
-        return pa.table(own | {c: table[c] for c in carry})
-
-    one = X.ask(docs, halves, X.in_several).withColumn("level", F.lit(1))
-    two = X.ask(docs, fulls, X.elsewhere_first, one).withColumn("level", F.lit(2))
-    return X.tell(docs, one.unionByName(two), cut, "doc_id long, n_words long, n_removed long, kept string" + extra)
+        return pa.table(own | ({"carried": table["carried"]} if carry else {}) | ({"whole": table["text"].cast(pa.string())} if whole else {}))
+
+    replies = None
+    for k, size in enumerate(sizes):
+        answer = X.elsewhere_first if size == length else X.halves_in_several
+        told = X.ask(docs, question(k), answer, replies).withColumn("level", F.lit(k))
+        replies = told if replies is None else replies.unionByName(told)
+    extra = f", carried {docs.schema['carried'].dataType.simpleString()}" if carry else ""
+    extra += ", whole string" if whole else ""
+    return X.tell(docs, replies, cut, "doc_id long, n_words long, n_removed long, kept string" + extra)

@@ -3,10 +3,11 @@
 The suffixes worth sorting are found first: of each window of `length` bytes the least hashed gram
 inside it stands for the window, and windows whose gram one place alone holds can't repeat. The
 others travel with their bytes, as runs of windows around one place of the gram, to the task that
-owns the gram; there their suffixes are sorted by a deep-shallow sort to `length` bytes, and equal
-neighbours show which windows start earlier elsewhere. Runs that a chunk holds several times
-travel once. A gram that very many chunks hold is split: its windows travel one by one, by their
-own hash, so no task owns all of them.
+owns the gram. A deep-shallow sort decides what is equal, everywhere: it orders a chunk's runs, so
+that those it holds several times travel once; it orders the runs that a task receives; and it
+orders the suffixes of all distinct runs there to `length` bytes, where equal neighbours show which
+windows start earlier elsewhere. A gram at very many places is split: its windows travel one by
+one, by their own hash, so no task owns all of them.
 """
 
 from __future__ import annotations
@@ -18,14 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _exchange as X
-from ._plan import Shared
-from ._text import mix, repeated_keys, spread, table_batches
-from .bpe import powers
+from ._text import mix, spread, table_batches
 
 _U = np.uint64
 SHALLOW = 64  # bytes that the multikey quicksort sees
 OFFSETS = 64  # places that a window's gram can take in it
-HOT_CHUNKS = 1024  # chunks from which a gram's windows travel one by one
+HOT_PLACES = 1 << 16  # places from which a gram's windows travel one by one
+_BASE, _INVERSE = _U(0x9E3779B97F4A7C15), _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 class BlindTrie:
@@ -80,59 +80,138 @@ class BlindTrie:
         return out
 
 
-def deep_shallow_sort(buf: np.ndarray, starts: np.ndarray, length: int, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
+def _eights(buf: np.ndarray, beyond: int) -> np.ndarray:
+    """The eight bytes from each place on as a number in the order of strings; zeros follow the end."""
+    out = np.concatenate((buf, np.zeros(beyond, np.uint8))).astype(_U)
+    for step in (1, 2, 4):
+        out = out << _U(8 * step) | np.concatenate((out[step:], np.zeros(step, _U)))
+    return out
+
+
+def deep_shallow_sort(buf: np.ndarray, starts: np.ndarray, length: int | np.ndarray, shallow: int = SHALLOW, within: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(order of the suffixes at `starts` by their first `length` bytes, number of each one's group of equals, in that order).
 
-    Shallow: multikey quicksort with eight bytes as one key; each round splits groups that tie. Deep:
-    groups that still tie at `shallow` bytes, if not equal throughout, go through a blind trie.
+    Suffixes are compared only with those of the same number in `within`, which must have one
+    length (of at least eight bytes); without it all are. Shallow: multikey quicksort with eight
+    bytes as one key, all groups side by side. Each round splits a group three ways at its middle
+    key; what equals it goes on eight bytes deeper. Deep: groups that still tie at `shallow` bytes,
+    if not equal throughout, go through a blind trie.
     """
     n = len(starts)
-    padded = np.concatenate((buf, np.zeros(length + 8, np.uint8)))
-    eight = np.zeros(len(buf) + length, _U)
-    for k in range(8):
-        eight = eight << _U(8) | padded[k : k + len(eight)]
-    order, head = np.arange(n), np.zeros(n, bool)  # head: a new group begins here
-    if n:
-        head[0] = True
-    active = np.arange(n)  # places in `order` that tie with a neighbour
-    depth, limit = 0, min(shallow, length) // 8 * 8
-    while depth < limit and len(active):
-        group = np.cumsum(head)[active]
-        key = eight[starts[order[active]] + depth]
-        rank = np.lexsort((key, group))
-        order[active] = order[active[rank]]
-        key = key[rank]
-        head[active[1:]] |= key[1:] != key[:-1]
-        ties = ~head
-        ties[:-1] |= ~head[1:]
-        active = np.flatnonzero(ties)
-        depth += 8
-    if len(active):
-        begin = np.flatnonzero(head[active])
-        end = np.append(begin[1:], len(active))
-        first = np.repeat(starts[order[active[begin]]], end - begin)
-        mine = starts[order[active]]
-        differ = np.zeros(len(active), bool)
-        for d in (*range(depth, length - 7, 8), length - 8):
-            differ |= eight[first + d] != eight[mine + d]
+    length = np.full(n, length, np.int64) if np.isscalar(length) else np.asarray(length, np.int64)
+    eight = _eights(buf, int(length.max(initial=0)) + 8)
+    order = np.arange(n) if within is None else np.argsort(within, kind="stable")
+    head = np.zeros(n, bool)  # a new group begins here
+    head[:1] = True
+    if within is not None:
+        head[1:] = within[order][1:] != within[order][:-1]
+    spot, depth = np.arange(n), np.zeros(n, np.int64)  # places in `order` whose group isn't settled, and how deep it is seen
+    deep = [spot[:0]]
+    first = head.copy()  # of each group among `spot`
+    while len(spot):
+        begin = np.flatnonzero(first)
+        size = np.diff(np.append(begin, len(spot)))
+        row = order[spot]
+        limit = np.minimum(shallow, length[row]) // 8 * 8
+        lone, low = np.repeat(size, size) == 1, depth >= limit
+        if lone.any() or low.any():
+            deep.append(spot[low & ~lone])
+            keep = ~(lone | low)
+            spot, depth, first, row = spot[keep], depth[keep], first[keep], row[keep]
+            if not len(spot):
+                break
+            begin = np.flatnonzero(first)
+            size = np.diff(np.append(begin, len(spot)))
+        key = eight[starts[row] + depth]
+        pivot = np.repeat(key[begin + size // 2], size)
+        less, same = key < pivot, key == pivot
+        ends = begin + size
+
+        def tally(flag: np.ndarray, begin=begin, ends=ends, size=size) -> tuple[np.ndarray, np.ndarray]:
+            """How many of the group before each one, and in all, are flagged."""
+            run = np.concatenate(([0], np.cumsum(flag)))
+            return run[:-1] - np.repeat(run[begin], size), run[ends] - run[begin]
+
+        less_before, n_less = tally(less)
+        same_before, n_same = tally(same)
+        inner = np.arange(len(spot)) - np.repeat(begin, size)
+        to = np.where(less, less_before, np.where(same, np.repeat(n_less, size) + same_before, np.repeat(n_less + n_same, size) + inner - less_before - same_before)) + np.repeat(begin, size)
+        placed, deeper = np.empty_like(row), np.empty_like(depth)
+        placed[to] = row
+        deeper[to] = depth + 8 * same
+        first = np.zeros(len(spot) + 1, bool)
+        first[begin] = True
+        first[begin + n_less] = True
+        first[begin + n_less + n_same] = True
+        first = first[:-1]
+        order[spot], depth = placed, deeper
+        head[spot[first]] = True
+    tied = np.sort(np.concatenate(deep))
+    if len(tied):
+        begin = np.flatnonzero(head[tied])
+        size = np.diff(np.append(begin, len(tied)))
+        mine, other = starts[order[tied]], np.repeat(starts[order[tied[begin]]], size)
+        total = length[order[tied]]
+        differ = np.zeros(len(tied), bool)
+        for d in range(shallow // 8 * 8, int(total.max()), 8):
+            at = np.minimum(d, total - 8)
+            differ |= eight[mine + at] != eight[other + at]
+        short = np.minimum(shallow, total) // 8 * 8 == total // 8 * 8  # the last bytes of short strings
+        differ[short] |= (eight[mine + total - 8] != eight[other + total - 8])[short]
         uneven = np.logical_or.reduceat(differ, begin)
-        for b, e in zip(begin[uneven].tolist(), end[uneven].tolist(), strict=True):
+        for b, e in zip(begin[uneven].tolist(), (begin + size)[uneven].tolist(), strict=True):
             trie = BlindTrie()
-            for row in order[active[b:e]].tolist():
-                trie.add(buf[starts[row] : starts[row] + length].tobytes(), row)
-            spot = int(active[b])
+            for row in order[tied[b:e]].tolist():
+                trie.add(buf[starts[row] : starts[row] + length[row]].tobytes(), row)
+            at = int(tied[b])
             for rows in trie.sorted():
-                order[spot : spot + len(rows)] = rows
-                head[spot] = True
-                spot += len(rows)
+                order[at : at + len(rows)] = rows
+                head[at] = True
+                at += len(rows)
     return order, np.cumsum(head) - 1
 
 
+def _labels(*columns: np.ndarray) -> np.ndarray:
+    """A number for each distinct row of the columns."""
+    order = np.lexsort(columns)
+    new = np.zeros(len(order), bool)
+    for c in columns:
+        new[1:] |= c[order][1:] != c[order][:-1]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+def _leaders(buf: np.ndarray, start: np.ndarray, size: np.ndarray, key: np.ndarray, low: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """For each run the earliest of those equal to it in gram, offset and bytes, as the sort finds them."""
+    order, group = deep_shallow_sort(buf, start, size, within=_labels(key, low, size))
+    rank = np.lexsort((place[order, 1], place[order, 0], group))
+    order, group = order[rank], group[rank]
+    lead = np.flatnonzero(np.diff(group, prepend=-1))
+    out = np.empty(len(start), np.int64)
+    out[order] = order[lead][group]
+    return out
+
+
+_powers = (np.ones(1, _U), np.ones(1, _U))
+
+
+def _rolling(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n of the rolling hash's base and of its inverse mod 2**64."""
+    global _powers
+    if len(_powers[0]) <= n:
+        size = max(n + 1, 1 << 16)
+        up, down = np.full(size, _BASE, _U), np.full(size, _INVERSE, _U)
+        up[0] = down[0] = 1
+        _powers = np.cumprod(up, dtype=_U), np.cumprod(down, dtype=_U)
+    return _powers
+
+
 def _grams(buf: np.ndarray, size: int) -> np.ndarray:
-    """A hash of the `size` bytes from each place on."""
+    """A rolling hash of the `size` bytes from each place on. It only names candidates; bytes decide what is equal."""
     if len(buf) < size:
         return np.empty(0, _U)
-    up, down = powers(len(buf))
+    up, down = _rolling(len(buf))
     run = np.zeros(len(buf) + 1, _U)
     np.cumsum((buf.astype(_U) + _U(1)) * up[: len(buf)], out=run[1:])
     return mix((run[size:] - run[:-size]) * down[: len(buf) - size + 1])
@@ -161,19 +240,18 @@ def _windows(table: pa.Table, length: int):
         yield first, buf, offsets, grams, place, row, least, np.flatnonzero(new)
 
 
-def _level_one(table: pa.Table, skip: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def _level_one(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct least grams of the chunk's windows, at how many places each stands)."""
     keys = [np.empty(0, _U)]
     for _, _, _, grams, place, row, least, new in _windows(table, length):
-        mine = ~skip[row[new]]
-        keys.append(least[new][mine])
+        keys.append(least[new])
         if len(place):  # a gram at a window's very start that is the next one's least as well has a second place
             again = grams[place] == least
             again[:-1] &= (least[1:] == least[:-1]) & (row[1:] == row[:-1])
             again[-1] = False
-            keys.append(least[new][mine & np.logical_or.reduceat(again, new)])
-    keys = np.concatenate(keys)
-    keys, _, several = repeated_keys(keys, np.arange(len(keys)))
-    return keys, several
+            keys.append(least[new][np.logical_or.reduceat(again, new)])
+    keys, count = np.unique(np.concatenate(keys), return_counts=True)
+    return keys, count.astype(np.uint32)
 
 
 def _runs(grams: np.ndarray, least: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray):
@@ -198,61 +276,54 @@ def _runs(grams: np.ndarray, least: np.ndarray, place: np.ndarray, a: np.ndarray
 class _Contexts:
     """A chunk's runs of candidate windows: where they lie, and one of each kind with its bytes."""
 
-    def __init__(self, table: pa.Table, skip: np.ndarray, shared: np.ndarray, hot: np.ndarray, length: int):
-        self.kinds: dict[tuple[int, int, bytes], int] = {}
-        keys, low, place, raw, owner = [], [], [], [], []
-        self.runs = []  # for each batch: kind, row, start byte in the text, lowest and highest offset
+    def __init__(self, table: pa.Table, shared: np.ndarray, hot: np.ndarray, length: int):
+        self.runs = []  # for each batch: number of the first run, row, start byte in the text, lowest and highest offset
         ids = X.order_ids(table)
+        none = np.empty(0, np.int64)
+        names, lows, places, sizes, raws = [np.empty(0, _U)], [none], [none.reshape(0, 2)], [none], [np.empty(0, np.uint8)]
+        count = 0
         for first, buf, offsets, grams, spot, row, least, new in _windows(table, length):
             end = np.append(new[1:], len(spot))
             where = np.minimum(np.searchsorted(shared, least[new]), max(len(shared) - 1, 0))
             mine = shared[where] == least[new] if len(shared) else np.zeros(len(new), bool)
-            mine &= ~skip[row[new]]
             where, a, b = where[mine], new[mine], end[mine]
             many = hot[where]
             run_a, run_b, at = _runs(grams, least, spot, a[~many], b[~many])
             single = spread(a[many], b[many] - a[many])
-            solo = np.zeros(len(run_a) + len(single), bool)
-            solo[len(run_a) :] = True
+            name = np.concatenate((least[run_a], _grams(buf, length)[spot[single]] if len(single) else np.empty(0, _U)))
             run_a, run_b = np.concatenate((run_a, single)), np.concatenate((run_b, single + 1))
             at = np.concatenate((at, spot[single]))  # a window alone is told apart by its own hash, at offset 0
-            name = least[run_a]
-            if len(single):
-                name[solo] = _grams(buf, length)[spot[single]]
-            begin, stop = spot[run_a], spot[run_b - 1] + length
-            text = buf.tobytes()
-            kind = np.empty(len(run_a), np.int64)
+            begin = spot[run_a]
+            size = spot[run_b - 1] + length - begin if len(run_a) else none
             rows = row[run_a]
-            lows = at - spot[run_b - 1]
+            low = at - spot[run_b - 1] if len(run_a) else none
             inner = begin - offsets[rows - first]
-            docs = ids[rows]
-            for i, (k, x, s, e) in enumerate(zip(name.tolist(), lows.tolist(), begin.tolist(), stop.tolist(), strict=True)):
-                label = (k, x, text[s:e])
-                j = self.kinds.get(label)
-                if j is None:
-                    j = self.kinds[label] = len(keys)
-                    keys.append(k)
-                    low.append(x)
-                    raw.append(label[2])
-                    place.append((docs[i], inner[i]))
-                    owner.append((len(self.runs), i))
-                elif (docs[i], inner[i]) < place[j]:
-                    place[j] = (docs[i], inner[i])
-                    owner[j] = (len(self.runs), i)
-                kind[i] = j
-            self.runs.append((kind, rows, inner, lows, at - spot[run_a]))
-        self.keys, self.low = np.array(keys, _U), np.array(low, np.uint8)
-        self.place = np.array(place, np.int64).reshape(-1, 2)
-        self.raw, self.owner = raw, owner
+            names.append(name)
+            lows.append(low)
+            sizes.append(size)
+            places.append(np.stack((ids[rows], inner), axis=1))
+            raws.append(buf[spread(begin, size)])
+            self.runs.append((count, rows, inner, low, at - begin))
+            count += len(rows)
+        names, lows, places, sizes, raw = (np.concatenate(x) for x in (names, lows, places, sizes, raws))
+        start = np.cumsum(sizes) - sizes
+        lead = _leaders(raw, start, sizes, names, lows, places)
+        self.lead = lead == np.arange(count)
+        mine = np.flatnonzero(self.lead)
+        self.kind = np.searchsorted(mine, lead)
+        self.keys, self.low, self.place, self.size = names[mine], lows[mine].astype(np.uint8), places[mine], sizes[mine]
+        self.raw = raw[spread(start[mine], self.size)].tobytes()
+        self.start = np.cumsum(self.size) - self.size
 
     def send(self, chunk: int, n: int) -> pa.Table:
         order, there, cuts = X._route(self.keys, n)
         rows = {"p": there, "chunk": [chunk] * len(there), "keys": [], "extra": []}
-        size = np.array([len(x) for x in self.raw], np.uint8)
+        size, start = self.size.astype(np.uint32), self.start.tolist()
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             mine = order[a:b]
             rows["keys"].append(self.keys[mine].tobytes())
-            rows["extra"].append(self.place[mine].tobytes() + self.low[mine].tobytes() + size[mine].tobytes() + b"".join([self.raw[i] for i in mine]))
+            text = b"".join([self.raw[start[i] : start[i] + k] for i, k in zip(mine.tolist(), self.size[mine].tolist(), strict=True)])
+            rows["extra"].append(self.place[mine].tobytes() + size[mine].tobytes() + self.low[mine].tobytes() + text)
         return pa.table({k: pa.array(v, pa.binary() if k in ("keys", "extra") else pa.int64()) for k, v in rows.items()})
 
 
@@ -264,122 +335,85 @@ def _sort_windows(table: pa.Table, length: int) -> pa.Table:
         m = len(k)
         keys.append(k)
         place.append(np.frombuffer(extra, np.int64, 2 * m).reshape(-1, 2))
-        low.append(np.frombuffer(extra, np.uint8, m, 16 * m))
-        size.append(np.frombuffer(extra, np.uint8, m, 17 * m))
-        raw.append(extra[18 * m :])
+        size.append(np.frombuffer(extra, np.uint32, m, 16 * m))
+        low.append(np.frombuffer(extra, np.uint8, m, 20 * m))
+        raw.append(extra[21 * m :])
         cuts.append(cuts[-1] + m)
     keys, place, low, size = (np.concatenate(x) for x in (keys, place, low, size))
     low, size = low.astype(np.int64), size.astype(np.int64)
-    text = b"".join(raw)
-    start = np.concatenate(([0], np.cumsum(size)[:-1]))
+    text = np.frombuffer(b"".join(raw), np.uint8)
+    start = np.cumsum(size) - size
     n = len(keys)
-    # equal runs of one gram: all but the first are covered throughout
-    rank = np.lexsort((place[:, 1], place[:, 0]))
-    label: dict[tuple[int, int, bytes], int] = {}
-    mine = np.empty(n, np.int64)
-    names = list(zip(keys.tolist(), low.tolist(), start.tolist(), size.tolist(), strict=True))
-    for i in rank.tolist():
-        k, x, s, m = names[i]
-        mine[i] = label.setdefault((k, x, text[s : s + m]), i)
+    # of runs that the sort finds equal, all but the earliest are covered throughout
+    lead = _leaders(text, start, size, keys, low, place) == np.arange(n)
     windows = size - length + 1
     every = np.where(windows == 64, ~_U(0), (_U(1) << (windows.astype(_U) % _U(64))) - _U(1)) << low.astype(_U)
-    mask = np.where(mine == np.arange(n), _U(0), every)
-    # distinct runs of a gram that has several: sort all their windows
-    only = np.flatnonzero(mine == np.arange(n))
-    order = only[np.argsort(keys[only], kind="stable")]
-    same = keys[order][1:] == keys[order][:-1]
-    several = np.zeros(len(order), bool)
-    several[1:] |= same
-    several[:-1] |= same
-    only = order[several]
-    if len(only):
-        count = windows[only]
-        run = np.repeat(only, count)
-        step = spread(np.zeros(len(only), np.int64), count)  # from the run's first window on
-        where = spread(np.concatenate(([0], np.cumsum(size[only])[:-1])), count)
-        buf = np.frombuffer(text, np.uint8)[spread(start[only], size[only])]
-        sorted_, group = deep_shallow_sort(buf, where, length)
-        doc, byte = place[run, 0][sorted_], (place[run, 1] + step)[sorted_]
-        first = np.lexsort((byte, doc, group))
-        lead = np.concatenate(([True], group[first][1:] != group[first][:-1]))
-        late = sorted_[first[~lead]]
-        bit = low[run[late]] + count.repeat(count)[late] - 1 - step[late]
-        np.bitwise_or.at(mask, run[late], _U(1) << bit.astype(_U))
+    mask = np.where(lead, _U(0), every)
+    # the others' suffixes, gram by gram: equal neighbours start in several places
+    only = np.flatnonzero(lead)
+    count = windows[only]
+    run = np.repeat(only, count)
+    step = spread(np.zeros(len(only), np.int64), count)  # from the run's first window on
+    order, group = deep_shallow_sort(text, start[run] + step, length, within=_labels(keys)[run])
+    doc, byte = place[run, 0][order], (place[run, 1] + step)[order]
+    rank = np.lexsort((byte, doc, group))
+    late = order[rank[np.diff(group[rank], prepend=-1) == 0]]
+    bit = low[run[late]] + windows[run[late]] - 1 - step[late]
+    np.bitwise_or.at(mask, run[late], _U(1) << bit.astype(_U))
     return X._reply(table, mask, cuts)
 
 
-def _shared_or_hot(hot_chunks: int):
+def _shared_or_hot(hot_places: int):
     def answer(table: pa.Table) -> pa.Table:
-        """0: one place alone; 1: several; 2: very many chunks."""
-        keys, several, cuts = X._entries(table, bool)
-        _, of, count = np.unique(keys, return_inverse=True, return_counts=True)
-        total = np.bincount(of, several, len(count)) + count
-        state = (total > 1).astype(np.uint8) + (count > hot_chunks)
-        return X._reply(table, state.astype(np.uint8)[of], cuts)
+        """0: one place alone; 1: several; 2: very many."""
+        keys, places, cuts = X._entries(table, np.uint32)
+        _, of = np.unique(keys, return_inverse=True)
+        total = np.bincount(of, places)
+        return X._reply(table, ((total > 1).astype(np.uint8) + (total > hot_places))[of], cuts)
 
     return answer
 
 
-def dedup(df: DataFrame, length: int = 100, key: str = "doc_id", text: str = "text", hot_chunks: int = HOT_CHUNKS) -> DataFrame:
+def dedup(df: DataFrame, length: int = 100, key: str = "doc_id", text: str = "text", hot_places: int = HOT_PLACES) -> DataFrame:
     """(doc_id, n_bytes, kept, spans): kept bytes, and starts and ends of the removed runs (flat, in order).
 
     A byte goes if a string of `length` bytes that covers it also starts earlier: in a document with
     a smaller id, or further left in its own. Strings are judged on the input and never cross
     documents. A null text is empty; a null id counts as the least; rows that share an id are compared
     by where strings start in them. An empty table gives none; other columns aren't read. Grams
-    are compared by 64-bit hashes, strings byte by byte. `kept` may cut a character in two.
+    are compared by 64-bit hashes, which only names candidates; the sort compares strings byte by
+    byte. `kept` may cut a character in two. A chunk's texts, and what comes of them, must fit one
+    Arrow array: texts of up to 2**30 bytes.
     """
     if length < OFFSETS + 8:
         raise ValueError(f"length must be at least {OFFSETS + 8}")
-    n = X.ways(df)
-    shared = Shared(df.sparkSession)
-    node = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
-    docs = X.chunked(df, n, key, text)
-    # a text of that length that equals an earlier one goes as a whole and need not be searched
-    marks = df.filter(F.octet_length(F.col(text)) >= length).select(node.alias("doc_id"), F.sha2(F.col(text).cast("binary"), 256).alias("mark"))
-    groups = marks.groupBy("mark").agg(F.min("doc_id").alias("rep"), F.count("*").alias("_c")).filter("_c > 1").drop("_c")
-    groups = shared.table(groups)  # so that the join back sees two plain sides, whose hot marks it can split
-    copies = marks.join(groups, "mark").filter("doc_id != rep")
-    back = F.when(F.col("doc_id") == -(1 << 63), F.lit(None)).otherwise(F.col("doc_id")).cast("long")
-    blank = F.lit(None).cast("binary")
-    told = copies.select(F.pmod(F.xxhash64(back, F.lit("chunk")), F.lit(n)).cast("long").alias("chunk"), F.lit(-1).cast("long").alias("p"), blank.alias("reply"), "doc_id", "mark").withColumn("level", F.lit(0))
-
-    def skipped(table: pa.Table, notes: pa.Table) -> np.ndarray:
-        import hashlib
-
-        mine = notes.filter(pc.equal(notes["level"], 0))
-        seen = set(zip(mine["doc_id"].to_pylist(), mine["mark"].to_pylist(), strict=True))
-        out = np.zeros(table.num_rows, bool)
-        if seen:
-            ids = {x for x, _ in seen}
-            for i, (x, t) in enumerate(zip(X.order_ids(table).tolist(), table["text"], strict=True)):
-                out[i] = x in ids and t.is_valid and (x, hashlib.sha256(t.as_buffer()).hexdigest()) in seen
-        return out
+    chunks = X.ways(df)
+    n = X.ranges(df, chunks)
+    docs = X.chunked(df, chunks, key, text)
 
     def level(notes: pa.Table, k: int) -> pa.Table:
         return notes.filter(pc.equal(notes["level"], k))
 
-    def ask_grams(table: pa.Table, notes: pa.Table) -> pa.Table:
-        keys, several = _level_one(table, skipped(table, notes), length)
-        return X.send(table["chunk"][0].as_py(), keys, several, n)
+    def ask_grams(table: pa.Table) -> pa.Table:
+        keys, places = _level_one(table, length)
+        return X.send(table["chunk"][0].as_py(), keys, places, n)
 
-    def contexts(table: pa.Table, notes: pa.Table, skip: np.ndarray) -> _Contexts:
-        keys, _ = _level_one(table, skip, length)
+    def contexts(table: pa.Table, notes: pa.Table) -> _Contexts:
+        keys, _ = _level_one(table, length)
         state = X.receive(level(notes, 1), keys, n, np.uint8)
-        return _Contexts(table, skip, keys[state > 0], state[state > 0] > 1, length)
+        return _Contexts(table, keys[state > 0], state[state > 0] > 1, length)
 
     def ask_windows(table: pa.Table, notes: pa.Table) -> pa.Table:
-        return contexts(table, notes, skipped(table, notes)).send(table["chunk"][0].as_py(), n)
+        return contexts(table, notes).send(table["chunk"][0].as_py(), n)
 
     def cut(table: pa.Table, notes: pa.Table) -> pa.Table:
-        skip = skipped(table, notes)
-        found = contexts(table, notes, skip)
+        found = contexts(table, notes)
         mask = X.receive(level(notes, 2), found.keys, n, _U)
         n_bytes, kept, spans = [], [], []
         for b, (first, last, buf, offsets) in enumerate(table_batches(table, "text")):
-            kind, rows, inner, low, high = found.runs[b]
+            base, rows, inner, low, high = found.runs[b]
+            kind, lead = found.kind[base : base + len(rows)], found.lead[base : base + len(rows)]
             bits = mask[kind]
-            lead = np.array([found.owner[k] == (b, i) for i, k in enumerate(kind.tolist())], bool)
             start = offsets[rows - first] + inner
             cover = np.zeros(len(buf) + 1, np.int64)
             count = high - low + 1
@@ -391,19 +425,14 @@ def dedup(df: DataFrame, length: int = 100, key: str = "doc_id", text: str = "te
             np.add.at(cover, at + length, -1)
             gone = np.cumsum(cover[:-1]) > 0
             raw = buf.tobytes()
-            for i, (s, e) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+            for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                 n_bytes.append(e - s)
-                if skip[first + i]:
-                    kept.append(b"")
-                    spans.append([0, e - s])
-                    continue
                 edge = np.flatnonzero(np.diff(np.concatenate(([False], gone[s:e], [False])).astype(np.int8))).tolist()
                 spans.append(edge)
                 inner_edge = [0, *edge, e - s]
                 kept.append(b"".join(raw[s + x : s + y] for x, y in zip(inner_edge[::2], inner_edge[1::2], strict=True)) if edge else raw[s:e])
         return pa.table({"doc_id": table["doc_id"], "n_bytes": pa.array(n_bytes, pa.int64()), "kept": pa.array(kept, pa.binary()), "spans": pa.array(spans, pa.list_(pa.int64()))})
 
-    one = X.ask(docs, ask_grams, _shared_or_hot(hot_chunks), told).withColumn("level", F.lit(1))
-    notes = told.unionByName(one, allowMissingColumns=True)
-    two = X.ask(docs, ask_windows, lambda t: _sort_windows(t, length), notes).withColumn("level", F.lit(2))
-    return X.tell(docs, notes.unionByName(two, allowMissingColumns=True), cut, "doc_id long, n_bytes long, kept binary, spans array<long>")
+    one = X.ask(docs, ask_grams, _shared_or_hot(hot_places)).withColumn("level", F.lit(1))
+    two = X.ask(docs, ask_windows, lambda t: _sort_windows(t, length), one).withColumn("level", F.lit(2))
+    return X.tell(docs, one.unionByName(two), cut, "doc_id long, n_bytes long, kept binary, spans array<long>")
