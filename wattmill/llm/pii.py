@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ._plan import Shared
 
 KINDS = ("email", "ip", "card", "phone")
+EMAIL, IP, CARD, PHONE, TOKEN = range(5)
 #: The base patterns, possessive where no later part could take characters back.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -44,25 +45,21 @@ def _hits(text: Column, kind: str, pattern: str) -> Column:
     return F.when(need, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
-def _spans(text: Column, hits: Column, pattern: str) -> Column:
-    """Array of (start, end, hit, left), in code points: what `split` leaves before each match tells where it starts.
+def _found(order: int, hits: Column, gaps: Column) -> Column:
+    """Array of (order, i, gap, size, hit, left) from a kind's matches and what `split` leaves around them.
 
-    `left` is the word left of the match, up to it where they touch; empty if there is none. It may be the match before.
+    gap and size are lengths in code points, so running sums tell where a match starts. `left` is the
+    word left of the match, from the kind's match before on, and up to the match where they touch;
+    empty if there is none.
     """
-    rows = F.arrays_zip(hits.alias("hit"), F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits)).alias("gap"))
-    none = F.array().cast("array<struct<start:int,end:int,hit:string,left:string>>")
 
-    def step(acc: Column, row: Column) -> Column:
-        start = acc["at"] + F.length(row["gap"])
-        end = start + F.length(row["hit"])
-        before = F.regexp_replace(F.concat(acc["last"], row["gap"]), f"(?<![{_OPENERS}])[{_OPENERS}]++$", "")
+    def one(hit: Column, i: Column) -> Column:
+        gap = F.get(gaps, i)
+        before = F.regexp_replace(F.concat(F.coalesce(F.get(hits, i - 1), F.lit("")), gap), f"(?<![{_OPENERS}])[{_OPENERS}]++$", "")
         left = F.lower(F.regexp_extract(before, _LAST_WORD, 1))
-        new = F.array(F.struct(start.alias("start"), end.alias("end"), row["hit"].alias("hit"), left.alias("left")))
-        last = F.regexp_extract(F.concat(acc["last"], row["gap"], row["hit"]), _LAST_WORD, 1)
-        return F.struct(end.alias("at"), last.alias("last"), F.concat(acc["out"], new).alias("out"))
+        return F.struct(F.lit(order).alias("order"), i.alias("i"), F.length(gap).alias("gap"), F.length(hit).alias("size"), hit.alias("hit"), left.alias("left"))
 
-    found = F.aggregate(rows, F.struct(F.lit(0).alias("at"), F.lit("").alias("last"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(F.size(hits) > 0, found).otherwise(none)
+    return F.transform(hits, one)
 
 
 def _luhn(digits: Column) -> Column:
@@ -81,54 +78,72 @@ def _digits(hit: Column) -> Column:
     return F.regexp_replace(hit, "[^0-9]", "")
 
 
-def _valid(kind: str, hit: Column) -> Column:
+def _valid(order: Column, hit: Column) -> Column:
     digits = _digits(hit)
     n = F.length(digits)
-    if kind == "ip":
-        return F.forall(F.split(hit, r"\."), lambda p: p.rlike(_OCTET))
-    if kind == "card":
-        return n.between(12, 19) & _luhn(F.when(n.between(12, 19), digits).otherwise(F.lit("0")))
-    if kind == "phone":
-        return n.between(9, 15)
-    return F.lit(True)
+    ip = F.forall(F.split(hit, r"\."), lambda p: p.rlike(_OCTET))
+    card = n.between(12, 19) & _luhn(F.when(n.between(12, 19), digits).otherwise(F.lit("0")))
+    return F.when(order == EMAIL, F.lit(True)).when(order == IP, ip).when(order == CARD, card).when(order == PHONE, n.between(9, 15)).otherwise(F.lit(False))
 
 
-def _scan(df: DataFrame, text: str) -> DataFrame:
-    """`df` with _base, array of (start, order, end, kind) ascending, and _near, array of contextual instances."""
-    text_ = F.coalesce(F.col(text), F.lit(""))
-    every = PATTERNS | {"token": _TOKEN}
-    hits = df.select("*", *[_hits(text_, k, p).alias(f"_h_{k}") for k, p in every.items()])
-    spans = hits.select(*df.columns, *[_spans(text_, F.col(f"_h_{k}"), p).alias(f"_s_{k}") for k, p in every.items()])
+def _scan(df: DataFrame, text: str, kept: list[str], shared: Shared) -> tuple[DataFrame, DataFrame]:
+    """(the rows, as a number and a struct of the `kept` columns; what is in their texts), both written to the shared folder.
 
-    def typed(i: int, kind: str) -> Column:
-        valid = F.filter(F.col(f"_s_{kind}"), lambda s: _valid(kind, s["hit"]))
-        return F.transform(valid, lambda s: F.struct(s["start"].alias("start"), F.lit(i).alias("order"), s["end"].alias("end"), F.lit(kind).alias("kind")))
-
-    def whole(kind: str) -> Column:
-        # a card's number is one thing even if its checksum fails
-        return F.filter(F.col(f"_s_{kind}"), lambda s: F.length(_digits(s["hit"])).between(12, 19) if kind == "card" else _valid(kind, s["hit"]))
-
-    def lexical(start: Column, entity: Column, left: Column) -> Column:
-        shape = F.regexp_replace(F.regexp_replace(entity, "[0-9]+", "9"), "[A-Za-z]+", "a")
-        return F.struct(start.alias("start"), (start + F.length(entity)).alias("end"), entity.alias("entity"), F.concat_ws(" ", left, shape).alias("pattern"))
-
-    def token(s: Column) -> Column:
-        inner = F.regexp_replace(s["hit"], f"^[{_OPENERS}]+", "")
-        return lexical(s["end"] - F.length(inner), F.regexp_replace(inner, r"[\"')>\]}.,;:!?#*]+$", ""), s["left"])
-
-    def unbroken(s: Column) -> Column:
-        """Not a piece of a match that goes beyond it."""
-        return ~F.exists("_whole", lambda w: (w["start"] < s["end"]) & (w["end"] > s["start"]) & ((w["start"] < s["start"]) | (w["end"] > s["end"])))
-
-    based = spans.select(*df.columns, "_s_token", F.array_sort(F.concat(*[typed(i, k) for i, k in enumerate(KINDS)])).alias("_base"), F.concat(*[whole(k) for k in KINDS]).alias("_whole"))
-
-    def judged(x: Column) -> Column:
-        over = F.filter(F.col("_base"), lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"]))
-        return F.struct(x["start"].alias("start"), x["end"].alias("end"), x["entity"].alias("entity"), x["pattern"].alias("pattern"), F.get(over, F.lit(0))["kind"].alias("kind"))
-
-    tokens = F.transform(F.filter("_s_token", lambda s: (s["left"] != "") & unbroken(s)), token)
-    wholes = F.transform(F.filter("_whole", lambda s: s["left"] != ""), lambda s: lexical(s["start"], s["hit"], s["left"]))
-    return based.select(*df.columns, "_base", F.transform(F.array_distinct(F.concat(tokens, wholes)), judged).alias("_near"))
+    What is in a text: (row, start, end, order, base, near, entity, pattern, kind), where `base` marks
+    spans of the fixed patterns and `near` contextual instances, with the kind that they are known
+    to have. Positions are running sums over a text's matches, and overlaps are found by running
+    maxima, so a text costs in proportion to its matches.
+    """
+    every = [*PATTERNS.values(), _TOKEN]
+    names = [*PATTERNS, "token"]
+    body = F.coalesce(F.col("t"), F.lit(""))
+    rows = df.select(F.monotonically_increasing_id().alias("row"), F.struct(*([F.col(f"`{c}`") for c in kept] or [F.lit(0).alias("none")])).alias("r"), F.col(f"`{text}`").alias("t"))
+    rows = rows.select("row", "r", "t", *[_hits(body, k, p).alias(f"hits_{k}") for k, p in zip(names, every, strict=True)])
+    rows = rows.select("row", "r", *[f"hits_{k}" for k in names], *[F.when(F.size(f"hits_{k}") > 0, F.split(body, p, -1)).alias(f"gaps_{k}") for k, p in zip(names, every, strict=True)])
+    hits = F.concat(*[_found(i, F.col(f"hits_{k}"), F.col(f"gaps_{k}")) for i, k in enumerate(names)])
+    rows = shared.table(rows.select("row", "r", hits.alias("hits")))
+
+    found = rows.select("row", F.explode("hits").alias("h")).select("row", "h.*").repartition("row")  # all that follows goes by row
+    until = F.sum(F.col("gap") + F.col("size")).over(W.partitionBy("row", "order").orderBy("i").rowsBetween(W.unboundedPreceding, 0)).cast("int")
+    base = _valid(F.col("order"), F.col("hit"))
+    # a card's number is one thing even if its checksum fails
+    whole = F.when(F.col("order") == CARD, F.length(_digits(F.col("hit"))).between(12, 19)).otherwise(F.col("base"))
+    found = found.select("row", "order", "hit", "left", (until - F.col("size")).alias("start"), until.alias("end"), base.alias("base"))
+    found = found.withColumn("whole", whole).withColumn("token", F.col("order") == TOKEN).filter("whole or token")
+    inner = F.regexp_replace("hit", f"^[{_OPENERS}]+", "")
+    entity = F.when(F.col("token"), F.regexp_replace(inner, r"[\"')>\]}.,;:!?#*]+$", "")).otherwise(F.col("hit"))
+    from_ = F.when(F.col("token"), F.col("end") - F.length(inner)).otherwise(F.col("start"))
+    found = found.withColumn("entity", entity).withColumn("from", from_).withColumn("to", F.col("from") + F.length("entity"))
+
+    by_start = W.partitionBy("row").orderBy("start")
+    earlier, so_far = by_start.rangeBetween(W.unboundedPreceding, -1), by_start.rangeBetween(W.unboundedPreceding, 0)
+    later = W.partitionBy("row").orderBy(F.col("start").desc()).rangeBetween(W.unboundedPreceding, -1)
+    ends = lambda flag: F.max(F.when(F.col(flag), F.col("end")))
+    found = found.select(
+        "*",
+        ends("whole").over(earlier).alias("reached"),
+        ends("base").over(so_far).alias("taken"),
+        F.max(F.when(F.col("token"), F.struct("start", "end"))).over(so_far).alias("last"),
+        F.min(F.when(F.col("base"), F.col("start"))).over(later).alias("next"),
+    )
+    found = found.withColumn("in", F.when(F.col("last.end") > F.col("start"), F.col("last.start")))  # the token that it starts in
+    mates = W.partitionBy("row", "in")
+    found = found.select(
+        "*",
+        ends("whole").over(mates).alias("reach"),
+        F.min(F.when(F.col("base"), F.struct("start", "order"))).over(mates).alias("first"),
+        F.max(F.when(F.col("token"), F.struct("from", "to"))).over(mates).alias("mate"),
+    )
+    # a token isn't a piece of a match that goes beyond it, and a match that is a whole token counts once
+    unbroken = (F.coalesce("reached", F.lit(0)) <= F.col("start")) & (F.coalesce("reach", F.lit(0)) <= F.col("end"))
+    same = F.col("in").isNotNull() & (F.col("mate.from") == F.col("start")) & (F.col("mate.to") == F.col("end"))
+    alone = F.col("base") | ((F.coalesce("taken", F.lit(0)) <= F.col("start")) & (F.coalesce(F.col("next"), F.col("end")) >= F.col("end")))
+    near = (F.col("left") != "") & F.when(F.col("token"), unbroken).otherwise(~same & alone)
+    order = F.when(F.col("token"), F.col("first.order")).when(F.col("base"), F.col("order"))
+    kind = F.get(F.array(*[F.lit(k) for k in KINDS]), order)
+    shape = F.regexp_replace(F.regexp_replace("entity", "[0-9]+", "9"), "[A-Za-z]+", "a")
+    found = found.select("row", F.col("from").alias("start"), F.col("to").alias("end"), "order", "base", near.alias("near"), "entity", F.concat_ws(" ", "left", shape).alias("pattern"), kind.alias("kind"))
+    return rows.drop("hits"), shared.table(found.filter("base or near"))
 
 
 def induce(edges: DataFrame, rounds: int | None = None, least_known: int = 3, least_share: float = 0.8, shared: Shared | None = None) -> DataFrame:
@@ -163,32 +178,37 @@ def induce(edges: DataFrame, rounds: int | None = None, least_known: int = 3, le
         known, n_known = grown, n_grown
 
 
+def _spans(found: DataFrame, rounds: int | None, shared: Shared) -> DataFrame:
+    """(row, base, s): spans as (start, order, end, kind), those of the fixed patterns and those that accepted contexts add."""
+    near = found.filter("near")
+    edges = shared.table(near.groupBy("pattern", "entity").agg(F.max("kind").alias("kind")))
+    accepted = induce(edges, rounds, shared=shared).withColumnRenamed("kind", "found")
+    more = near.filter("kind is null and entity != ''").join(accepted.select("pattern", "found"), "pattern")
+    order = F.array_position(F.lit(list(KINDS)), F.col("found")).cast("int") - 1
+    more = more.select("row", F.lit(False).alias("base"), F.struct("start", order.alias("order"), "end", F.col("found").alias("kind")).alias("s"))
+    kind = F.get(F.array(*[F.lit(k) for k in KINDS]), F.col("order"))
+    return found.filter("base").select("row", "base", F.struct("start", "order", "end", kind.alias("kind")).alias("s")).unionByName(more)
+
+
 def extract(df: DataFrame, text: str = "text", rounds: int | None = None, keep_text: bool = True) -> DataFrame:
     """`df` with base_spans and spans, arrays of (start, order, end, kind), ascending; ends are exclusive.
 
     Positions are code points. base_spans holds what the fixed patterns find (leftmost, not
     overlapping within a kind, failing matches dropped); spans holds these and what accepted
-    contexts add, which never overlaps them. A null text has none. Repeated rows are told apart by a
-    row number of their own; null keys pass through; an empty table gives none; columns of `df`
-    named base_spans or spans give way, and so does the text unless it is kept. It is scanned once and what is found is written to
-    the shared folder; patterns are aggregated before any join, so none meets in one task.
+    contexts add, which never overlaps them. A null text has none, of any length one costs in
+    proportion to its matches. Repeated rows are told apart by a row number of their own; null keys
+    pass through; an empty table gives none; columns of `df` named base_spans or spans give way,
+    any other name is free, and the text goes unless it is kept. It is scanned once and what is
+    found is written to the shared folder; patterns are aggregated before any join, so none meets
+    in one task.
     """
     shared = Shared(df.sparkSession)
-    kept = [c for c in df.columns if c not in ("base_spans", "spans", "_row")]
-    found = _scan(df.select(*kept).withColumn("_row", F.monotonically_increasing_id()), text)
-    if not keep_text:
-        kept = [c for c in kept if c != text]
-        found = found.drop(text)
-    found = shared.table(found)
-    near = found.select("_row", F.explode("_near").alias("n")).select("_row", "n.*")
-    edges = shared.table(near.groupBy("pattern", "entity").agg(F.max("kind").alias("kind")))
-    accepted = induce(edges, rounds, shared=shared).withColumnRenamed("kind", "found")
-    more = near.filter("kind is null and entity != ''").join(accepted.select("pattern", "found"), "pattern")
-    order = F.array_position(F.lit(list(KINDS)), F.col("found")).cast("int") - 1
-    more = more.select("_row", F.struct("start", order.alias("order"), "end", F.col("found").alias("kind")).alias("s")).groupBy("_row").agg(F.collect_list("s").alias("_more"))
-    out = found.drop("_near").join(more, "_row", "left")
+    kept = [c for c in df.columns if c.lower() not in ("base_spans", "spans") and (keep_text or c != text)]
+    rows, found = _scan(df, text, kept, shared)
+    lists = _spans(found, rounds, shared).groupBy("row").agg(F.array_sort(F.collect_list(F.when(F.col("base"), F.col("s")))).alias("base_spans"), F.array_sort(F.collect_list("s")).alias("spans"))
     none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
-    return out.select(*kept, F.col("_base").alias("base_spans"), F.array_sort(F.concat("_base", F.coalesce("_more", none))).alias("spans"))
+    out = rows.join(lists, "row", "left")
+    return out.select(*[F.col("r").getField(c).alias(c) for c in kept], *[F.coalesce(c, none).alias(c) for c in ("base_spans", "spans")])
 
 
 def count(spans: Column, kind: str) -> Column:
@@ -202,18 +222,31 @@ def spell(spans: Column) -> Column:
 
 
 def redact(df: DataFrame, text: str = "text", rounds: int | None = None) -> DataFrame:
-    """`df` with each found span replaced by its kind in brackets; where spans overlap, the first one's.
+    """`df` with each found span replaced by its kind in brackets; spans that overlap are one, of the first one's kind.
 
-    A null text stays null. Other columns stay as they are.
+    A null text stays null. Other columns, whatever their names, repeated rows and null keys stay as
+    they are; an empty table gives none. A text with k spans is cut into some root of k parts first,
+    so that long texts with many spans don't cost the square.
     """
-    found = extract(df, text, rounds)
-    body = F.col(text)
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(body, acc["at"] + 1, s["start"] - acc["at"])
-        fresh = s["start"] >= acc["at"]
-        out = F.when(fresh, F.concat(acc["out"], gap, F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
-
-    done = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substring(body, a["at"] + 1, F.length(body))))
-    return found.select(*[F.when(F.size("spans") > 0, done).otherwise(body).alias(text) if c == text else F.col(c) for c in df.columns])
+    shared = Shared(df.sparkSession)
+    rows, found = _scan(df, text, df.columns, shared)
+    spans = _spans(found, rounds, shared).select("row", "s.*")
+    before = W.partitionBy("row").orderBy("start", "order", "end", "kind").rowsBetween(W.unboundedPreceding, -1)
+    cuts = spans.withColumn("at", F.coalesce(F.max("end").over(before), F.lit(0)))
+    cut = F.when(F.col("start") >= F.col("at"), F.struct("at", "start", F.upper("kind").alias("kind")))
+    cuts = cuts.groupBy("row").agg(F.array_sort(F.collect_list(cut)).alias("cuts"), F.max("end").alias("tail"))
+    out = rows.join(cuts, "row", "left").withColumn("t", F.col("r").getField(text))
+    each = F.ceil(F.sqrt(F.size("cuts"))).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size("cuts") - 1) / each).cast("int")), lambda b: F.slice("cuts", b * each + 1, each))
+    out = out.withColumn("parts", F.when(F.size("cuts") > 0, parts))
+
+    def body(cuts: Column) -> Column:
+        first, last = F.get(cuts, F.lit(0))["at"], F.element_at(cuts, -1)["start"]
+        return F.struct(cuts.alias("cuts"), first.alias("first"), F.substring("t", first + 1, last - first).alias("body"))
+
+    def hide(part: Column) -> Column:
+        return F.array_join(F.transform(part["cuts"], lambda c: F.concat(F.substring(part["body"], c["at"] - part["first"] + 1, c["start"] - c["at"]), F.lit("["), c["kind"], F.lit("]"))), "")
+
+    out = out.withColumn("parts", F.transform("parts", body))
+    done = F.concat(F.array_join(F.transform("parts", hide), ""), F.substring("t", F.col("tail") + 1, F.length("t")))
+    return out.select(*[F.when(F.col("parts").isNotNull(), done).otherwise(F.col("t")).alias(c) if c == text else F.col("r").getField(c).alias(c) for c in df.columns])
