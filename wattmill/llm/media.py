@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 SAMPLE = 576  # bytes in a sample, and the block to which a payload is padded
 KEY_EVERY = 8  # every so many samples one is a sync sample
 PAD = 255
+BATCH_BYTES = 32 << 20  # of containers that are held at once
 CONTAINERS = frozenset((b"moov", b"trak", b"mdia", b"minf", b"stbl", b"dinf", b"edts", b"udta"))
 _MATRIX = struct.pack(">9I", 0x10000, 0, 0, 0, 0x10000, 0, 0, 0, 0x40000000)
 
@@ -155,22 +156,25 @@ def media(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, media, payload, feature): the container, what is read back from it, and what its tables tell.
 
     A null or empty text gives one block of padding. Equal texts give equal values; repeated rows
-    and null keys pass through; an empty table gives none; other columns are not read.
+    and null keys pass through; an empty table gives none; other columns are not read. A container
+    must fit one Arrow array, so texts have less than 2**31 bytes; shorter ones go some 32 MB at a time.
     """
     kind = df.schema[key].dataType.simpleString()
 
     def rows(batches):
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.string())
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                out = []
-                for raw in part.column(1):
-                    raw = raw.as_buffer().to_pybytes() if raw.is_valid else b""
-                    stored = build(pad(raw))
-                    (track,) = tracks(stored)
-                    out.append((len(raw), stored, payload(stored, track), feature(track)))
-                kinds = (pa.int64(), pa.binary(), pa.binary(), pa.string())
-                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)]], ["doc_id", "n_bytes", "media", "payload", "feature"])
+            out, first, held = [], 0, 0
+            for i, raw in enumerate(batch.column(1), 1):
+                raw = raw.as_buffer().to_pybytes() if raw.is_valid else b""
+                stored = build(pad(raw))
+                (track,) = tracks(stored)
+                out.append((len(raw), stored, payload(stored, track), feature(track)))
+                held += len(stored)
+                if held > BATCH_BYTES or i == batch.num_rows:
+                    cols = [pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, i - first), *cols], ["doc_id", "n_bytes", "media", "payload", "feature"])
+                    out, first, held = [], i, 0
 
     return df.select(F.col(key).alias("doc_id"), F.col(text).cast("binary")).mapInArrow(rows, f"doc_id {kind}, n_bytes long, media binary, payload binary, feature string")
 
@@ -178,7 +182,9 @@ def media(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 def probe(df: DataFrame, key: str = "doc_id", media: str = "media") -> DataFrame:
     """(doc_id, track, codec, timescale, duration, samples, keyframes): one row a track of stored containers.
 
-    keyframes are (start, end) byte ranges. Bytes that aren't a container, and nulls, give no rows.
+    keyframes are (start, end) byte ranges. Bytes that aren't a container, nulls and an empty table
+    give no rows; a box that overruns its parent ends the walk. Null keys and repeated rows pass
+    through; other columns aren't read. Only boxes and tables are looked at, however long the payload.
     """
     kind = df.schema[key].dataType.simpleString()
     ranges = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

@@ -78,11 +78,22 @@ class BestFit:
 
 
 def pieces(df: DataFrame, path: str, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Each document's ids and the end id, cut into full windows and a remainder: (doc_id, start, length, ids_crc32, doc_tokens)."""
+    """Each document's ids and the end id, cut into full windows and a remainder: (doc_id, start, length, ids_crc32, doc_tokens).
+
+    A null or empty text gives one piece, of the end id. Null keys and repeated rows give pieces of
+    their own, an empty table gives none, other columns aren't read. Work goes by about a megabyte
+    of whole texts; a text of N bytes takes some 60 N bytes.
+    """
+    cut = _pieces(df, path, window, key, text)
+    return cut.drop("n")
+
+
+def _pieces(df: DataFrame, path: str, window: int, key: str, text: str) -> DataFrame:
+    """`pieces`, with each row's number in its partition as `n`."""
     kind = df.schema[key].dataType.simpleString()
 
     def rows(batches):
-        made = encoder(path)
+        made, before = encoder(path), 0
         for batch in batches:
             doc, start, length, crc, tokens = [], [], [], [], []
             row = 0
@@ -105,21 +116,24 @@ def pieces(df: DataFrame, path: str, window: int = WINDOW, key: str = "doc_id",
                         crc.append(zlib.crc32(raw[4 * (base + a) : 4 * (base + b)]))
                         tokens.append(total)
                     row += 1
-            cols = [pc.take(batch.column(0), pa.array(doc, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, tokens))]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            cols = [pc.take(batch.column(0), pa.array(doc, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, tokens, [before + i for i in doc]))]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "n"])
+            before += row
 
-    return df.select(F.col(key).alias("doc_id"), F.col(text).cast("binary")).mapInArrow(rows, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
+    return df.select(F.col(key).alias("doc_id"), F.col(text).cast("binary")).mapInArrow(rows, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, n long")
 
 
 def pack(df: DataFrame, path: str, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All pieces with their sequence_id and the offset in it; a sequence holds at most `window` ids.
 
     A null text counts as empty: one piece, of the end id alone. Repeated rows and null keys make
-    pieces of their own; an empty table gives none; other columns aren't read. Ties in length go
-    by key, then by digest, so a rerun of a lost task packs alike.
+    pieces of their own; an empty table gives none; other columns aren't read. Groups are dealt by
+    key, digest and place in the partition, so that a key or text which many rows share fills
+    none alone; ties in length go by key, then by digest. A rerun of a lost task packs alike.
     """
     groups = max(1, -(-estimated_bytes(df) // GROUP_BYTES))
-    cut = pieces(df, path, window, key, text).withColumn("_group", F.pmod(F.xxhash64("doc_id", F.lit("pack")), F.lit(groups)).cast("long"))
+    cut = _pieces(df, path, window, key, text)
+    cut = cut.withColumn("_group", F.pmod(F.xxhash64("doc_id", "ids_crc32", "n", F.lit("pack")), F.lit(groups)).cast("long")).drop("n")
 
     def place(table: pa.Table) -> pa.Table:
         length = table["length"].to_numpy()

@@ -100,14 +100,14 @@ WITH RECURSIVE w AS (
 SELECT doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r) AS component_id FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """,
     "op5_topk": """
-WITH v AS (
-  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS w FROM embeddings
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS w FROM embeddings
   WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, r.vec_id, CAST(list_sum([z[1] * z[2] FOR z IN list_zip(q.w, r.w)]) AS BIGINT) AS score
+  SELECT q.n, q.vec_id AS query_id, r.vec_id, CAST(list_sum([z[1] * z[2] FOR z IN list_zip(q.w, r.w)]) AS BIGINT) AS score
   FROM v q JOIN v r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0
 )
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+SELECT query_id, CAST(row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= 5
 """,
     "op4_substring_dedup": r"""

@@ -8,9 +8,10 @@ the rows that move into it.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._plan import chunk_count
+from ._plan import Shared, chunk_count
 
 #: The multiplier of the published generator, as 32-bit halves and 16-bit quarters.
 MULTIPLIER = 2862933555777941757
@@ -62,30 +63,31 @@ def shard(df: DataFrame, shards: int, key: str = "doc_id", text: str = "text") -
     """`df` without its text, plus size, text_crc32, law, shard, slot and grown_shard.
 
     size is the UTF-8 length (null text: 0) plus 16; text_crc32 that of the UTF-8 bytes (null: of
-    nothing). slot counts the rows of a shard from 0 without gaps, in an order of (bucket, key):
-    rows are numbered inside small hash buckets of a shard, and the few bucket totals are summed,
-    so no task holds a shard. Equal keys share a shard; repeated rows get slots of their own. Null
-    keys are one key. An empty table gives none. Columns of `df` with a clashing name give way.
+    nothing). slot counts the rows of a shard from 0 without gaps: rows are numbered inside small
+    buckets of a shard, by (key, checksum, size), and the few bucket totals are summed, so no task
+    holds a shard. Rows are dealt into buckets by their number in a table written to the shared
+    folder, so that a key which many rows share fills no bucket alone. Equal keys share a shard;
+    repeated rows get slots of their own. Null keys are one key. An empty table gives none. Columns
+    of `df` named like a new one give way, all others stay. Texts of any length are read in place.
     """
-    made = ("size", "text_crc32", "law", "shard", "slot", "grown_shard", "_bucket")
+    made = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
     buckets = max(1, -(-chunk_count(df) // shards))
-    raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    keep = [F.col(c) for c in df.columns if c not in (*made, text)]
+    raw = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
+    keep = [c for c in df.columns if c.lower() not in made and c != text]
     rows = df.select(
-        *keep,
+        F.monotonically_increasing_id().alias("row"),
+        F.struct(*([F.col(f"`{c}`") for c in keep] or [F.lit(0).alias("none")])).alias("r"),
+        F.col(f"`{key}`").alias("key"),
         (F.octet_length(raw).cast("long") + 16).alias("size"),
         F.crc32(raw).alias("text_crc32"),
-        F.lit("key").alias("law"),
-        jump_hash(F.col(key), shards).alias("shard"),
-        jump_hash(F.col(key), shards + 1).alias("grown_shard"),
-        F.pmod(F.xxhash64(F.col(key), F.lit("slot")), F.lit(buckets)).alias("_bucket"),
+        jump_hash(F.col(f"`{key}`"), shards).alias("shard"),
+        jump_hash(F.col(f"`{key}`"), shards + 1).alias("grown_shard"),
     )
-    from pyspark.sql import Window as W
-
-    totals = rows.groupBy("shard", "_bucket").agg(F.count("*").alias("_n"))
-    before = W.partitionBy("shard").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = totals.select("shard", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("_start"))
-    inside = W.partitionBy("shard", "_bucket").orderBy(F.col(key).asc_nulls_first(), "text_crc32", "size")
-    numbered = rows.withColumn("_at", F.row_number().over(inside).cast("long") - 1)
-    out = numbered.join(starts, ["shard", "_bucket"])
-    return out.withColumn("slot", F.col("_start") + F.col("_at")).drop("_bucket", "_start", "_at")
+    rows = Shared(df.sparkSession).table(rows).withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)))
+    totals = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
+    before = W.partitionBy("shard").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    starts = totals.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("start"))
+    inside = W.partitionBy("shard", "bucket").orderBy(F.col("key").asc_nulls_first(), "text_crc32", "size", "row")
+    out = rows.withColumn("at", F.row_number().over(inside).cast("long") - 1).join(starts, ["shard", "bucket"])
+    kept = [F.col("r").getField(c).alias(c) for c in keep]
+    return out.select(*kept, "size", "text_crc32", F.lit("key").alias("law"), "shard", "grown_shard", (F.col("start") + F.col("at")).alias("slot"))

@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 16_384
-BLOCK_QUERIES = 1_024
+from ._plan import shuffle_partitions
+
+BLOCK_ROWS = 65_536
+BLOCK_QUERIES = 4_096
+LEAST_ROWS = 8_192  # rows from which a block is split for the sake of idle tasks
 _SLICE = 64  # queries whose score arrays are held at once
 
 
@@ -80,17 +83,22 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 5, key: str = "vec_id",
     """(query_id, rank, vec_id, score): the k rows of highest integer inner product for each query, but not its own id.
 
     Terms that a row lacks count as zero, so vectors may differ in length; all scores must fit a
-    long. Ties go to the smaller id. Rows or queries with a null id or null weights take no part.
-    Repeated candidate rows each take a rank; a repeated query id is searched once per distinct
-    weights. Both sides are dealt into blocks of about the stated sizes, and each pair of blocks meets
+    long. Ties go to the smaller id. Rows or queries with a null id or null weights take no part; an
+    empty table on either side gives no rows; other columns aren't read. Repeated candidate rows
+    each take a rank. Each query row has its own answer, also if it repeats or shares its id with
+    others, whose answers then stand side by side. Both sides are dealt into blocks of about the stated sizes, and each pair of blocks meets
     in a task of its own, so neither side is broadcast or gathered whole.
     """
-    ask = queries.filter(F.col(key).isNotNull() & F.col(weights).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(weights).alias("w")).dropDuplicates(["id", "w"])
-    give = rows.filter(F.col(key).isNotNull() & F.col(weights).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(weights).alias("w"))
-    n_ask, n_give = (max(1, -(-df.count() // size)) for df, size in ((ask, block_queries), (give, block_rows)))
+    held = lambda df: df.filter(F.col(key).isNotNull() & F.col(weights).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(weights).alias("w"))
+    # equal query rows are searched once; a digest tells those that share only the id apart
+    ask = held(queries).groupBy("id", "w").agg(F.count("*").alias("copies")).withColumn("mark", F.sha2(F.to_json("w").cast("binary"), 256))
+    give = held(rows)
+    n_rows = give.count()
+    n_ask = max(1, -(-ask.count() // block_queries))
+    n_give = max(1, -(-n_rows // block_rows), min(shuffle_partitions(rows.sparkSession), n_rows // LEAST_ROWS))
     all_q, all_r = F.sequence(F.lit(0), F.lit(n_ask - 1)), F.sequence(F.lit(0), F.lit(n_give - 1))
-    left = ask.select("id", "w", F.pmod(F.xxhash64("id", F.lit("q")), F.lit(n_ask)).cast("int").alias("q"), F.explode(all_r).alias("r"))
-    right = give.select("id", "w", F.explode(all_q).alias("q"), F.pmod(F.xxhash64("id", F.lit("r")), F.lit(n_give)).cast("int").alias("r"))
+    left = ask.select("id", "w", "copies", "mark", F.pmod(F.xxhash64("id", "w", F.lit("q")), F.lit(n_ask)).cast("int").alias("q"), F.explode(all_r).alias("r"))
+    right = give.select("id", "w", F.explode(all_q).alias("q"), F.pmod(F.xxhash64("id", "w", F.lit("r")), F.lit(n_give)).cast("int").alias("r"))
 
     def flat(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         col = table["w"].combine_chunks()
@@ -99,7 +107,7 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 5, key: str = "vec_id",
         return table["id"].to_numpy(), col.flatten().to_numpy(zero_copy_only=False).astype(np.int64), at - at[0]
 
     def best(a: pa.Table, b: pa.Table) -> pa.Table:
-        out: list[list[np.ndarray]] = [[], [], []]
+        out: list[list[np.ndarray]] = [[], [], [], []]
         if a.num_rows and b.num_rows:
             qid, qw, qat = flat(a)
             rid, rw, rat = flat(b)
@@ -108,7 +116,7 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 5, key: str = "vec_id",
             for i in range(0, len(qid), _SLICE):
                 j = min(i + _SLICE, len(qid))
                 scores = accumulate(postings, qw[qat[i] : qat[j]], qat[i : j + 1] - qat[i])
-                for s, q in zip(scores, qid[i:j].tolist(), strict=True):
+                for at, (s, q) in enumerate(zip(scores, qid[i:j].tolist(), strict=True), i):
                     lo, hi = np.searchsorted(rid, [q, q + 1], sorter=of_id)
                     own = of_id[lo:hi]
                     ids = rid
@@ -118,9 +126,12 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 5, key: str = "vec_id",
                     out[0].append(np.full(len(keep), q))
                     out[1].append(ids[keep])
                     out[2].append(s[keep])
-        cols = [np.concatenate([np.empty(0, np.int64), *x]) for x in out]
-        return pa.table([pa.array(c, pa.int64()) for c in cols], ["query_id", "vec_id", "score"])
-
-    found = left.groupBy("q", "r").cogroup(right.groupBy("q", "r")).applyInArrow(best, "query_id long, vec_id long, score long")
-    order = W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                    out[3].append(np.full(len(keep), at))
+        *cols, at = (np.concatenate([np.empty(0, np.int64), *x]) for x in out)
+        asked = a.select(["copies", "mark"]).take(pa.array(at))
+        return pa.table([*[pa.array(c, pa.int64()) for c in cols], asked["copies"], asked["mark"]], ["query_id", "vec_id", "score", "copies", "mark"])
+
+    found = left.groupBy("q", "r").cogroup(right.groupBy("q", "r")).applyInArrow(best, "query_id long, vec_id long, score long, copies long, mark string")
+    order = W.partitionBy("query_id", "mark").orderBy(F.col("score").desc(), F.col("vec_id"))
+    top = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return top.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("query_id", "rank", "vec_id", "score")

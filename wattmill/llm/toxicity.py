@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._plan import private
 from ._text import lower, slice_hashes, table_batches, text_batches, words
 
 _U = np.uint64
@@ -132,51 +133,52 @@ def score(model: dict, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray
 def train(docs: DataFrame, labels: DataFrame, max_documents: int = 6000, max_bytes: int = 65_536, max_features: int = 4096, grades: int = 3) -> dict:
     """Fit on at most `max_documents` labelled documents (least hash of the id first) of at most `max_bytes` each.
 
-    Labels with a null id or class, and documents with a null text, aren't used. Without both
-    classes the model finds everything clean.
+    Labels with a null id or class, and documents with a null text or more bytes, aren't used. An id
+    with several labels is toxic if one of them says so; of several texts of an id the least is
+    used, so repeated ids don't add to the sample. Empty texts count. Other columns, whatever their
+    names, aren't read. Without both classes, and so with an empty table, the model finds
+    everything clean.
     """
-    picked = labels.filter("doc_id is not null and toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(max_documents)
+    picked = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_documents)
     texts = docs.filter(F.octet_length("text") <= max_bytes).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     sample = texts.join(F.broadcast(picked), "doc_id")  # at most max_documents rows of two numbers
+    sample = sample.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
     def one(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        table = table.sort_by([("doc_id", "ascending")])
         model = fit(table, max_features, grades)
         return pa.table({k: pa.array([v.tobytes()], pa.binary()) for k, v in model.items()})
 
-    rows = sample.withColumn("_one", F.lit(0)).groupBy("_one").applyInArrow(lambda t: one(t.drop_columns(["_one"])), "features binary, weights binary, cuts binary").collect()
+    rows = sample.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(lambda t: one(t.drop_columns(["one"])), "features binary, weights binary, cuts binary").collect()
     if not rows:
         return {"features": np.empty(0, _U), "weights": np.empty(0), "cuts": np.full(grades - 1, 20.0)}
     return {"features": np.frombuffer(rows[0].features, _U), "weights": np.frombuffer(rows[0].weights), "cuts": np.frombuffer(rows[0].cuts)}
 
 
-def grade(docs: DataFrame, model: dict, threshold: float = 0.5) -> DataFrame:
-    """`docs` with severity (most likely grade), expected_severity and toxic (P(grade >= 1) >= threshold).
+def grade(docs: DataFrame, model: dict, threshold: float = 0.5, names: tuple[str, str, str] = ("severity", "expected_severity", "toxic")) -> DataFrame:
+    """`docs` with severity (most likely grade), expected_severity and toxic (P(grade >= 1) >= threshold), under `names`.
 
     A null or empty text scores as one without features. Repeated rows and null ids pass through; an
-    empty table gives none; columns of `docs` with a clashing name give way.
+    empty table gives none; columns of `docs` that have one of the names give way, all others stay.
+    Work goes by about a megabyte of whole texts; a text of N bytes takes some 60 N bytes.
     """
-    made = ("severity", "expected_severity", "toxic")
-    kept = docs.select(*[c for c in docs.columns if c not in made], F.col("text").cast("binary").alias("_raw"))
+    (raw,) = private(docs, "raw")
+    taken = {n.lower() for n in names}
+    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken], F.col("text").cast("binary").alias(raw))
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches):
         for batch in batches:
-            where = batch.schema.get_field_index("_raw")
+            where = len(batch.schema.names) - 1
             expected, most, chance = [np.empty(0)], [np.empty(0, np.int64)], [np.empty(0)]
             for _, _, buf, offsets in text_batches(batch, where):
                 e, m, p = score(held.value, buf, offsets)
                 expected.append(e)
                 most.append(m)
                 chance.append(p)
-            arrays = [c for i, c in enumerate(batch.columns) if i != where]
-            names = [c for i, c in enumerate(batch.schema.names) if i != where]
             new = [pa.array(np.concatenate(most), pa.int32()), pa.array(np.concatenate(expected)), pa.array(np.concatenate(chance) >= threshold)]
-            yield pa.RecordBatch.from_arrays(arrays + new, names + list(made))
+            yield pa.RecordBatch.from_arrays(batch.columns[:where] + new, batch.schema.names[:where] + list(names))
 
-    return kept.mapInArrow(rows, _ddl(kept.drop("_raw")) + ", severity int, expected_severity double, toxic boolean")
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    kinds = zip(names, ("int", "double", "boolean"), strict=True)
+    return kept.mapInArrow(rows, ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema][:-1], *[f"`{n}` {k}" for n, k in kinds]]))
