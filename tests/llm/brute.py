@@ -102,3 +102,9 @@ def jump(key: int, shards: int) -> int:
         key = (key * 2862933555777941757 + 1) & ((1 << 64) - 1)
         j = int((b + 1) * (float(1 << 31) / float((key >> 33) + 1)))
     return b
+
+
+def thue_morse(n: int = 1024) -> tuple[str, str]:
+    """A word of a and b, and its complement: they agree under every polynomial hash modulo 2**64 with an odd base."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return a, a.translate(str.maketrans("ab", "ba"))

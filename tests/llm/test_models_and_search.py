@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wattmill.llm import pii, topk, toxicity
+from wattmill.llm import _plan, pii, topk, toxicity
 
 from . import brute
 
@@ -78,10 +78,18 @@ def test_rounds_go_on_until_nothing_is_new(spark):
     assert {r.pattern for r in pii.induce(df, least_share=0.7).collect()} == {f"p{r} 9" for r in range(7)}
 
 
+def instances(spark, rows):
+    rows, found = pii._scan(spark.createDataFrame(rows, SCHEMA), "text", ["doc_id"], _plan.Shared(spark))
+    out = {}
+    for r in found.filter("near").join(rows, "row").orderBy("row", "start").collect():
+        out.setdefault(r.r.doc_id, []).append((r.pattern, r.entity, r.kind))
+    return out
+
+
 def test_instances_are_whole_tokens_and_matches(spark):
     rows = [(0, "write to: anna.berg@mail.com today"), (11, "member A1 B2 member C3"), (12, "card 4111 1111 1111 1111, tel +1 (555) 010-9999")]
     rows += [(13, "card 4111 1111 1111 1112"), (31, "(a@b.cc d@e.ff) g@h.ii")]
-    near = {r.doc_id: [(n.pattern, n.entity, n.kind) for n in r._near] for r in pii._scan(spark.createDataFrame(rows, SCHEMA), "text").collect()}
+    near = instances(spark, rows)
     assert near[0] == [("to: a.a@a.a", "anna.berg@mail.com", "email")]
     assert [n[:2] for n in near[11]] == [("member a9", "A1"), ("a1 a9", "B2"), ("member a9", "C3")]
     assert near[12] == [("card 9 9 9 9", "4111 1111 1111 1111", "card"), ("tel +9 (9) 9-9", "+1 (555) 010-9999", "phone")]
@@ -91,7 +99,7 @@ def test_instances_are_whole_tokens_and_matches(spark):
 
 def test_long_contexts_stay_apart(spark):
     rows = [(1, "k" * 70 + "x A1"), (2, "k" * 70 + "y A1"), (3, "m " + "a1." * 40 + "p@q"), (4, "m " + "a1." * 40 + "p+q@r")]
-    near = [n.pattern for r in pii._scan(spark.createDataFrame(rows, SCHEMA), "text").collect() for n in r._near]
+    near = [n[0] for found in instances(spark, rows).values() for n in found]
     assert len(set(near)) == 4
 
 
@@ -153,3 +161,40 @@ def test_ordinal_cuts_share_weights():
     grade = np.digitize(x + 0.05 * rng.normal(size=n), [-0.5, 0.8])
     w, cuts = toxicity.fit_ordinal(np.arange(n), np.zeros(n, int), x, grade, 1, 3)
     assert w[0] > 1 and abs(cuts[0] / w[0] + 0.5) < 0.15 and abs(cuts[1] / w[0] - 0.8) < 0.15
+
+
+def test_each_query_row_has_its_answer(spark):
+    q = spark.createDataFrame([(50, [1, 0]), (50, [0, 1]), (50, [0, 1])], "vec_id long, weights array<long>")
+    rows = spark.createDataFrame([(1, [5, 1]), (2, [1, 7]), (50, [9, 9])], "vec_id long, weights array<long>")
+    got = sorted(tuple(r) for r in topk.search(q, rows, 1).collect())
+    assert got == [(50, 1, 1, 5), (50, 1, 2, 7), (50, 1, 2, 7)]
+
+
+def test_clashing_columns(spark):
+    extra = ", _raw int, raw int, _base int, _near string, hits int, row int, r int, t int"
+    df = spark.createDataFrame([(1, "card 4111 1111 1111 1111 x@y.zz", 1, 2, 3, "n", 4, 5, 6, 7)], SCHEMA + extra)
+    r = pii.extract(df).first()
+    assert (r._base, r._near, r.hits, r.row, r.r, r.t) == (3, "n", 4, 5, 6, 7) and len(r.base_spans) == 2
+    assert pii.redact(df).first().text == "card [CARD] [EMAIL]"
+    model = toxicity.train(df, spark.createDataFrame([], "doc_id long, toxic int"))
+    r = toxicity.grade(df, model).first()
+    assert (r._raw, r.raw, r.toxic) == (1, 2, False)
+
+
+def test_a_megabyte_of_instances(spark):
+    import time
+
+    df = spark.createDataFrame([(1, "id 4 " * 200_000), (2, "x@y.zz, " * 100_000)], SCHEMA)
+    start = time.perf_counter()
+    got = {r.doc_id: r.n for r in pii.extract(df).select("doc_id", F.size("base_spans").alias("n")).collect()}
+    hidden = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert got == {1: 0, 2: 100_000} and hidden == {1: "id 4 " * 200_000, 2: "[EMAIL], " * 100_000}
+    assert time.perf_counter() - start < 120
+
+
+def test_repeated_ids_dont_grow_the_sample(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"t{i}") for i in range(40)] + [(2, "u")], SCHEMA)
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0)], "doc_id long, toxic int")
+    seen = toxicity.train(docs, labels, max_documents=2)
+    plain = toxicity.train(spark.createDataFrame([(1, "t0"), (2, "u")], SCHEMA), spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"))
+    assert seen["features"].tolist() == plain["features"].tolist() and np.allclose(seen["cuts"], plain["cuts"])

@@ -102,10 +102,10 @@ def passages():
     return rows + [(1000 + i, rows[i][1]) for i in range(12)] + [(2000, None), (2001, "")]
 
 
-@pytest.mark.parametrize("hot", [1024, 1])
+@pytest.mark.parametrize("hot", [1 << 16, 1])
 def test_repeated_bytes(spark, hot):
     rows = passages()
-    out = suffix_dedup.dedup(spark.createDataFrame(rows, SCHEMA), 100, hot_chunks=hot)
+    out = suffix_dedup.dedup(spark.createDataFrame(rows, SCHEMA), 100, hot_places=hot)
     got = {r.doc_id: r for r in out.collect()}
     for d, (n, removed, runs, digest) in brute.repeats(rows).items():
         r = got[d]
@@ -161,7 +161,7 @@ def test_words_of_odd_tables(spark):
     assert substring.dedup(spark.createDataFrame([], SCHEMA)).collect() == []
     text = " ".join(f"v{i}" for i in range(20))
     rows = spark.createDataFrame([(None, text, "a"), (5, text, "b"), (5, text, None), (6, "one two", "c")], SCHEMA + ", lang string")
-    got = sorted((str(r.doc_id), r.n_words, r.n_removed, str(r.lang)) for r in substring.dedup(rows, 13, carry=("lang",)).collect())
+    got = sorted((str(r.doc_id), r.n_words, r.n_removed, str(r.carried.lang)) for r in substring.dedup(rows, 13, carry=("lang",)).collect())
     assert got == [("5", 20, 20, "None"), ("5", 20, 20, "b"), ("6", 2, 0, "c"), ("None", 20, 0, "a")]
     with pytest.raises(ValueError):
         substring.dedup(rows, 1)
@@ -177,3 +177,108 @@ def test_long_text(spark):
     assert got[1] == 5000 and got[2] == 5001
     kept = {r.doc_id: len(r.kept) for r in suffix_dedup.dedup(df).select("doc_id", "kept").collect()}
     assert kept[2] <= 104 and F is not None
+
+
+def test_texts_that_linear_hashes_confuse(spark):
+    a, b = brute.thue_morse()
+    rows = [(1, a), (2, b)]
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(spark.createDataFrame(rows, SCHEMA)).collect()} == brute.components(rows) == {1: (1, 1), 2: (1, 2)}
+    head = " ".join(f"w{i}" for i in range(12))
+    for x, y in ((a, b), (b, a)):
+        rows = [(1, f"{head} {x}"), (2, f"{head} {y}"), (3, f"{head} {x}")]
+        got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substring.dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+        assert got == brute.windows(rows) and got[2][1] == 0 and got[3][1] == 13
+
+
+def test_a_second_hash_parts_what_the_first_confuses(spark):
+    """With the first hash of words all but gone, links and removals stay right."""
+    from wattmill.llm import _text
+
+    strong = _text.slice_hashes
+    weak = lambda buf, starts, ends, seed=0: strong(buf, starts, ends, seed) if seed else strong(buf, starts, ends) & np.uint64(3)
+    rows = [(r, t) for r, t in near_copies() if t][:50]
+    table = _chunk(rows)
+    import pytest as _pytest
+
+    with _pytest.MonkeyPatch.context() as m:
+        m.setattr(ngram_join, "slice_hashes", weak)
+        sizes = {rows[i][0]: len(g) for i, g in ngram_join._sets(table, 5)}
+    assert sizes == {d: n for d, (n, _) in brute.components(rows).items()}
+
+
+def _chunk(rows):
+    import pyarrow as pa
+
+    return pa.table({"chunk": pa.array([0] * len(rows), pa.int64()), "doc_id": pa.array([d for d, _ in rows], pa.int64()), "text": pa.array([None if t is None else t.encode() for _, t in rows], pa.binary())})
+
+
+@pytest.mark.parametrize("length", [200, 1000])
+def test_longer_strings(spark, length):
+    rng = random.Random(length)
+    base = "".join(rng.choice("abcdefgh") for _ in range(3 * length))
+    rows = [(i, "".join(rng.choice("xyz") for _ in range(rng.randint(0, 50))) + base[rng.randint(0, length) :][: rng.randint(length // 2, 2 * length)]) for i in range(25)]
+    rows += [(90, base * 2), (91, "q" * 3 * length), (92, None)]
+    got = {r.doc_id: r for r in suffix_dedup.dedup(spark.createDataFrame(rows, SCHEMA), length).collect()}
+    for d, (n, removed, runs, digest) in brute.repeats(rows, length).items():
+        r = got[d]
+        assert (r.n_bytes, r.n_bytes - len(r.kept), len(r.spans) // 2, brute.sha(bytes(r.kept))) == (n, removed, runs, digest)
+
+
+def test_the_sort_decides_what_is_equal(monkeypatch):
+    """All runs of a chunk, and all suffixes of the distinct ones, go through the sort."""
+    rows = [(i, t) for i, t in passages() if t]
+    seen = []
+    plain = suffix_dedup.deep_shallow_sort
+    monkeypatch.setattr(suffix_dedup, "deep_shallow_sort", lambda buf, starts, *a, **k: seen.append(len(starts)) or plain(buf, starts, *a, **k))
+    table = _chunk(rows)
+    keys, places = suffix_dedup._level_one(table, 100)
+    found = suffix_dedup._Contexts(table, keys[places > 1], np.zeros((places > 1).sum(), bool), 100)
+    assert seen == [len(found.kind)] and 0 < len(found.keys) < len(found.kind)
+    sent = found.send(0, 1)
+    suffix_dedup._sort_windows(sent, 100)
+    assert seen[1] == len(found.keys) and seen[2] == int((found.size - 99).sum())
+
+
+def test_levels_double():
+    assert substring.levels(13) == [4, 8, 13] and substring.levels(13, 2) == [2, 4, 8, 13]
+    assert substring.levels(2) == [2] and substring.levels(100, 3) == [3, 6, 12, 24, 48, 96, 100]
+
+
+def test_each_level_asks_for_survivors_alone():
+    rng = random.Random(4)
+    shared = [f"s{i}" for i in range(40)]
+    rows = [(i, " ".join([f"a{i}_{rng.random()}" for _ in range(30)] + shared[i : i + 9 + i] + [f"b{i}_{rng.random()}" for _ in range(30)])) for i in range(8)]
+    found = substring._Candidates(_chunk(rows), 13, 1)
+    asked = []
+    for size in substring.levels(13):
+        sent = found.ask(size)
+        asked.append(sum(len(x) for x in sent["keys"].to_pylist()) // (8 if size == 13 else 4))
+        answer = substring.X.elsewhere_first if size == 13 else substring.X.halves_in_several
+        found.narrow(size, answer(sent) if sent.num_rows else sent.select(["p"]).append_column("reply", sent["keys"]))
+    plain = {tuple(t.split()[j : j + 13]) for _, t in rows for j in range(len(t.split()) - 12)}
+    assert asked[0] > 400 and asked[1] < 40 and asked[2] <= asked[1] and found.alive.sum() == sum(1 for d, t in rows for j in range(len(t.split()) - 12) if tuple(t.split()[j : j + 13]) in plain and any(e < d and " ".join(t.split()[j : j + 13]) in u for e, u in rows))
+
+
+def test_carried_columns_may_have_any_name(spark):
+    rows = spark.createDataFrame([(1, "a b", 5, "x", 7)], SCHEMA + ", chunk int, kept string, n_words int")
+    r = substring.dedup(rows, 13, carry=("chunk", "kept", "n_words", "doc_id"), whole=True).first()
+    assert (r.carried.chunk, r.carried.kept, r.carried.n_words, r.carried.doc_id, r.whole) == (5, "x", 7, 1, "a b")
+
+
+def test_pivots_and_meetings(spark, monkeypatch):
+    """A family of two centres and a chain between them, in blocks of a few sets."""
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 400)
+    monkeypatch.setattr(ngram_join, "MEET_GRAMS", 300)
+    rng = random.Random(8)
+    words = [f"v{i}" for i in range(200)]
+    base, rows = words[:60], []
+    for i in range(60):
+        w = list(base)
+        w[rng.randrange(60)] = f"own{i}"
+        rows.append((i, " ".join(w)))
+    now = list(base)
+    for i in range(60, 90):  # each differs a little from the one before
+        now = now[2:] + words[60 + 2 * (i - 60) : 62 + 2 * (i - 60)]
+        rows.append((i, " ".join(now)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == brute.components(rows)

@@ -171,3 +171,56 @@ def test_boxes():
     assert paths[:3] == ["ftyp", "moov", "moov/mvhd"] and "moov/trak/mdia/minf/stbl/stsz" in paths and paths[-1] == "mdat"
     assert list(media.walk(data[:20])) == []
     assert json.dumps(media.tracks(b"")) == "[]"
+
+
+def test_slices_of_one_hash_stay_apart(monkeypatch):
+    own = bpe.Encoder.load(RANKS)
+    texts = odd_texts(300)
+    want = encode(texts, RANKS)
+    monkeypatch.setattr(bpe, "slice_hashes", lambda buf, starts, ends, seed=0: np.minimum((ends - starts).astype(np.uint64), 8) * np.uint64(2) + (buf[starts] & 1))
+    # as weak as can be beyond seven bytes; below, slices of one hash and length may be taken as one, so only long ones are tried
+    for t, ids in zip(texts, want, strict=True):
+        raw = np.frombuffer(t.encode(), np.uint8)
+        cuts = np.append(bpe.slices(raw, np.array([0, len(raw)])), len(raw)) if len(raw) else np.zeros(1, int)
+        if len(raw) and np.diff(cuts).min() > 7:
+            assert own.encode(raw, np.array([0, len(raw)]))[0].tolist() == ids
+    for size in (9, 40, 64, 300):
+        for c in "abcdef":
+            raw = np.frombuffer((c * size).encode(), np.uint8)
+            assert own.encode(raw, np.array([0, size]))[0].tolist() == encode([c * size], RANKS)[0]
+
+
+def test_hash_is_not_linear():
+    a, b = brute.thue_morse()
+    raw = np.frombuffer((a + b).encode(), np.uint8)
+    n = len(a)
+    for seed in (0, 1):
+        x, y = bpe.slice_hashes(raw, np.array([0, n]), np.array([n, 2 * n]), seed)
+        assert x != y
+    for first, second in ((a, b), (b, a)):
+        made = bpe.Encoder.load(RANKS)
+        for t in (first, second):
+            ids, _ = made.encode(np.frombuffer(t.encode(), np.uint8), np.array([0, n]))
+            assert made.decode(ids)[0].tobytes() == t.encode()
+
+
+def test_packing_of_hash_twins(spark):
+    a, b = brute.thue_morse()
+    got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in packing.pack(spark.createDataFrame([(1, a), (2, b)], SCHEMA).coalesce(1), VOCABULARY).collect()}
+    for d, t in ((1, a), (2, b)):
+        want = np.array([*encode([t], VOCABULARY)[0], packing.END_OF_TEXT], "<u4")
+        assert got[d] == (len(want), zlib.crc32(want.tobytes()))
+
+
+def test_hot_keys_fill_no_group_alone(spark, monkeypatch):
+    df = spark.createDataFrame([(None, "same words")] * 600, SCHEMA)
+    monkeypatch.setattr(packing, "GROUP_BYTES", -(-packing.estimated_bytes(df) // 4))
+    groups = [r.sequence_id >> 32 for r in packing.pack(df, VOCABULARY).collect()]
+    assert len(groups) == 600 and max(groups.count(g) for g in set(groups)) < 300
+
+
+def test_sharding_keeps_other_columns(spark):
+    df = spark.createDataFrame([(1, "a", 10, 11, 12, 13, 14), (1, "a", 20, 21, 22, 23, 24)], SCHEMA + ", _start int, SIZE int, _at int, bucket int, r int")
+    out = sharding.shard(df, 3)
+    assert "size" in out.columns and "SIZE" not in out.columns
+    assert sorted((r._start, r._at, r.bucket, r.r, r.size) for r in out.collect()) == [(10, 12, 13, 14, 17), (20, 22, 23, 24, 17)]
