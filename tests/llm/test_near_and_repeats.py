@@ -231,8 +231,9 @@ def test_the_sort_decides_what_is_equal(monkeypatch):
     plain = suffix_dedup.deep_shallow_sort
     monkeypatch.setattr(suffix_dedup, "deep_shallow_sort", lambda buf, starts, *a, **k: seen.append(len(starts)) or plain(buf, starts, *a, **k))
     table = _chunk(rows)
-    keys, places = suffix_dedup._level_one(table, 100)
-    found = suffix_dedup._Contexts(table, keys[places > 1], np.zeros((places > 1).sum(), bool), 100)
+    batches = list(suffix_dedup._scan(table, 100))
+    keys, places = suffix_dedup._level_one(batches)
+    found = suffix_dedup._Contexts(batches, table["doc_id"].to_numpy(), keys[places > 1], np.zeros((places > 1).sum(), bool), 100)
     assert seen == [len(found.kind)] and 0 < len(found.keys) < len(found.kind)
     sent = found.send(0, 1)
     suffix_dedup._sort_windows(sent, 100)

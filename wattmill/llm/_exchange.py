@@ -29,9 +29,9 @@ def ways(df: DataFrame) -> int:
     return max(shuffle_partitions(df.sparkSession), -(-estimated_bytes(df) // CHUNK_BYTES))
 
 
-def ranges(df: DataFrame, chunks: int) -> int:
-    """The number of key ranges: few, so that messages stay long, but each receives what a few chunks send."""
-    return max(shuffle_partitions(df.sparkSession), -(-chunks // RANGE_CHUNKS))
+def ranges(df: DataFrame, chunks: int, share: int = RANGE_CHUNKS) -> int:
+    """The number of key ranges: few, so that messages stay long, but each receives what `share` chunks send."""
+    return max(shuffle_partitions(df.sparkSession), -(-chunks // share))
 
 
 def chunk_of(key: str | Column, text: str | Column, n: int) -> Column:

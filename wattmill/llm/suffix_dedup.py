@@ -22,7 +22,7 @@ from . import _exchange as X
 from ._text import mix, spread, table_batches
 
 _U = np.uint64
-SHALLOW = 64  # bytes that the multikey quicksort sees
+SHALLOW = 80  # bytes that the multikey quicksort sees
 OFFSETS = 64  # places that a window's gram can take in it
 HOT_PLACES = 1 << 16  # places from which a gram's windows travel one by one
 _BASE, _INVERSE = _U(0x9E3779B97F4A7C15), _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -82,10 +82,9 @@ class BlindTrie:
 
 def _eights(buf: np.ndarray, beyond: int) -> np.ndarray:
     """The eight bytes from each place on as a number in the order of strings; zeros follow the end."""
-    out = np.concatenate((buf, np.zeros(beyond, np.uint8))).astype(_U)
-    for step in (1, 2, 4):
-        out = out << _U(8 * step) | np.concatenate((out[step:], np.zeros(step, _U)))
-    return out
+    padded = np.zeros(len(buf) + beyond + 8, np.uint8)
+    padded[: len(buf)] = buf
+    return np.lib.stride_tricks.as_strided(padded[:8].view(">u8"), (len(buf) + beyond + 1,), (1,))
 
 
 def deep_shallow_sort(buf: np.ndarray, starts: np.ndarray, length: int | np.ndarray, shallow: int = SHALLOW, within: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +121,7 @@ def deep_shallow_sort(buf: np.ndarray, starts: np.ndarray, length: int | np.ndar
                 break
             begin = np.flatnonzero(first)
             size = np.diff(np.append(begin, len(spot)))
-        key = eight[starts[row] + depth]
+        key = eight[starts[row] + depth].astype(_U)
         pivot = np.repeat(key[begin + size // 2], size)
         less, same = key < pivot, key == pivot
         ends = begin + size
@@ -153,12 +152,22 @@ def deep_shallow_sort(buf: np.ndarray, starts: np.ndarray, length: int | np.ndar
         mine, other = starts[order[tied]], np.repeat(starts[order[tied[begin]]], size)
         total = length[order[tied]]
         differ = np.zeros(len(tied), bool)
-        for d in range(shallow // 8 * 8, int(total.max()), 8):
+        rest = range(int((np.minimum(shallow, total) // 8 * 8).min()), int(total.max()), 8)
+        for d in rest:
             at = np.minimum(d, total - 8)
             differ |= eight[mine + at] != eight[other + at]
-        short = np.minimum(shallow, total) // 8 * 8 == total // 8 * 8  # the last bytes of short strings
-        differ[short] |= (eight[mine + total - 8] != eight[other + total - 8])[short]
         uneven = np.logical_or.reduceat(differ, begin)
+        two = begin[uneven & (size == 2)]  # a trie of two leaves is one comparison at the first bytes that differ
+        x, y = order[tied[two]], order[tied[two + 1]]
+        open_, swap = np.ones(len(two), bool), np.zeros(len(two), bool)
+        for d in rest if len(two) else ():
+            at = np.minimum(d, length[x] - 8)
+            p, q = eight[starts[x] + at].astype(_U), eight[starts[y] + at].astype(_U)
+            swap |= open_ & (p > q)
+            open_ &= p == q
+        order[tied[two[swap]]], order[tied[two[swap] + 1]] = y[swap], x[swap]
+        head[tied[two + 1]] = True
+        uneven &= size != 2
         for b, e in zip(begin[uneven].tolist(), (begin + size)[uneven].tolist(), strict=True):
             trie = BlindTrie()
             for row in order[tied[b:e]].tolist():
@@ -226,43 +235,15 @@ def _least(grams: np.ndarray, span: int) -> np.ndarray:
     return grams
 
 
-def _windows(table: pa.Table, length: int):
-    """For about a megabyte at a time: first row, buffer, offsets, gram hashes, window places, their rows, the runs of equal least hash."""
-    for first, last, buf, offsets in table_batches(table, "text"):
-        grams = _grams(buf, length - OFFSETS + 1)
-        least = _least(grams, OFFSETS)
-        counts = np.maximum(np.diff(offsets) - length + 1, 0)
-        place = spread(offsets[:-1], counts)
-        row = np.repeat(np.arange(first, last), counts)
-        least = least[place]
-        new = np.ones(len(place), bool)
-        new[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
-        yield first, buf, offsets, grams, place, row, least, np.flatnonzero(new)
-
-
-def _level_one(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct least grams of the chunk's windows, at how many places each stands)."""
-    keys = [np.empty(0, _U)]
-    for _, _, _, grams, place, row, least, new in _windows(table, length):
-        keys.append(least[new])
-        if len(place):  # a gram at a window's very start that is the next one's least as well has a second place
-            again = grams[place] == least
-            again[:-1] &= (least[1:] == least[:-1]) & (row[1:] == row[:-1])
-            again[-1] = False
-            keys.append(least[new][np.logical_or.reduceat(again, new)])
-    keys, count = np.unique(np.concatenate(keys), return_counts=True)
-    return keys, count.astype(np.uint32)
-
-
 def _runs(grams: np.ndarray, least: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray):
     """Runs of windows [a, b) of one least gram, cut where its leftmost place changes: (first window, end window, the gram's place)."""
     out = []
-    wide = np.arange(OFFSETS)
+    wide = np.lib.stride_tricks.sliding_window_view(np.concatenate((grams, np.zeros(OFFSETS, _U))), OFFSETS)
     while len(a):
         at = np.empty(len(a), np.int64)
         for i in range(0, len(a), 4096):
             part = slice(i, i + 4096)
-            at[part] = place[a[part]] + (grams[np.minimum(place[a[part]][:, None] + wide, len(grams) - 1)] == least[a[part]][:, None]).argmax(axis=1)
+            at[part] = place[a[part]] + (wide[place[a[part]]] == least[a[part]][:, None]).argmax(axis=1)
         end = np.minimum(b, a + (at - place[a]) + 1)
         out.append((a, end, at))
         more = end < b
@@ -273,30 +254,50 @@ def _runs(grams: np.ndarray, least: np.ndarray, place: np.ndarray, a: np.ndarray
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
+def _scan(table: pa.Table, length: int):
+    """For about a megabyte at a time: first row, buffer, offsets, and runs of windows around one place of their
+    least gram, as (gram, row, first byte, number of windows, the gram's place)."""
+    for first, last, buf, offsets in table_batches(table, "text"):
+        grams = _grams(buf, length - OFFSETS + 1)
+        least = _least(grams, OFFSETS)
+        counts = np.maximum(np.diff(offsets) - length + 1, 0)
+        place = spread(offsets[:-1], counts)
+        row = np.repeat(np.arange(first, last), counts)
+        least = least[place]
+        new = np.ones(len(place), bool)
+        new[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
+        start = np.flatnonzero(new)
+        a, b, at = _runs(grams, least, place, start, np.append(start[1:], len(place)))
+        yield first, buf, offsets, (least[a], row[a], place[a], b - a, at)
+
+
+def _level_one(batches: list) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct least grams of the chunk's windows, at how many places each stands)."""
+    keys, count = np.unique(np.concatenate([np.empty(0, _U), *[runs[0] for *_, runs in batches]]), return_counts=True)
+    return keys, count.astype(np.uint32)
+
+
 class _Contexts:
     """A chunk's runs of candidate windows: where they lie, and one of each kind with its bytes."""
 
-    def __init__(self, table: pa.Table, shared: np.ndarray, hot: np.ndarray, length: int):
+    def __init__(self, batches: list, ids: np.ndarray, shared: np.ndarray, hot: np.ndarray, length: int):
         self.runs = []  # for each batch: number of the first run, row, start byte in the text, lowest and highest offset
-        ids = X.order_ids(table)
         none = np.empty(0, np.int64)
         names, lows, places, sizes, raws = [np.empty(0, _U)], [none], [none.reshape(0, 2)], [none], [np.empty(0, np.uint8)]
         count = 0
-        for first, buf, offsets, grams, spot, row, least, new in _windows(table, length):
-            end = np.append(new[1:], len(spot))
-            where = np.minimum(np.searchsorted(shared, least[new]), max(len(shared) - 1, 0))
-            mine = shared[where] == least[new] if len(shared) else np.zeros(len(new), bool)
-            where, a, b = where[mine], new[mine], end[mine]
-            many = hot[where]
-            run_a, run_b, at = _runs(grams, least, spot, a[~many], b[~many])
-            single = spread(a[many], b[many] - a[many])
-            name = np.concatenate((least[run_a], _grams(buf, length)[spot[single]] if len(single) else np.empty(0, _U)))
-            run_a, run_b = np.concatenate((run_a, single)), np.concatenate((run_b, single + 1))
-            at = np.concatenate((at, spot[single]))  # a window alone is told apart by its own hash, at offset 0
-            begin = spot[run_a]
-            size = spot[run_b - 1] + length - begin if len(run_a) else none
-            rows = row[run_a]
-            low = at - spot[run_b - 1] if len(run_a) else none
+        for first, buf, offsets, runs in batches:
+            where = np.minimum(np.searchsorted(shared, runs[0]), max(len(shared) - 1, 0))
+            mine = shared[where] == runs[0] if len(shared) else np.zeros(len(where), bool)
+            many = hot[where[mine]]
+            name, rows, begin, n, at = (x[mine] for x in runs)
+            if many.any():  # a window alone is told apart by its own hash, at offset 0
+                alone = spread(begin[many], n[many])
+                own = _grams(buf, length)[alone]
+                rows = np.concatenate((rows[~many], np.repeat(rows[many], n[many])))
+                name, begin, at = (np.concatenate((x[~many], y)) for x, y in ((name, own), (begin, alone), (at, alone)))
+                n = np.concatenate((n[~many], np.ones(len(alone), np.int64)))
+            size = n + length - 1
+            low = at - begin - n + 1
             inner = begin - offsets[rows - first]
             names.append(name)
             lows.append(low)
@@ -354,12 +355,12 @@ def _sort_windows(table: pa.Table, length: int) -> pa.Table:
     count = windows[only]
     run = np.repeat(only, count)
     step = spread(np.zeros(len(only), np.int64), count)  # from the run's first window on
-    order, group = deep_shallow_sort(text, start[run] + step, length, within=_labels(keys)[run])
+    offset = low[run] + windows[run] - 1 - step  # windows of one gram that hold it elsewhere differ
+    order, group = deep_shallow_sort(text, start[run] + step, length, within=_labels(keys)[run] * OFFSETS + offset)
     doc, byte = place[run, 0][order], (place[run, 1] + step)[order]
     rank = np.lexsort((byte, doc, group))
     late = order[rank[np.diff(group[rank], prepend=-1) == 0]]
-    bit = low[run[late]] + windows[run[late]] - 1 - step[late]
-    np.bitwise_or.at(mask, run[late], _U(1) << bit.astype(_U))
+    np.bitwise_or.at(mask, run[late], _U(1) << offset[late].astype(_U))
     return X._reply(table, mask, cuts)
 
 
@@ -388,29 +389,30 @@ def dedup(df: DataFrame, length: int = 100, key: str = "doc_id", text: str = "te
     if length < OFFSETS + 8:
         raise ValueError(f"length must be at least {OFFSETS + 8}")
     chunks = X.ways(df)
-    n = X.ranges(df, chunks)
+    n, n_runs = X.ranges(df, chunks), X.ranges(df, chunks, 1)  # runs come with their bytes
     docs = X.chunked(df, chunks, key, text)
 
     def level(notes: pa.Table, k: int) -> pa.Table:
         return notes.filter(pc.equal(notes["level"], k))
 
     def ask_grams(table: pa.Table) -> pa.Table:
-        keys, places = _level_one(table, length)
+        keys, places = _level_one(list(_scan(table, length)))
         return X.send(table["chunk"][0].as_py(), keys, places, n)
 
-    def contexts(table: pa.Table, notes: pa.Table) -> _Contexts:
-        keys, _ = _level_one(table, length)
+    def contexts(table: pa.Table, notes: pa.Table) -> tuple[list, _Contexts]:
+        batches = list(_scan(table, length))
+        keys, _ = _level_one(batches)
         state = X.receive(level(notes, 1), keys, n, np.uint8)
-        return _Contexts(table, keys[state > 0], state[state > 0] > 1, length)
+        return batches, _Contexts(batches, X.order_ids(table), keys[state > 0], state[state > 0] > 1, length)
 
     def ask_windows(table: pa.Table, notes: pa.Table) -> pa.Table:
-        return contexts(table, notes).send(table["chunk"][0].as_py(), n)
+        return contexts(table, notes)[1].send(table["chunk"][0].as_py(), n_runs)
 
     def cut(table: pa.Table, notes: pa.Table) -> pa.Table:
-        found = contexts(table, notes)
-        mask = X.receive(level(notes, 2), found.keys, n, _U)
+        batches, found = contexts(table, notes)
+        mask = X.receive(level(notes, 2), found.keys, n_runs, _U)
         n_bytes, kept, spans = [], [], []
-        for b, (first, last, buf, offsets) in enumerate(table_batches(table, "text")):
+        for b, (first, buf, offsets, _) in enumerate(batches):
             base, rows, inner, low, high = found.runs[b]
             kind, lead = found.kind[base : base + len(rows)], found.lead[base : base + len(rows)]
             bits = mask[kind]
