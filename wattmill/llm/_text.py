@@ -47,22 +47,25 @@ def words(buf: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _BLANK) -> t
     return starts, np.flatnonzero(end) + 1, np.searchsorted(starts, offsets)
 
 
-def windows(hashes: np.ndarray, size: int) -> np.ndarray:
-    """A hash of each run of `size` items, by the item it starts at; runs across texts are included."""
+def windows(hashes: np.ndarray, size: int, at: np.ndarray | None = None) -> np.ndarray:
+    """A hash of each run of `size` items, by the item it starts at, or of those that start `at` places; runs across texts are included."""
     if size > len(_FACTORS):
         raise ValueError(f"a run has at most {len(_FACTORS)} items")
     n = len(hashes) - size + 1
     if n <= 0:
         return np.empty(0, _U)
-    out = hashes[:n] * _FACTORS[0]
+    if at is not None and len(at) > n // 4:
+        return windows(hashes, size)[at]
+    part = (lambda j: hashes[j : j + n]) if at is None else (lambda j: hashes[at + j])
+    out = part(0) * _FACTORS[0]
     for j in range(1, size):
-        out += hashes[j : j + n] * _FACTORS[j]
+        out += part(j) * _FACTORS[j]
     return mix(out)
 
 
 def distinct(keys: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(an order in which equal rows of the columns are neighbours, where in it a new one begins)."""
-    order = np.lexsort((*more[::-1], keys)) if more else np.argsort(keys, kind="stable")
+    order = np.lexsort((*more[::-1], keys)) if more else np.argsort(keys)
     new = np.ones(len(order), bool)
     if len(order):
         new[1:] = keys[order][1:] != keys[order][:-1]

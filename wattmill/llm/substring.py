@@ -32,14 +32,16 @@ def levels(length: int, first: int = FIRST_WORDS) -> list[int]:
 class _Candidates:
     """The windows of a chunk's texts that can still repeat, by the word they start at."""
 
-    def __init__(self, table: pa.Table, length: int, n: int):
+    def __init__(self, table: pa.Table, length: int, n: int, whole: bool = True):
+        """`whole`: the second hash, of the last level, is wanted too."""
         self.table, self.length, self.n = table, length, n
         self.ids = X.order_ids(table)
         hashes, others, counts = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for _, _, buf, offsets in table_batches(table, "text"):
             starts, ends, at = words(buf, offsets)
             hashes.append(slice_hashes(buf, starts, ends))
-            others.append(slice_hashes(buf, starts, ends, 1))
+            if whole:
+                others.append(slice_hashes(buf, starts, ends, 1))
             counts.append(np.diff(at))
         self.hashes, self.others, counts = np.concatenate(hashes), np.concatenate(others), np.concatenate(counts)
         self.row = np.repeat(np.arange(len(counts)), counts)
@@ -55,8 +57,8 @@ class _Candidates:
     def _names(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(places of the parts, an order of them, where in it a new one begins, hash, least owner of each new one)."""
         at = self.parts(size)
-        keys = windows(self.hashes, size)[at] if len(at) else self.hashes[:0]
-        more = (windows(self.others, size)[at],) if size == self.length and len(at) else ()
+        keys = windows(self.hashes, size, at)
+        more = (windows(self.others, size, at),) if size == self.length and len(at) else ()
         order, new = distinct(keys, *more)
         return at, order, new, keys, self.ids[self.row[at]]
 
@@ -70,7 +72,7 @@ class _Candidates:
         least = np.minimum.reduceat(owner, first)
         if size < self.length:
             return X.send(chunk, keys[order][first], least != np.maximum.reduceat(owner, first), self.n, np.uint32)
-        other = windows(self.others, size)[at][order][first]
+        other = windows(self.others, size, at[order][first])
         return X.send(chunk, keys[order][first], np.stack((other.view(np.int64), least), axis=1), self.n)
 
     def narrow(self, size: int, replies: pa.Table) -> None:
@@ -112,7 +114,7 @@ def dedup(df: DataFrame, length: int = 13, key: str = "doc_id", text: str = "tex
     sizes = levels(length, first)
 
     def narrowed(table: pa.Table, replies: pa.Table | None, upto: int) -> _Candidates:
-        found = _Candidates(table, length, n)
+        found = _Candidates(table, length, n, upto >= len(sizes) - 1)
         for k in range(upto):
             found.narrow(sizes[k], replies.filter(pc.equal(replies["level"], k)))
         return found
