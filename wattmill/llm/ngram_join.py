@@ -32,6 +32,7 @@ from ._text import lower, mix, slice_hashes, table_batches, windows, words
 BLOCK_GRAMS = 1 << 15  # n-grams in a block of a large family
 MEET_GRAMS = 1 << 18  # n-grams on each side where sets that no pivot reached meet others
 PIVOTS = 4
+SALTS = 64  # parts in which a family's sets look up its size
 _SETS = "doc_id long, rep long, n long, grams binary"
 
 
@@ -60,6 +61,16 @@ def _sets(table: pa.Table, size: int):
                 yield first + i, np.empty((0, 2), np.uint64)
 
 
+def _packed(grams: np.ndarray) -> bytes:
+    """The first hash of each n-gram, and half of the second: 96 bits."""
+    return grams[:, 0].tobytes() + grams[:, 1].astype(np.uint32).tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    n = len(raw) // 12
+    return np.stack((np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, np.uint32, n, 8 * n).astype(np.uint64)), axis=1)
+
+
 def _needed(n: np.ndarray | int, num: int, den: int):
     """The least overlap of a set of n with any partner: |x & y| >= t |x|."""
     return -(-n * num // den)
@@ -198,7 +209,7 @@ def _family_links(table: pa.Table, num: int, den: int) -> tuple[list[int], list[
     """(id, least linked id) for the members of one family, of a block of it, or of two parts that meet."""
     ids, at = np.unique(table["doc_id"].to_numpy(), return_index=True)  # a pivot may come twice
     table = table.take(pa.array(at))
-    parts = [np.frombuffer(x, np.uint64).reshape(-1, 2) for x in table["grams"].to_pylist()]
+    parts = [_unpacked(x) for x in table["grams"].to_pylist()]
     # numbers in the trie: commonest first, i.e. the reverse of (holders, hash), as each row is stored
     flat = np.concatenate(parts)
     held = np.concatenate([np.frombuffer(x, np.uint16) for x in table["holders"].to_pylist()]).astype(np.int64)
@@ -220,8 +231,9 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
     `size`-grams; fewer words make one gram of all. component_id is the least id reachable. Rows
     without words or text have no grams and link with nothing. Ids are taken as distinct; rows that
     share an id are one node. A null id is a node like another (as the least long). An empty
-    table gives none; other columns aren't read. Grams are compared by two independent hashes, 128
-    bits; a single one only narrows the search.
+    table gives none; other columns aren't read. Grams are compared by two independent hashes, 96
+    bits; a single one only narrows the search. A chunk's texts go about a megabyte of whole texts
+    at a time; a text of N bytes takes some 60 N bytes.
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
@@ -269,7 +281,7 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
         held = []
         for doc, r, m, g, p in out:
             few = _part(_needed(m, num, den), num, den)
-            held.append(g.tobytes() if r == doc and m and np.count_nonzero(seen[np.searchsorted(keys, p)]) >= few else None)
+            held.append(_packed(g) if r == doc and m and np.count_nonzero(seen[np.searchsorted(keys, p)]) >= few else None)
         cols = [pa.array([x[k] for x in out], pa.int64()) for k in range(3)]
         return pa.table([*cols, pa.array(held, pa.binary())], ["doc_id", "rep", "n", "grams"])
 
@@ -284,7 +296,7 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
     parts = left.select(F.pmod(F.xxhash64("doc_id", "grams", F.lit("left")), F.lit(pieces)).cast("long").alias("chunk"), "doc_id", "n", "grams")
 
     def tally(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        sets = [np.frombuffer(x, np.uint64).reshape(-1, 2) for x in table["grams"].to_pylist()]
+        sets = [_unpacked(x) for x in table["grams"].to_pylist()]
         keys, count = np.unique(np.concatenate(sets)[:, 0], return_counts=True)
         return keys, np.minimum(count, 65535).astype(np.uint16), sets
 
@@ -306,7 +318,7 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
             g, held = g[rank], held[rank]
             rows["doc_id"].append(doc)
             rows["n"].append(size_)
-            rows["grams"].append(g.tobytes())
+            rows["grams"].append(_packed(g))
             rows["holders"].append(held.tobytes())
             rows["prefix"].append(g[: len(g) - need + 1, 0].astype(np.int64))
         kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
@@ -320,10 +332,15 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
     family = connected_components(near, shared).withColumnRenamed("component", "family")
 
     # families, whole or in blocks
-    members = shared.table(ready.join(family.withColumnRenamed("node", "doc_id"), "doc_id"))
+    family = family.withColumnRenamed("node", "doc_id")
     grams = F.octet_length("holders") / 2
-    weights = members.groupBy("family").agg(F.sum(grams).alias("w"))
-    weights = weights.select("family", F.ceil(F.col("w") / BLOCK_GRAMS).cast("int").alias("blocks"), (F.col("w") * 20 > BLOCK_GRAMS).alias("alone"))
+    weights = ready.select("doc_id", grams.alias("w")).join(family, "doc_id").groupBy("family").agg(F.sum("w").alias("w"))
+    large = weights.filter(F.col("w") > BLOCK_GRAMS).select("family", F.ceil(F.col("w") / BLOCK_GRAMS).cast("int").alias("blocks"))
+    large = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = ready.join(family, "doc_id").withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit("salt")), F.lit(SALTS)).cast("int"))
+    members = salted.join(large, ["family", "salt"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).drop("salt")
+    members = shared.table(members)
+    shared.drop(ready)
     sets = ("doc_id", "n", "grams", "holders")
 
     def link(table: pa.Table) -> pa.Table:
@@ -341,18 +358,18 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
     def linked(placed: DataFrame, *by: str) -> DataFrame:
         return shared.table(placed.groupBy(*by).applyInArrow(link, "u long, v long, whole boolean"))
 
-    placed = members.join(weights, "family").select(*sets, "family", "blocks", "alone", F.pmod(F.xxhash64("doc_id", F.lit("block")), F.col("blocks")).cast("int").alias("b"))
+    placed = members.select(*sets, "family", "blocks", F.pmod(F.xxhash64("doc_id", F.lit("block")), F.col("blocks")).cast("int").alias("b"))
     lot = F.pmod(F.xxhash64("doc_id", F.lit("pivot")), F.lit(PIVOTS))
-    pivots = placed.filter("blocks > 1").groupBy("family", "blocks", "alone", lot.alias("lot")).agg(F.min_by(F.struct(*sets), F.struct(F.col("n") - grams, "doc_id")).alias("s"))
-    pivots = pivots.select("s.*", "family", "blocks", "alone", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"))
-    bundle = F.when(F.col("alone"), F.col("family")).otherwise(-1 - F.pmod(F.xxhash64("family"), F.lit(m * 4)))
-    links = linked(placed.unionByName(pivots).select(*sets, "family", "blocks", "b", bundle.alias("bundle")), "bundle", "b")
+    pivots = placed.filter("blocks > 1").groupBy("family", "blocks", lot.alias("lot")).agg(F.min_by(F.struct(*sets), F.struct(F.col("n") - grams, "doc_id")).alias("s"))
+    pivots = pivots.select("s.*", "family", "blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"))
+    bundle = F.when(F.col("blocks") > 1, F.col("family")).otherwise(-1 - F.pmod(F.xxhash64("family"), F.lit(m * 4)))
+    links = linked(placed.unionByName(pivots).withColumn("bundle", bundle), "bundle", "b")
     label = links.filter("whole and u != v").select(F.col("u").alias("rep"), F.col("v").alias("component"))
     parted = links.filter("not whole").select("u", "v")
     if not parted.isEmpty():
         # sets outside of a family's largest component, and those that share an n-gram of the prefixes with one of them
         near = shared.table(connected_components(parted, shared))
-        large = members.join(weights.filter("blocks > 1").select("family"), "family").select("doc_id", "family", "prefix", grams.alias("w"))
+        large = members.filter("blocks > 1").select("doc_id", "family", "prefix", grams.alias("w"))
         large = large.join(near.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
         main = large.groupBy("family", "component").agg(F.count("*").alias("c")).groupBy("family").agg(F.max_by("component", F.struct("c", "component")).alias("main"))
         large = large.join(main, "family")
@@ -367,7 +384,7 @@ def join(df: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", t
             every_of = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
             left_side = rest.join(counts, "family").select("doc_id", deal("n_i").alias("i"), every_of("n_j").alias("j"))
             right_side = other.join(counts, "family").select("doc_id", every_of("n_i").alias("i"), deal("n_j").alias("j"))
-            meet = left_side.union(right_side).distinct().join(members.select(*sets, "family"), "doc_id").withColumn("blocks", F.lit(2))
+            meet = left_side.union(right_side).distinct().join(members.select(*sets, "family", "blocks"), "doc_id")
             parted = parted.union(linked(meet, "family", "i", "j").select("u", "v"))
         label = label.unionByName(connected_components(parted, shared).withColumnRenamed("node", "rep"))
         links = links.select("u", "v").union(parted)
