@@ -118,3 +118,24 @@ def test_scalars(spark):
 def test_names_that_meet(spark):
     df = spark.createDataFrame([(None, "b", ""), ("a", "b", "c")], "gasDay string, gas_day string, other string")
     assert [r.gas_day for r in S.normalise_names(df).collect()] == ["b", "a"]
+
+
+def test_what_lets_a_watermark_advance():
+    window = state.incremental_window(state.Snapshot("present", NOW - timedelta(hours=10)), NOW, NOW, NOW)
+    assert state.may_record(window, [(200, None), (500, 0)], 0) and state.may_record(window, [(200, 4)], 0)
+    assert not state.may_record(window, [(200, 4)], 1) and not state.may_record(window, [(404, 4), (200, 0)], 0) and not state.may_record(window, [], 0)
+
+
+def test_ties_have_one_winner(spark):
+    rows = [(1, "2024-01-01", x) for x in "cab"]
+    df = spark.createDataFrame(rows, "mrid int, available_at string, v string")
+    spec = vintage.LATEST_SPECS["elexon", "remit"]
+    for part in (1, 3):
+        assert vintage.latest_by(df.repartition(part), spec, vintage.total_order(df, spec)).first().v == "c"
+    assert vintage.dedup_signal(df.withColumn("at", F.lit("x")), ["mrid"], ["v"]).first().v == "a"
+
+
+def test_columns_that_vary(spark):
+    df = spark.createDataFrame([("a", 1, "x", "2024-01-01"), ("b", 2, "x", "2024-01-02")], "c string, n int, same string, t string")
+    assert quality.varying_columns(df) == ["c", "n", "t"] and quality.key_columns(df, "t") == ["t", "c"]
+    assert quality.coverage(df.withColumn("t", F.col("t").cast("timestamp")), "t", ["same"]).first().dedup_ratio == 0.5

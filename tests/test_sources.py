@@ -82,7 +82,11 @@ def test_csv_contract(spark, tmp_path):
     ok.write_bytes("﻿BMU_ID, Date ,MW\nX,2024-06-01,1.5\n".encode())
     got = bronze.csv_records(spark, [str(ok)], ("BMU_ID", "Date", "MW")).collect()
     assert [(r.BMU_ID, r.Date, r.MW) for r in got] == [("X", "2024-06-01", "1.5")]
-    for name, text in (("b", "Date,BMU_ID,MW\n"), ("c", "<html></html>"), ("d", "  ")):
+    quoted = tmp_path / "q.csv"
+    quoted.write_text('"BMU_ID","Date", "MW"\r\n"X, ""Y""\nZ",2024-06-01,1.5\r\n\r\nW,,\n')
+    got = bronze.csv_records(spark, [str(quoted)], ("BMU_ID", "Date", "MW")).orderBy("ordinal").collect()
+    assert [(r.ordinal, r.BMU_ID, r.Date, r.MW) for r in got] == [(0, 'X, "Y"\nZ', "2024-06-01", "1.5"), (1, "W", None, None)]
+    for name, text in (("e", "BMU_ID,Date,MW,more\n"), ("b", "Date,BMU_ID,MW\n"), ("c", "<html></html>"), ("d", "  ")):
         p = tmp_path / f"{name}.csv"
         p.write_text(text)
         with pytest.raises(Exception, match="drifted|HTML|empty"):
@@ -105,6 +109,9 @@ def test_documents():
     assert len(market_xml.parse_document(document([(1, 5), (3, 6)]))) == 2
     assert market_xml.parse_document(b"<broken") == []
     assert market_xml.parse_document(b"<!DOCTYPE x [<!ENTITY a 'b'>]><x/>") == []
+    assert market_xml.parse_document(b"<!--" + b"x" * 9000 + b"-->" + b"<!DOCTYPE x [<!ENTITY a 'b'>]><x/>") == []
+    long = market_xml.parse_document(document([(1, 5)], "A03", "PT15M", "2028-06-01T00:00Z"))
+    assert len(long) == 1461 * 96 and market_xml.is_last_page(document([(1, 5)])) and not market_xml.is_last_page(b"<a>" + b"<TimeSeries/>" * 4800 + b"</a>")
     assert [r["value"] for r in market_xml.parse_document(document([(1, "x"), (2, 3)]))] == [3.0]
     (empty,) = market_xml.parse_document(document([(1, "")]))
     assert empty["value"] != empty["value"]
@@ -126,12 +133,72 @@ def test_ambiguous_bid_documents_are_refused():
 
 
 def test_day_ahead_prices(spark, tmp_path):
-    land(tmp_path / "b", "entsoe", "day_ahead_prices", document([(1, 5), (2, 6), (25, 9)]), ext="xml")
+    land(tmp_path / "b", "entsoe", "day_ahead_prices", document([(1, 5), (2, 6), (25, 9)]), ext="xml", request_params={"periodStart": "202406010000", "periodEnd": "202406020000"})
     out = silver.run(spark, str(tmp_path / "b"), str(tmp_path / "s"), "entsoe", "day_ahead_prices", DAY, "r").collect()
     assert [(r.timestamp_utc.hour, r.area_code, r.price_eur_mwh, r.currency) for r in sorted(out, key=lambda r: r.timestamp_utc)] == [(0, "10YFR-RTE------C", 5.0, "EUR"), (1, "10YFR-RTE------C", 6.0, "EUR")]
     assert str(out[0].available_at) == "2024-06-01 10:00:00"
 
 
+def test_half_open_windows(spark, tmp_path):
+    """What the requests asked for decides, whatever the UTC day; without sound sidecars nothing goes; a total drop fails."""
+    run = lambda b: silver.execute(spark, str(tmp_path / b), str(tmp_path / f"{b}-s"), "entsoe", "day_ahead_prices", DAY, "r")
+    body = document([(1, 5), (2, 6), (25, 9), (49, 3)])
+    land(tmp_path / "a", "entsoe", "day_ahead_prices", body, ext="xml", request_params={"periodStart": "202406010100", "periodEnd": "202406030000"})
+    got = run("a")
+    assert (got.status, got.written, got.window_dropped, got.bodies) == ("success", 2, 2, 1)
+    assert sorted(r.price_eur_mwh for r in got.frame.collect()) == [6.0, 9.0]
+    land(tmp_path / "b", "entsoe", "day_ahead_prices", body, ext="xml")
+    got = run("b")
+    assert (got.status, got.written, got.window_unresolved) == ("completed_with_warnings", 4, 1)
+    land(tmp_path / "c", "entsoe", "day_ahead_prices", body, ext="xml", request_params={"periodStart": "202501010100", "periodEnd": "202501030000"})
+    got = run("c")
+    assert (got.status, got.written, got.window_dropped) == ("failed", 0, 4) and not (tmp_path / "c-s").exists()
+    with pytest.raises(RuntimeError, match="window"):
+        silver.run(spark, str(tmp_path / "c"), str(tmp_path / "c-s"), "entsoe", "day_ahead_prices", DAY, "r")
+
+
+def test_broken_rows_are_counted_and_kept(spark, tmp_path):
+    land(tmp_path / "b", "elexon", "system_prices", {"data": [price(1, 50.0), price(99, 51.0), price(2, 99_999.0, "ZZ")]})
+    args = (spark, str(tmp_path / "b"), str(tmp_path / "s"), "elexon", "system_prices", DAY)
+    got = silver.execute(*args, "r1")
+    assert (got.status, got.written) == ("completed_with_warnings", 3)
+    assert {k: v for k, v in got.broken.items() if v} == {"settlement_period_in_range": 1, "system_sell_price_in_range": 1, "system_buy_price_in_range": 1, "run_type_known": 1}
+    silver.execute(*args, "r2")  # over the same files: the same vintage, replaced
+    assert tables.read_path(spark, str(tmp_path / "s" / "elexon" / "system_prices")).count() == 3
+
+
+def test_required_is_about_columns(spark, tmp_path):
+    rows = [{"settlementDate": "2024-06-01", "settlementPeriod": 1, "fuelType": "WIND", "generation": 3}, {"settlementDate": None, "settlementPeriod": 2, "fuelType": "GAS", "generation": 4}]
+    d = dataset("elexon", "fuelhh")
+    land(tmp_path / "a", "elexon", "fuelhh", {"data": rows})
+    assert silver.transform(silver.scan(spark, str(tmp_path / "a"), d, DAY), d).count() == 2
+    land(tmp_path / "b", "elexon", "fuelhh", {"data": [{k: v for k, v in r.items() if k != "settlementPeriod"} for r in rows]})
+    assert silver.transform(silver.scan(spark, str(tmp_path / "b"), d, DAY), d).count() == 0
+
+
+def test_gas_day_of_a_response(spark):
+    rows = spark.createDataFrame([('{"gasDayStart": "2024-06-01"}',), ("{}",)], "record string")
+    assert silver.check_gas_day(rows, DAY).count() == 2
+    with pytest.raises(Exception, match="gas day"):
+        silver.check_gas_day(rows, date(2024, 6, 2)).collect()
+
+
+def test_only_reads_are_served(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a")], "x int, y string")
+    rows.createOrReplaceTempView("src")
+    tables.write(rows, str(tmp_path / "t"))
+    spark.sql(f"CREATE TABLE IF NOT EXISTS tgt_of_test (x INT, y STRING) USING parquet LOCATION '{tmp_path}/tgt'")
+    with serving.Client(spark, str(tmp_path / "none")) as c:
+        for bad in ("FROM src INSERT INTO tgt_of_test SELECT x, y", "WITH a AS (SELECT * FROM src) INSERT INTO tgt_of_test SELECT * FROM a", "INSERT INTO tgt_of_test VALUES (1, 'b')", "DROP TABLE tgt_of_test", "SET x=1", "SELECT x FROM src QUALIFY row_number() OVER (ORDER BY x) = 1", "CREATE TABLE z AS SELECT 1"):
+            with pytest.raises(ValueError):
+                c.query(bad)
+        assert c.query("SELECT * EXCLUDE (y) FROM src -- * EXCLUDE (").columns == ["x"]
+        assert c.query(f"WITH a AS (SELECT * FROM read_parquet('{tmp_path}/t')) SELECT count(*) AS n FROM a WHERE y <> 'QUALIFY'").first().n == 1
+    assert spark.table("tgt_of_test").count() == 0
+    spark.sql("DROP TABLE tgt_of_test")
+    assert serving.relation_for(["silver_a_b", "silver_a_b_latest"], "a", "b") == "silver_a_b_latest" and serving.time_column(["x", "gas_day"]) == "gas_day"
+
+
 def test_flows_storage_weather(spark, tmp_path):
     flow = {"indicator": "Physical Flow", "pointKey": "P1", "periodFrom": "2024-06-01T06:00:00+02:00", "unit": "kWh/d", "value": "2000000"}
     land(tmp_path, "entsog", "physical_flows", {"meta": {}, "operationalData": [flow, flow | {"unit": "therm"}, flow | {"pointKey": " "}, flow | {"value": "x"}]})
@@ -169,6 +236,13 @@ def test_blank_business_key_fails(spark, tmp_path):
         silver.transform(silver.scan(spark, str(tmp_path), d, DAY), d).collect()
 
 
+def test_raw_files_hide_secrets(spark, tmp_path):
+    for session, folder in ((None, "a"), (spark, "b")):
+        path = bronze.write_raw(str(tmp_path / folder), "s", "d", DAY, b"[]", {"request_url": "http://h/p?x=1&securityToken=abc&api_key=q", "request_params": {"a": {"token": 1}}}, spark=session)
+        side = json.loads(open(path.removesuffix(".json") + ".meta.json").read())
+        assert side["request_url"] == "http://h/p?x=1&securityToken=***&api_key=***" and side["request_params"] == {"a": {"token": "***"}}
+
+
 def test_registry(spark):
     assert len(DATASETS) == len({d.relation for d in DATASETS.values()}) >= 160
     assert ddl("elexon", "freq") == "timestamp_utc timestamp, frequency_hz double, data_provider string, ingested_at timestamp"
@@ -207,6 +281,11 @@ def test_watermarks(spark, tmp_path):
     assert t.compare_and_set("s", "d", seen, datetime(2024, 1, 3)) == "ADVANCED"
     assert t.compare_and_set("s", "d", seen, datetime(2024, 1, 4)) == "CAS_MISMATCH"
     assert t.read("s", "d").value == datetime(2024, 1, 3)
+    a, b = (WatermarkTable(spark, str(tmp_path / "w")) for _ in range(2))
+    seen = a.read("s", "d")
+    b.read = lambda *_: seen  # b looked before a wrote
+    assert a.compare_and_set("s", "d", seen, datetime(2024, 1, 5)) == "ADVANCED"
+    assert b.compare_and_set("s", "d", seen, datetime(2024, 1, 6)) == "CAS_MISMATCH" and a.read("s", "d").value == datetime(2024, 1, 5)
 
 
 def test_streams(spark, tmp_path, sf_dir):
@@ -232,6 +311,18 @@ def test_inventories(spark, tmp_path):
         assert sorted((r.entity_level, r.name, r.eic) for r in got) == [("company", "C", "E1"), ("facility", "F1", "E2"), ("facility", "F2", "E3")]
 
 
+def test_deep_inventories(spark, tmp_path):
+    company = lambda n: {"name": n, "code": f"{n}1", "facilities": [{"name": f"{n}-f{i}"} for i in range(1200)]}
+    deep = company("Z")
+    for k in "abcdefg":
+        deep = {k: deep, "name": f"group {k}"}
+    land(tmp_path, "gie_agsi", "about_summary", {"data": {"SSO": deep, "LSO": {"x": [company("L"), {"name": "none"}]}}})
+    d = dataset("gie_agsi", "about_summary")
+    got = silver.inventory(silver.scan(spark, str(tmp_path), d, DAY)).select("ordinal", F.from_json("record", "map<string,string>").alias("r")).select("ordinal", "r.entity_level", "r.entity_name", "r.company_code", "r.company_name")
+    assert got.filter("entity_level = 'company'").select("entity_name").orderBy("entity_name").collect() == [("L",), ("Z",)]
+    assert got.filter("company_code = 'Z1' and company_name = 'Z'").count() == 1200 and got.select("ordinal").distinct().count() == got.count() == 2402
+
+
 def test_rows_of_the_day(spark, tmp_path):
     d = dataset("gie_agsi", "news")
     land(tmp_path, "gie_agsi", "news", {"data": [{"url": "a", "start_at": "2024-05-30", "end_at": "2024-06-02"}, {"url": "b", "start_at": "2024-06-05"}, {"url": "c", "updatedAt": "2024-06-01"}, {"url": "d"}]})

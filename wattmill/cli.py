@@ -82,11 +82,15 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         names = [a.dataset] if a.dataset else sorted(n for s, n in DATASETS if s == a.source)
         bad = 0
         for name in names:
-            for day in _days(a.start, a.end or a.start):
+            last = a.end or a.start
+            if a.verb == "backfill" and a.end:  # a chunk's end is exclusive
+                last -= timedelta(days=1)
+            for day in _days(a.start, last):
                 run_id, started = log.start(a.source, name)
                 try:
-                    n = silver.run(spark, at("bronze"), at("silver"), a.source, name, day, run_id).count()
-                    log.finish(run_id, a.source, name, started, "success", n)
+                    done = silver.execute(spark, at("bronze"), at("silver"), a.source, name, day, run_id)
+                    bad += done.status == "failed"
+                    log.finish(run_id, a.source, name, started, done.status, done.written, done.message)
                 except Exception as e:  # a day that fails leaves the others alone
                     bad += 1
                     log.finish(run_id, a.source, name, started, "failed", 0, str(e)[:500])

@@ -23,7 +23,11 @@ AREA_NAMES = {
     "10Y1001A1001A59C": "Ireland (SEM)",
 }
 #: Factors to GWh a day, by unit.
-GWH_DAY = {f"{size}wh/{per}": scale * (24.0 if per[0] == "h" else 1.0) for size, scale in (("k", 1e-6), ("m", 1e-3), ("g", 1.0)) for per in ("d", "day", "h", "hr")}
+GWH_DAY = {
+    "kwh/d": 1e-6, "kwh/day": 1e-6, "kwh/h": 24e-6, "kwh/hr": 24e-6,
+    "mwh/d": 1e-3, "mwh/day": 1e-3, "mwh/h": 24e-3, "mwh/hr": 24e-3,
+    "gwh/d": 1.0, "gwh/day": 1.0, "gwh/h": 24.0, "gwh/hr": 24.0,
+}
 #: Coded enumerations.
 IMBALANCE_DIRECTION = {"A19": "long", "A20": "short"}
 RESERVE_TYPE = {"A95": "fcr", "A96": "afrr", "A97": "mfrr", "A98": "rr"}

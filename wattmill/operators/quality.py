@@ -1,4 +1,4 @@
-"""Row counts, null rates, ranges, duplicate keys and gaps, one aggregation a check."""
+"""Row counts, null rates, ranges, duplicate keys and gaps."""
 
 from __future__ import annotations
 
@@ -62,14 +62,27 @@ def conflicts(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def varying_columns(df: DataFrame) -> list[str]:
-    """Columns with more than one value; approximate counts are exact enough for one against many."""
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in df.columns]).first()
-    return [c for c in df.columns if row[c] > 1]
+    """Columns with more than one value, in one pass: least and greatest differ. Maps don't count."""
+    found = [f.name for f in df.schema if not f.dataType.simpleString().startswith("map")]
+    row = df.agg(*[(F.min(c) < F.max(c)).alias(f"v{i}") for i, c in enumerate(found)]).first()
+    return [c for i, c in enumerate(found) if row[f"v{i}"]]
 
 
-def coverage(df: DataFrame, time: str) -> DataFrame:
-    """First and last instant, and the number of days with events."""
-    return df.agg(F.min(time).alias("first_at"), F.max(time).alias("last_at"), F.count_distinct(F.col(time).cast("date")).alias("n_days"))
+def key_columns(df: DataFrame, time: str) -> list[str]:
+    """The key of rows that state none: time and the varying columns that aren't numbers."""
+    numbers = {f.name for f in df.schema if isinstance(f.dataType, NumericType)}
+    return [time, *[c for c in varying_columns(df) if c != time and c not in numbers]]
+
+
+def coverage(df: DataFrame, time: str, signal: list[str] | None = None) -> DataFrame:
+    """First and last instant, the number of days with events and, over `signal` columns, distinct rows to all, to six digits."""
+    ratio = [F.round(F.count_distinct(F.struct(*signal)) / F.count("*"), 6).alias("dedup_ratio")] if signal else []
+    return df.agg(F.min(time).alias("first_at"), F.max(time).alias("last_at"), F.count_distinct(F.col(time).cast("date")).alias("n_days"), *ratio)
+
+
+def distinct_values(df: DataFrame, column: str) -> DataFrame:
+    """The codes or days that a column holds, ascending; null isn't one."""
+    return df.filter(F.col(column).isNotNull()).select(column).distinct().orderBy(column)
 
 
 def rule_counts(df: DataFrame, rules: dict) -> DataFrame:
@@ -79,10 +92,14 @@ def rule_counts(df: DataFrame, rules: dict) -> DataFrame:
 
 def report(df: DataFrame, dataset: str, keys: list[str] | None = None, time: str | None = None, minutes: float = 30, minimum: int = 1) -> DataFrame:
     """(dataset, check_name, subject, value, passed) of all checks that apply."""
-    parts = [row_count(df, minimum).select(F.lit("row_count").alias("check_name"), F.lit("*").alias("subject"), F.col("n_rows").cast("double").alias("value"), "passed")]
     numeric = [f.name for f in df.schema if f.dataType.simpleString() in ("double", "float", "int", "bigint")]
-    if numeric:
-        parts.append(null_rates(df, numeric).select(F.lit("null_rate").alias("check_name"), F.col("column_name").alias("subject"), F.col("missing_rate").alias("value"), (F.col("missing_rate") <= 0.05).alias("passed")))
+    # row count and null rates from one scan
+    wide = df.agg(F.count("*").alias("n"), *[F.count_if(_missing(df, c)).alias(f"m{i}") for i, c in enumerate(numeric)])
+    n = F.col("n").cast("double")
+    line = lambda check, subject, value, passed: F.struct(F.lit(check).alias("check_name"), F.lit(subject).alias("subject"), value.alias("value"), passed.alias("passed"))
+    rate = lambda i: F.when(F.col("n") > 0, F.col(f"m{i}") / F.col("n")).otherwise(F.lit(0.0))
+    lines = [line("row_count", "*", n, F.col("n") >= minimum), *[line("null_rate", c, rate(i), rate(i) <= 0.05) for i, c in enumerate(numeric)]]
+    parts = [wide.select(F.inline(F.array(*lines)))]
     if time:
         parts.append(gaps(df, time, minutes).agg(F.count("*").alias("n")).select(F.lit("gaps").alias("check_name"), F.lit(time).alias("subject"), F.col("n").cast("double").alias("value"), (F.col("n") == 0).alias("passed")))
     if keys:

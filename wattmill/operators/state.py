@@ -36,6 +36,7 @@ class Snapshot:
 
     status: str
     value: datetime | None = None
+    version: int = 0
 
 
 @dataclass(frozen=True)
@@ -75,6 +76,12 @@ def incremental_window(
     return FetchWindow(start, end, True, "CLAMPED_NO_GAP" if wanted < floor else "HEALTHY", snapshot)
 
 
+def may_record(window: FetchWindow, responses: list[tuple[int, int | None]], skipped: int) -> bool:
+    """Whether a fetch lets the watermark advance: the window may, nothing was skipped, and some response
+    (status, number of records, None if not counted) brought data."""
+    return window.may_advance and not skipped and any(status < 400 and records != 0 for status, records in responses)
+
+
 def runs_since(log: DataFrame, instant: Column) -> DataFrame:
     """Number of runs that started strictly later."""
     return log.filter(F.col("started_at") > instant).agg(F.count("*").alias("n"))

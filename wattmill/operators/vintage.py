@@ -26,11 +26,16 @@ def dedup_keep_last(df: DataFrame, keys: list[str], ordinal: list[str]) -> DataF
 
 
 def dedup_whole_rows(df: DataFrame, ordinal: list[str], ignore: tuple[str, ...] = ("timestamp_utc",)) -> DataFrame:
-    """By `id` if there is one, else over all columns but `ignore` and the ordinal."""
+    """By `id` if there is one, else over all columns but `ignore` and the ordinal; the last row stays."""
     keys = ["id"] if "id" in df.columns else [c for c in df.columns if c not in (*ignore, *ordinal)]
     return dedup_keep_last(df, keys, ordinal)
 
 
+def dedup_signal(df: DataFrame, signal: list[str], ordinal: list[str]) -> DataFrame:
+    """The first row of those that agree in all signal columns; what else it holds is the survivor's own."""
+    return first_by(df, signal, [F.col(c).asc_nulls_first() for c in ordinal])
+
+
 @dataclass(frozen=True)
 class LatestSpec:
     """How the current row of a dataset is chosen among its vintages."""
@@ -65,6 +70,12 @@ def rank_of(column: Column, rank: dict[str, int]) -> Column:
     return F.coalesce(F.try_element_at(literal_map(rank), column), F.lit(0))
 
 
+def total_order(df: DataFrame, spec: LatestSpec) -> tuple[str, ...]:
+    """The columns that a spec leaves open, by name: with them as tie-break a rerun over the same rows picks the same ones."""
+    used = {*spec.keys, *spec.optional_keys, *spec.order, "ingested_at"}
+    return tuple(sorted(f.name for f in df.schema if f.name not in used and not f.dataType.simpleString().startswith("map")))
+
+
 def latest_by(df: DataFrame, spec: LatestSpec, tie_break: tuple[str, ...] = ()) -> DataFrame:
     """The current vintage of each key; `df` itself where the spec can't be resolved. `tie_break` columns go last, descending."""
     found = spec.resolve(df.columns)

@@ -91,9 +91,14 @@ def classify_event(start: Column, end: Column, reference: Column, first: Column,
 
 
 def request_contains(start: Column, end: Column, day: Column) -> Column:
+    """Whether a request's own dates hold a day; one that states none does."""
     return F.coalesce(day.between(start, end), F.lit(True))
 
 
+#: Request parameters that bound a fetch, by source.
+WINDOW_PARAMS = {"entsoe": ("periodStart", "periodEnd"), "elexon": ("publishDateTimeFrom", "publishDateTimeTo")}
+
+
 #: Publication-window datasets that are exempt from the closed filter.
 CLOSED_EXEMPT = ("fuelinst", "temp", "boal", "disbsad", "mid", "netbsad", "freq", "market_depth", "system_prices", "pn", "bmunits_reference")
 CLOSED_COLUMN = {"remit": "timestamp_utc"}

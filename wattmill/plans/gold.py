@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import iso_weekday
-from ..operators.vintage import LATEST_SPECS, latest_by
+from ..operators.vintage import LATEST_SPECS, latest_by, total_order
 from ..sources import tables
 
 #: Columns of the storage view, in order.
@@ -33,10 +33,16 @@ def with_context(rows: DataFrame, context: DataFrame, key: str) -> DataFrame:
     return rows.join(context, key, "left")
 
 
+def current_prices(prices: DataFrame) -> DataFrame:
+    """The latest vintage of each period; where time and run tie, all other columns decide, so reruns agree."""
+    spec = LATEST_SPECS[("elexon", "system_prices")]
+    return latest_by(prices, spec, total_order(prices, spec))
+
+
 def system_marginal_price(spark: SparkSession, silver: str, start: date, end: date) -> DataFrame:
     """The current price of each period with its features, by time."""
     rows = tables.read_range(spark, f"{silver}/elexon/system_prices", start, end)
-    latest = latest_by(rows, LATEST_SPECS[("elexon", "system_prices")])
+    latest = current_prices(rows)
     return spread_features(latest).orderBy("timestamp_utc")
 
 
@@ -48,7 +54,7 @@ def imbalance_context(prices: DataFrame, carbon: DataFrame) -> DataFrame:
         F.col("actual_gco2_kwh").alias("carbon_intensity_actual_gco2_kwh"),
         "intensity_index",
     )
-    out = with_context(latest_by(prices, LATEST_SPECS[("elexon", "system_prices")]), side, "timestamp_utc")
+    out = with_context(current_prices(prices), side, "timestamp_utc")
     cols = [F.col(c).alias(c, metadata={"comment": COLUMN_COMMENTS[c]}) if c in COLUMN_COMMENTS else F.col(c) for c in CONTEXT_COLUMNS]
     return out.select(*cols).orderBy("timestamp_utc", "price_derivation_code")
 

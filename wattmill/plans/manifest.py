@@ -10,7 +10,7 @@ from .gold import CONTEXT_COLUMNS, STORAGE_COLUMNS
 from .registry import DATASETS, column_type
 
 GOLD = {"gold_eu_gas_storage": STORAGE_COLUMNS, "gold_uk_imbalance_context": CONTEXT_COLUMNS, "gold_system_marginal_price": None}
-PARTITIONS = ("year", "month")
+PARTITIONS = ("year", "month", "vintage")
 HIDDEN = (*RESERVED, *PARTITIONS)
 
 

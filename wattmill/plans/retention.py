@@ -54,6 +54,24 @@ def prune(root: str, before: date, layers: tuple[str, ...] = ("bronze",), apply:
     return sorted(found)
 
 
+def sweep_orphans(root: str, max_age_seconds: float = 86_400, now: float | None = None, apply: bool = False) -> list[str]:
+    """Files that a writer outside of Spark left under a reserved name, older than a day; links aren't followed."""
+    import time
+
+    from ..sources.tables import RESERVED
+
+    found, limit = [], (time.time() if now is None else now) - max_age_seconds
+    for layer in ("silver", "gold"):
+        for folder, _, names in os.walk(os.path.join(root, layer)):
+            for path in (os.path.join(folder, n) for n in names if RESERVED.search(n)):
+                if not os.path.islink(path) and os.stat(path).st_mtime < limit:
+                    found.append(path)
+    if apply:
+        for path in found:
+            os.remove(guarded(root, path))
+    return sorted(found)
+
+
 def reset(root: str, layers: tuple[str, ...] = (), datasets: tuple[str, ...] = (), apply: bool = False) -> list[str]:
     """Layers, or `source/dataset` folders in every layer."""
     wanted = [os.path.join(root, x) for x in layers] if not datasets else [os.path.join(root, x, d) for x in (layers or LAYERS) for d in datasets]

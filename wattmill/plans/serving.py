@@ -9,19 +9,27 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.vintage import LATEST_SPECS, latest_by
+from ..operators.vintage import LATEST_SPECS, latest_by, total_order
 from ..sources import tables
 from . import gold
 from .manifest import HIDDEN
 from .registry import DATASETS
 
 
-def register_views(spark: SparkSession, silver: str) -> list[str]:
-    """Base, latest, alias and gold views for the datasets that have files; absent ones are passed over. Returns the names, in order."""
+def register_views(spark: SparkSession, silver: str, strict: bool = True) -> list[str]:
+    """Base, latest, alias and gold views for the datasets that have files; absent ones are passed over. Returns the names, in order.
+
+    A view that fails for another reason than missing data raises, or is passed over if not `strict`.
+    """
     made, owners = [], {}
 
     def view(name: str, df: DataFrame) -> None:
-        df.createOrReplaceTempView(name)
+        try:
+            df.createOrReplaceTempView(name)
+        except AnalysisException as e:
+            if strict and not benign(e):
+                raise
+            return
         made.append(name)
 
     for (source, name), d in sorted(DATASETS.items()):
@@ -32,7 +40,7 @@ def register_views(spark: SparkSession, silver: str) -> list[str]:
         owners.setdefault(name, []).append(d)
         spec = LATEST_SPECS.get((source, name))
         if spec and spec.resolve(df.columns):
-            view(f"{d.relation}_latest", latest_by(df, spec))
+            view(f"{d.relation}_latest", latest_by(df, spec, total_order(df, spec)))
     for name, own in sorted(owners.items()):
         if len(own) == 1 and f"silver_{name}" not in made:
             view(f"silver_{name}", spark.table(own[0].relation))
@@ -43,6 +51,48 @@ def register_views(spark: SparkSession, silver: str) -> list[str]:
     return made
 
 
+_QUOTED = re.compile(r"""('(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/)""", re.S)
+
+
+def spark_dialect(sql: str) -> str:
+    """`* EXCLUDE (a)` as `* EXCEPT (a)` and read_parquet('glob') as a path; text in quotes and comments stays."""
+    sql = re.sub(r"(?i)\bread_parquet\s*\(\s*'([^'`]*)'\s*\)", r"parquet.`\1`", sql)
+    parts = _QUOTED.split(sql)
+    if any(re.search(r"(?i)\bqualify\b", p) for p in parts[::2]):
+        raise ValueError("QUALIFY isn't part of Spark's SQL: filter row_number() in an outer SELECT")
+    parts[::2] = [re.sub(r"(?i)\*\s*exclude\s*\(", "* EXCEPT (", p) for p in parts[::2]]
+    return "".join(parts)
+
+
+def reads_only(spark: SparkSession, sql: str) -> bool:
+    """Whether the session's parser finds a query and nothing that writes, defines or configures anywhere in it."""
+    kind = spark._jvm.java.lang.Class.forName
+    writes = [kind(f"org.apache.spark.sql.catalyst.plans.logical.{n}") for n in ("Command", "ParsedStatement")]
+    todo = [spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)]
+    while todo:
+        plan = todo.pop()
+        if any(w.isInstance(plan) for w in writes):
+            return False
+        for below in (plan.children(), plan.innerChildren()):
+            items = [below.apply(i) for i in range(below.size())]
+            todo += [x for x in items if x.getClass().getName().startswith("org.apache.spark.sql.catalyst.plans.logical")]
+    return True
+
+
+def relation_for(names: list[str], source: str, name: str) -> str | None:
+    """The view to read for a dataset: its latest vintages if there are any, else all."""
+    base = f"silver_{source}_{name}"
+    return next((n for n in (f"{base}_latest", base) if n in names), None)
+
+
+#: Columns that can stand for a row's time, in order.
+TIME_COLUMNS = ("timestamp_utc", "settlement_date", "gas_day", "date", "event_time")
+
+
+def time_column(columns: list[str]) -> str | None:
+    return next((c for c in TIME_COLUMNS if c in columns), None)
+
+
 class Client:
     """Read-only answers from the views; use as a context manager."""
 
@@ -67,10 +117,10 @@ class Client:
         return Client(self.spark, self.silver)
 
     def query(self, sql: str, **args) -> DataFrame:
-        """A single SELECT, with named parameters."""
+        """A single query, with named parameters. `* EXCLUDE` and `read_parquet('...')` are understood; QUALIFY isn't part of Spark's SQL."""
         self._open()
-        bare = re.sub(r"--[^\n]*|/\*.*?\*/", " ", sql, flags=re.S).strip()
-        if not re.match(r"(?i)(select|with|values|table|from)\b", bare):
+        sql = spark_dialect(sql)
+        if not reads_only(self.spark, sql):
             raise ValueError("only SELECT is served")
         return self.spark.sql(sql, args=args or None)
 
@@ -118,7 +168,7 @@ def quality_sweep(spark: SparkSession, silver: str) -> DataFrame:
         if not df.columns:
             continue
         spec = LATEST_SPECS.get((source, name))
-        df = latest_by(df, spec) if spec else df
+        df = latest_by(df, spec, total_order(df, spec)) if spec else df
         keys = [k for k in (*(d.key or d.options.get("entity", ())), *d.optional_key) if k in df.columns]
         parts.append(quality.report(df, d.relation, keys or None, "timestamp_utc" if "timestamp_utc" in df.columns else None))
     if not parts:

@@ -6,7 +6,8 @@ the declared columns in order.
 
 from __future__ import annotations
 
-from datetime import date
+from dataclasses import dataclass
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from ..functions import calendar as C
 from ..functions import scalars as S
 from ..operators import bitemporal, vintage, windows
 from ..sources import bronze, market_xml, tables
+from . import rules, runs
 from .registry import FUELS, WEATHER, Dataset, column_type, dataset, vendor_names
 
 ORDINAL = ["path", "ordinal"]
@@ -63,10 +65,17 @@ def finish(df: DataFrame, d: Dataset, provider: str | None = None) -> DataFrame:
     return df.select(*d.columns, *carried)
 
 
+def _has_columns(records: DataFrame, required: tuple[str, ...]) -> bool:
+    """Whether for each column some record has a field under one of its vendor names; only field names are read."""
+    keys = F.map_keys(F.from_json("record", "map<string,string>"))
+    row = records.agg(*[F.bool_or(F.arrays_overlap(keys, F.array(*[F.lit(v) for v in vendor_names(c)]))).alias(f"h{i}") for i, c in enumerate(required)]).first()
+    return all(row)
+
+
 def from_json(records: DataFrame, d: Dataset) -> DataFrame:
     """Records (path, ordinal, record as JSON text) of a declared dataset.
 
-    A required column that no record has empties the result.
+    A required column that no record has empties the result; rows where it is null stay.
     """
     wanted = [c for c in d.columns if c not in ("timestamp_utc", "data_provider", "ingested_at")]
     helpers = [c for c in ("start_time", "measured_at", "published_at") if c not in wanted]
@@ -82,8 +91,8 @@ def from_json(records: DataFrame, d: Dataset) -> DataFrame:
         rows = rows.withColumn(c, F.coalesce(F.col(c), F.lit(value)) if c in rows.columns else F.lit(value))
     if d.name in ("ndf", "ndfd"):  # a forecast for a day alone counts for its first period
         rows = rows.withColumn("settlement_period", F.coalesce("settlement_period", F.when(F.col("settlement_date").isNotNull(), F.lit(1))))
-    if d.required:
-        rows = rows.filter(" AND ".join(f"{c} IS NOT NULL" for c in d.required))
+    if d.required and not _has_columns(records, d.required):
+        rows = rows.limit(0)
     for c in d.options.get("forbid_blank", ()):
         rows = S.require(rows, F.trim(c) != "", f"blank {c}")
     if d.clock != "none":
@@ -133,21 +142,40 @@ def from_flows(records: DataFrame, d: Dataset) -> DataFrame:
     return finish(rows.withColumns(cols), d)
 
 
-def inventory(records: DataFrame, depth: int = 4) -> DataFrame:
-    """Company records from lists nested at most `depth` deep, and the facilities of each as rows of their own."""
-    flat = records
-    nested = lambda r: F.get_json_object(r, "$.facilities").isNull() & F.get_json_object(r, "$.name").isNull() & r.startswith("{")
-    for _ in range(depth):  # objects that are no company give way to what they hold
-        items = F.flatten(F.transform(F.map_values(F.from_json("record", "map<string,string>")), lambda v: F.when(v.startswith("["), F.from_json(v, "array<string>")).when(v.startswith("{"), F.array(v)).otherwise(F.array().cast("array<string>"))))
-        inner = flat.filter(nested(F.col("record"))).select(*[c for c in flat.columns if c not in ("record", "ordinal")], F.posexplode(items).alias("_i", "record"), "ordinal")
-        inner = inner.withColumn("ordinal", F.col("ordinal") * 1000 + F.col("_i")).drop("_i")
-        flat = flat.filter(~nested(F.col("record"))).unionByName(inner)
-    company = F.map_concat(F.map_filter(F.from_json("record", "map<string,string>"), lambda k, v: k != "facilities"), F.create_map(F.lit("entity_level"), F.lit("company")))
-    own = flat.withColumn("record", F.to_json(company))
-    below = flat.select("*", F.posexplode(F.from_json(F.get_json_object("record", "$.facilities"), "array<string>")).alias("_i", "_f"))
-    made = F.create_map(F.lit("entity_level"), F.lit("facility"), F.lit("company"), F.coalesce(F.get_json_object("record", "$.name"), F.lit("")))
-    facility = below.withColumns({"record": F.to_json(F.map_concat(F.map_filter(F.from_json("_f", "map<string,string>"), lambda k, v: ~k.isin("entity_level", "company")), made)), "ordinal": F.col("ordinal") * 1000 + F.col("_i") + 1})
-    return own.withColumn("ordinal", F.col("ordinal") * 1000).unionByName(facility.drop("_i", "_f"))
+_OBJECT = "map<string,string>"
+
+
+def inventory(records: DataFrame) -> DataFrame:
+    """Company records found at any depth, and the facilities of each as rows of their own.
+
+    An object with a list of facilities is a company. Any other object gives way to what its entries
+    hold, however deep; lists are looked at for companies only. Facilities carry the code and name
+    of their company. A row's ordinal is the path of places that led to it, so none collide.
+    """
+    carried = [c for c in records.columns if c not in ("record", "ordinal")]
+    is_company = F.coalesce(F.get_json_object("record", "$.facilities").startswith("["), F.lit(False))
+    companies = []
+    level = records.withColumns({"ordinal": F.array(F.col("ordinal").cast("int")), "listed": F.lit(False)})
+    while True:  # one round a level of nesting
+        companies.append(level.filter(is_company).drop("listed"))
+        entries = F.map_values(F.from_json("record", _OBJECT))
+        items = F.flatten(F.transform(entries, lambda v: F.when(v.startswith("["), F.transform(F.from_json(v, "array<string>"), lambda x: F.struct(x.alias("record"), F.lit(True).alias("listed")))).when(v.startswith("{"), F.array(F.struct(v.alias("record"), F.lit(False).alias("listed")))).otherwise(F.array().cast("array<struct<record:string,listed:boolean>>"))))
+        level = level.filter(~is_company & ~F.col("listed") & F.col("record").startswith("{")).select(*carried, "ordinal", F.posexplode(items).alias("i", "x"))
+        level = level.select(*carried, F.concat("ordinal", F.array("i")).alias("ordinal"), "x.record", "x.listed").filter(F.col("record").startswith("{"))
+        if level.isEmpty():
+            break
+    flat = tables.union_all(companies)
+    field = lambda c, n: F.get_json_object(c, f"$.{n}")
+    code = lambda c: F.coalesce(F.nullif(field(c, "eic"), F.lit("")), F.nullif(field(c, "code"), F.lit("")), F.lit(""))
+    name = lambda c: F.coalesce(F.nullif(field(c, "name"), F.lit("")), F.nullif(field(c, "short_name"), F.lit("")), code(c))
+    named = lambda level, c: F.create_map(F.lit("entity_level"), F.lit(level), F.lit("entity_code"), code(c), F.lit("entity_name"), name(c))
+    made = ("entity_level", "entity_code", "entity_name", "company", "company_code", "company_name")
+    rest = lambda c: F.map_filter(F.from_json(c, _OBJECT), lambda k, v: ~k.isin("facilities", *made))
+    own = flat.withColumns({"record": F.to_json(F.map_concat(rest("record"), named("company", "record"))), "ordinal": F.concat("ordinal", F.array(F.lit(-1)))})
+    below = flat.select("*", F.posexplode(F.from_json(F.get_json_object("record", "$.facilities"), "array<string>")).alias("i", "f")).filter(F.col("f").startswith("{"))
+    company = F.create_map(F.lit("company"), name("record"), F.lit("company_code"), code("record"), F.lit("company_name"), name("record"))
+    facility = below.withColumns({"record": F.to_json(F.map_concat(rest("f"), named("facility", "f"), company)), "ordinal": F.concat("ordinal", F.array("i"))})
+    return own.unionByName(facility.drop("i", "f"))
 
 
 def from_dynamic(records: DataFrame, d: Dataset) -> DataFrame:
@@ -236,7 +264,7 @@ def from_carbon(records: DataFrame, d: Dataset) -> DataFrame:
             *ORDINAL, "_i", pick("$.from").alias("from"), pick("$.to").alias("to"), pick("$.regionid").try_cast("int").alias("regionid"), pick("$.shortname").alias("shortname"), pick("$.dnoregion").alias("dnoregion"), pick("$.postcode").alias("postcode"),
             num(pick("$.intensity.forecast")).alias("forecast_gco2_kwh"), pick("$.intensity.index").alias("intensity_index"), F.posexplode_outer(F.from_json(pick("$.generationmix"), _MIX)).alias("_k", "m"),
         )
-        rows = rows.withColumns({"timestamp_utc": at("from"), "period_end_utc": at("to"), "fuel": F.col("m.fuel"), "generation_pct": num(F.col("m.perc")), "ordinal": F.col("ordinal") * 1_000_000 + F.col("_i") * 1000 + F.coalesce("_k", F.lit(0))})
+        rows = rows.withColumns({"timestamp_utc": at("from"), "period_end_utc": at("to"), "fuel": F.col("m.fuel"), "generation_pct": num(F.col("m.perc")), "ordinal": F.array(F.col("ordinal"), F.coalesce("_i", F.lit(0)), F.coalesce("_k", F.lit(0)))})
         return finish(rows, d)
     rows = records.withColumns({"from": j("record", "$.from"), "to": j("record", "$.to")}).withColumns({"timestamp_utc": at("from"), "period_end_utc": at("to")})
     if family == "generation":
@@ -303,10 +331,23 @@ def transform(rows: DataFrame, d: Dataset) -> DataFrame:
     return finish(rows, d) if d.recipe == "xml_units" else RECIPES[d.recipe](rows, d)
 
 
+#: Datasets whose newest directory stands for a day without one.
+INVENTORIES = ("about_summary", "about_listing", "news", "news_item")
+
+
+def check_gas_day(records: DataFrame, day: date) -> DataFrame:
+    """Fails at a record whose gas day isn't the one asked for; records without one pass."""
+    own = C.safe_date(F.coalesce(F.get_json_object("record", "$.gasDayStart"), F.get_json_object("record", "$.gas_day")))
+    return S.require(records, F.coalesce(own == F.lit(day), F.lit(True)), f"a gas day other than {day}")
+
+
 def scan(spark: SparkSession, root: str, d: Dataset, day: date) -> DataFrame:
     """A day's bronze rows in the form that the dataset's recipe takes; some sources fall back to an earlier day that covers it."""
-    found = day if d.source in ("entsoe", "entsog") else bronze.covering_day(spark, root, d.source, d.name, day) or day
+    found = day if d.source in ("entsoe", "entsog") or d.name in INVENTORIES else bronze.covering_day(spark, root, d.source, d.name, day) or day
     files = bronze.list_files(spark, root, d.source, d.name, found)
+    if d.name in INVENTORIES and not bronze.has_day(spark, root, d.source, d.name, found):
+        newest = bronze.latest_directory(bronze.list_files(spark, root, d.source, d.name)).first()
+        files = bronze.list_files(spark, root, d.source, d.name, newest.day) if newest else files
     own = bronze.newest_vouched(files) if d.options.get("newest_file") else bronze.vouched(files)
     own = own.filter("ext != '.tmp'")
     if d.recipe == "xml":
@@ -353,20 +394,93 @@ def neighbour_owns(spark: SparkSession, root: str, d: Dataset, day: date) -> boo
     return not windows.covering_is_durable(chunks, F.lit(next_day).cast("timestamp")).isEmpty()
 
 
-def run(spark: SparkSession, root: str, silver: str, source: str, name: str, day: date, run_id: str) -> DataFrame:
-    """Scan, transform, stamp and write one dataset's day; returns what was written."""
+@dataclass(frozen=True)
+class Result:
+    """What a run wrote and what it counted."""
+
+    frame: DataFrame
+    status: str
+    written: int = 0
+    window_dropped: int = 0
+    window_undated: int = 0
+    window_unresolved: int = 0
+    unvouched: int = 0
+    bodies: int = 0
+    broken: dict | None = None  # rows that break each rule; they are written all the same
+
+    @property
+    def message(self) -> str:
+        parts = [f"{n} {what}" for n, what in ((self.window_dropped, "out of the request's window"), (self.window_undated, "without an instant"), (self.window_unresolved, "without a sound window"), (self.unvouched, "files without a stamp")) if n]
+        return ", ".join(parts + [f"{n} break {rule}" for rule, n in (self.broken or {}).items() if n])
+
+
+def request_window(spark: SparkSession, root: str, d: Dataset, day: date) -> tuple[datetime, datetime] | None:
+    """The hull of what a day's requests asked for; None unless every body has a sound sidecar."""
+    files = bronze.list_files(spark, root, d.source, d.name, day)
+    side = bronze.sidecars(files).select("stem", "meta.*")
+    beside = bronze.bodies(files).filter("ext != '.tmp'").select("stem").join(side, "stem", "left")
+    params = windows.WINDOW_PARAMS.get(d.source)
+    if params is None:
+        return None
+    hull = windows.partition_window(windows.request_windows(beside, d.source, d.name, *params)).first()
+    return (hull.window_start, hull.window_end) if hull.usable else None
+
+
+def execute(spark: SparkSession, root: str, silver: str, source: str, name: str, day: date, run_id: str, csv: str | None = None) -> Result:
+    """Scan, transform, stamp and write one dataset's day, and count what became of its rows.
+
+    A half-open dataset keeps what its own requests asked for; if that leaves nothing of some rows, the
+    run fails and nothing is written. Without sound sidecars nothing is filtered.
+    """
     d = dataset(source, name)
     rows = owned(transform(scan(spark, root, d, day), d), d, day)
     stamp = F.coalesce(F.col("stamp"), F.current_timestamp()) if "stamp" in rows.columns else F.current_timestamp()
     gas = d.clock.partition(":")[2] if d.clock.startswith("gas") else None
     out = bitemporal.stamp_rows(rows, run_id, d.version, stamp, day, gas).drop("stamp")
+    files = bronze.vouched(bronze.list_files(spark, root, source, name, day)).filter("ext != '.tmp'")
+    seen = files.agg(F.count("*").alias("n"), F.count("reason").alias("bad")).first()
+    dropped = undated = unresolved = 0
     if d.half_open:
-        start = F.lit(day).cast("timestamp")
-        out = windows.half_open_filter(out, "timestamp_utc", start, start + F.expr("INTERVAL 1 DAY"))
+        window = request_window(spark, root, d, day)
+        if window is None:
+            unresolved = 1
+        else:
+            start, end = (F.lit(x) for x in window)
+            counts = windows.window_counts(out, "timestamp_utc", start, end).first()
+            dropped, undated = counts.dropped, counts.undated
+            out = windows.half_open_filter(out, "timestamp_utc", start, end)
+            if dropped and not counts.kept and not undated:
+                return Result(out.limit(0), runs.status(0, True, False, 0, 0), 0, dropped, 0, 0, seen.bad, seen.n)
+    next_day = date.fromordinal(day.toordinal() + 1)
     closed = windows.closed_window_column(name) if source == "elexon" else None
-    if closed and closed in out.columns and bronze.has_day(spark, root, source, name, date.fromordinal(day.toordinal() + 1)):
-        end = F.lit(date.fromordinal(day.toordinal() + 1)).cast("timestamp")
-        out = windows.closed_filter(out, closed, end, F.lit(neighbour_owns(spark, root, d, day)))
+    if closed and closed in out.columns and bronze.has_day(spark, root, source, name, next_day) and neighbour_owns(spark, root, d, day):
+        out = windows.closed_filter(out, closed, F.lit(next_day).cast("timestamp"), F.lit(True))
     out = out.withColumn("partition_date", F.lit(day))
-    tables.write_silver(out, f"{silver}/{source}/{name}", append_only=d.append_only)
-    return out
+    vintage_name = ""
+    if d.append_only:
+        newest = out.agg(F.max("available_at")).first()[0]
+        vintage_name = f"{newest:%Y%m%dT%H%M%S%f}" if newest else "none"
+    tables.write_silver(out, f"{silver}/{source}/{name}", append_only=d.append_only, vintage=vintage_name, order=(*d.key, *d.options.get("entity", ()), "timestamp_utc"), csv=csv)
+    written = spark.read.schema(out.schema).option("basePath", f"{silver}/{source}/{name}").parquet(_partition(f"{silver}/{source}/{name}", day, vintage_name)) if not out.isEmpty() else out.limit(0)
+    counted = rules.validate(written, d).first().asDict()
+    n = counted.pop("n_rows")
+    unvouched_all = bool(seen.n) and seen.bad == seen.n and d.append_only
+    status = runs.status(n, False, unvouched_all, 0, seen.bad + unresolved + sum(counted.values()))
+    return Result(written, status, n, dropped, undated, unresolved, seen.bad, seen.n, counted)
+
+
+def _partition(path: str, day: date, vintage_name: str) -> str:
+    return f"{path}/year={day.year}/month={day.month}/partition_date={day}" + (f"/vintage={vintage_name}" if vintage_name else "")
+
+
+def run(spark: SparkSession, root: str, silver: str, source: str, name: str, day: date, run_id: str) -> DataFrame:
+    """`execute`, for what was written; raises where that fails."""
+    result = execute(spark, root, silver, source, name, day, run_id)
+    if result.status == "failed":
+        raise RuntimeError(f"{source}/{name} {day}: {result.message or 'nothing could be written'}")
+    return result.frame
+
+
+def backfill(spark: SparkSession, root: str, silver: str, source: str, name: str, start: datetime, end: datetime, run_id: str) -> list[tuple[date, Result]]:
+    """One run for each UTC day of [start, end): the day on which the last chunk ends isn't touched, nor is any watermark."""
+    return [(a.date(), execute(spark, root, silver, source, name, a.date(), run_id)) for a, _ in C.python_subwindows(start, end)]

@@ -8,7 +8,6 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.calendar import safe_instant
 
@@ -93,6 +92,11 @@ def latest_directory(files: DataFrame) -> DataFrame:
     return bodies(files).groupBy("source", "dataset").agg(F.max_by("day", "modified_at").alias("day"))
 
 
+def stamp_span(files: DataFrame) -> DataFrame:
+    """(first_stamp, last_stamp, n_files) of the bodies that are vouched for."""
+    return vouched(files).filter("reason is null").agg(F.min("stamp").alias("first_stamp"), F.max("stamp").alias("last_stamp"), F.count("*").alias("n_files"))
+
+
 def published_from(meta: Column) -> Column:
     """A portal resource's last modification, else null: such a file is declined, its fetch time isn't a publication."""
     return safe_instant(meta["request_params"]["last_modified"])
@@ -123,9 +127,13 @@ def csv_records(spark: SparkSession, paths: list[str], header: tuple[str, ...])
     """All-string rows with path and ordinal; a header other than exactly `header` (blanks trimmed) raises.
 
     HTML, empty and badly encoded bodies raise too. Each file is one snapshot and is split into
-    lines where it is read.
+    records where it is read.
     """
-    raw = spark.read.format("binaryFile").load(paths)
+    return csv_rows(spark.read.format("binaryFile").load(paths), header)
+
+
+def csv_rows(raw: DataFrame, header: tuple[str, ...]) -> DataFrame:
+    """`csv_records` of files as (path, content). Quoted fields may hold commas, doubled quotes and line breaks."""
     text = F.decode("content", "UTF-8")
     bare = F.regexp_replace(text, "^﻿", "")
     problem = (
@@ -134,12 +142,15 @@ def csv_records(spark: SparkSession, paths: list[str], header: tuple[str, ...])
         .when(text.contains("�"), "isn't UTF-8")
     )
     checked = F.when(problem.isNotNull(), F.raise_error(F.concat("path", F.lit(" "), problem)).cast("string")).otherwise(bare)
-    lines = F.filter(F.split(checked, r"\r?\n"), lambda x: F.trim(x) != "")
-    names = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-    found = F.transform(F.split(F.element_at(lines, 1), ","), lambda x: F.trim(F.regexp_replace(x, '^"|"$', "")))
-    right = found == F.array(*[F.lit(h) for h in header])
-    body = F.when(right, F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))).otherwise(F.raise_error(F.concat(F.lit("header drifted: "), F.element_at(lines, 1))).cast("array<string>"))
-    rows = raw.select("path", F.posexplode(body).alias("ordinal", "line")).withColumn("r", F.from_csv("line", names.simpleString()[7:-1].replace(":", " ")))
+    # possessive, so a record costs its length; a line break inside quotes doesn't end it
+    lines = F.filter(F.regexp_extract_all(checked, F.lit(r'(?:[^"\r\n]|"(?:[^"]|"")*+")++'), F.lit(0)), lambda x: F.trim(x) != "")
+    columns = lambda n: ", ".join(f"c{i} string" for i in range(n))
+    options = {"multiLine": "true", "escape": '"'}
+    first = F.from_csv("head", columns(len(header) + 1), options | {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
+    same = F.forall(F.zip_with(F.array(*[F.trim(first[f"c{i}"]) for i in range(len(header) + 1)]), F.array(*[F.lit(h) for h in header], F.lit(None).cast("string")), lambda a, b: a.eqNullSafe(b)), lambda x: x)
+    parted = raw.select("path", lines.alias("lines")).select("path", "lines", F.get("lines", F.lit(0)).alias("head"))
+    body = F.when(same, F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).otherwise(F.raise_error(F.concat(F.lit("header drifted: "), F.col("head"))).cast("array<string>"))
+    rows = parted.select("path", F.posexplode(body).alias("ordinal", "line")).withColumn("r", F.from_csv("line", columns(len(header)), options))
     return rows.select("path", "ordinal", *[F.col("r")[f"c{i}"].alias(h) for i, h in enumerate(header)])
 
 
@@ -150,8 +161,26 @@ def sanitise(params: dict, secrets: re.Pattern = re.compile(r"(?i)key|token|secr
     return [sanitise(x) for x in params] if isinstance(params, list) else params
 
 
-def write_raw(root: str, source: str, dataset: str, day: date, body: bytes, meta: dict, ext: str = "json", stamp_text: str | None = None) -> str:
-    """Land a body and its sidecar on a local or mounted path; both appear whole or not at all."""
+def sanitise_url(url: str) -> str:
+    """A request's address with the values of secret parameters masked."""
+    return re.sub(r"(?i)([?&][^=&#]*(?:key|token|secret|password)[^=&#]*=)[^&#]*", r"\1***", url)
+
+
+def _put(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write a file through the session's file systems: under another name first, then renamed."""
+    jvm = spark._jvm
+    target, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.tmp")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(part, True)
+    out.write(data)
+    out.close()
+    files.delete(target, False)
+    if not files.rename(part, target):
+        raise OSError(f"can't rename {path}.tmp")
+
+
+def write_raw(root: str, source: str, dataset: str, day: date, body: bytes, meta: dict, ext: str = "json", stamp_text: str | None = None, spark: SparkSession | None = None) -> str:
+    """Land a body and its sidecar; each appears whole or not at all. With a session any of its file systems will do, else a local path."""
     import hashlib
     import os
     from datetime import datetime, timezone
@@ -159,11 +188,17 @@ def write_raw(root: str, source: str, dataset: str, day: date, body: bytes, meta
     now = datetime.now(timezone.utc)
     digest = hashlib.sha256(body).hexdigest()
     folder = f"{root}/{source}/{dataset}/{day:%Y/%m/%d}"
-    os.makedirs(folder, exist_ok=True)
     stem = f"{folder}/raw_{stamp_text or now.strftime('%Y%m%dT%H%M%S%f')}_{digest[:8]}"
     side = {"source": source, "dataset": dataset, "written_at": now.isoformat(), "data_date": str(day), "body_sha256": digest, "body_size_bytes": len(body)} | meta
     side["request_params"] = sanitise(side.get("request_params") or {})
+    if side.get("request_url"):
+        side["request_url"] = sanitise_url(side["request_url"])
+    if spark is None:
+        os.makedirs(folder, exist_ok=True)
     for path, data in ((f"{stem}.{ext}", body), (f"{stem}.meta.json", json.dumps(side).encode())):
+        if spark is not None:
+            _put(spark, path, data)
+            continue
         with open(f"{path}.tmp", "wb") as f:
             f.write(data)
         os.replace(f"{path}.tmp", path)

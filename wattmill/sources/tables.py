@@ -6,7 +6,7 @@ import re
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampNTZType, TimestampType
 
@@ -87,19 +87,31 @@ def write(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mode: st
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def write_silver(df: DataFrame, path: str, day: str = "partition_date", append_only: bool = False) -> None:
-    """One directory a day: replaced, or appended to where every vintage stays."""
+def write_silver(df: DataFrame, path: str, day: str = "partition_date", append_only: bool = False, vintage: str = "", order: tuple[str, ...] = (), csv: str | None = None) -> None:
+    """One directory a day, replaced as a whole, rows in `order` within each file.
+
+    Where every vintage stays, each has a directory of its own below the day, named `vintage`, so that
+    a rerun over the same files replaces its own rows alone. `csv` names a folder for a copy as CSV.
+    """
     dated = df.withColumns({"year": F.year(day), "month": F.month(day)})
-    write(dated, path, ("year", "month", day), "append" if append_only else "overwrite")
+    dated = dated.withColumn("vintage", F.lit(vintage or "all")) if append_only else dated
+    parts = ("year", "month", day, *(("vintage",) if append_only else ()))
+    inner = [c for c in order if c in df.columns]
+    dated = dated.sortWithinPartitions(*parts, *inner) if inner else dated
+    write(dated, path, parts)
+    if csv:
+        df.write.mode("overwrite").csv(csv, header=True)
 
 
 def write_gold(df: DataFrame, path: str) -> int:
-    """By year and date if there is one; an empty table writes nothing. Returns the number of rows."""
-    n = df.count()
-    if n:
-        day = next((c for c in ("settlement_date", "date") if c in df.columns), None)
-        write(df.withColumn("year", F.year(day)), path, ("year", day)) if day else write(df, path)
-    return n
+    """By year and date if there is one; an empty table writes nothing. Returns the number of rows, counted while writing."""
+    if df.isEmpty():
+        return 0
+    seen = Observation()
+    rows = df.observe(seen, F.count(F.lit(1)).alias("n"))
+    day = next((c for c in ("settlement_date", "date") if c in df.columns), None)
+    write(rows.withColumn("year", F.year(day)), path, ("year", day)) if day else write(rows, path)
+    return seen.get["n"]
 
 
 def export_csv(df: DataFrame, path: str, start: str | None = None, end: str | None = None, limit: int | None = None) -> None:
