@@ -37,6 +37,15 @@ def us(c: Column | str) -> Column:
     return F.unix_micros(F.col(c) if isinstance(c, str) else c)
 
 
+def _client(spark, d, *names: str):
+    """The client over an empty lake, with the driver's tables as views."""
+    from .serving import Client
+
+    for n in names:
+        tables.read(spark, d, n).createOrReplaceTempView(f"t_{n}")
+    return Client(spark, f"{d}/no-lake")
+
+
 STATUS = (("P", 1), ("O", 2), ("F", 3))
 ORDERS = vintage.LatestSpec(("o_custkey",), ("o_orderdate",), rank_column="o_orderstatus", rank=STATUS)
 _RANK = "CASE o_orderstatus WHEN 'P' THEN 1 WHEN 'O' THEN 2 WHEN 'F' THEN 3 ELSE 0 END"
@@ -96,8 +105,8 @@ def period_start_utc_orders(spark, d):
 
 
 @query("""
-WITH s AS (SELECT o_orderkey, epoch_us((CAST(o_orderdate::DATE AS TIMESTAMP) AT TIME ZONE 'Europe/London')) + (o_orderkey % 46) * 1800000000 AS u FROM orders)
-SELECT o_orderkey, CAST(o_orderkey % 46 + 1 AS INTEGER) AS period FROM s""")
+WITH s AS (SELECT o_orderkey, epoch_us((CAST(o_orderdate::DATE AS TIMESTAMP) AT TIME ZONE 'Europe/London')) AS a, epoch_us((CAST(o_orderdate::DATE AS TIMESTAMP) AT TIME ZONE 'Europe/London')) + (o_orderkey % 46) * 1800000000 AS u FROM orders)
+SELECT o_orderkey, CAST((u - a) // 1800000000 + 1 AS INTEGER) AS period FROM s""")
 def settlement_round_trip_orders(spark, d):
     day, period = F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 46 + 1).cast("int")
     return tables.read(spark, d, "orders").select("o_orderkey", C.settlement_period(C.settlement_period_to_utc(day, period)).alias("period"))
@@ -171,11 +180,10 @@ def event_coverage(spark, d):
 
 
 @query("""
-SELECT o_orderkey, o_custkey, 'new' AS origin FROM orders WHERE o_orderkey % 3 = 0
-UNION ALL SELECT o_orderkey, o_custkey, 'old' FROM orders o WHERE o_orderkey % 2 = 0 AND NOT EXISTS (SELECT 1 FROM orders n WHERE n.o_orderkey % 3 = 0 AND n.o_orderkey = o.o_orderkey)""")
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN 'old' ELSE 'new' END AS origin FROM orders""")
 def manifest_upsert(spark, d):
-    rows = tables.read(spark, d, "orders").select("o_orderkey", "o_custkey")
-    old, new = (rows.filter(f"o_orderkey % {k} = 0").withColumn("origin", F.lit(n)) for k, n in ((2, "old"), (3, "new")))
+    rows = tables.read(spark, d, "orders")
+    old, new = (rows.filter(f"o_orderstatus IN ({k})").select("o_orderkey", "o_custkey", F.lit(n).alias("origin")) for k, n in (("'F', 'O'", "old"), ("'O', 'P'", "new")))
     return state.upsert(old, new, ["o_orderkey"])
 
 
@@ -213,10 +221,13 @@ def time_series_gaps_events(spark, d):
 
 @query("""
 SELECT 'orders' AS dataset, 'row_count' AS check_name, '*' AS subject, CAST(count(*) AS DOUBLE) AS value, count(*) >= 1 AS passed FROM orders
-UNION ALL SELECT 'orders', 'null_rate', c, 0.0, true FROM (VALUES ('o_orderkey'), ('o_custkey'), ('o_totalprice')) t(c)
+UNION ALL SELECT 'orders', 'null_rate', 'o_orderkey', (count(*) - count(o_orderkey)) / count(*), (count(*) - count(o_orderkey)) / count(*) <= 0.05 FROM orders
+UNION ALL SELECT 'orders', 'null_rate', 'o_custkey', (count(*) - count(o_custkey)) / count(*), (count(*) - count(o_custkey)) / count(*) <= 0.05 FROM orders
+UNION ALL SELECT 'orders', 'null_rate', 'o_totalprice', (count(*) - count(CASE WHEN o_orderstatus <> 'P' THEN 1 END)) / count(*), (count(*) - count(CASE WHEN o_orderstatus <> 'P' THEN 1 END)) / count(*) <= 0.05 FROM orders
 UNION ALL SELECT 'orders', 'duplicates', 'o_custkey', CAST(count(*) AS DOUBLE), count(*) = 0 FROM (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) > 1)""")
 def quality_report(spark, d):
-    return quality.report(tables.read(spark, d, "orders"), "orders", ["o_custkey"])
+    price = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice"))
+    return quality.report(tables.read(spark, d, "orders").withColumn("o_totalprice", price), "orders", ["o_custkey"])
 
 
 @query("""
@@ -308,11 +319,11 @@ def subwindows_per_day(spark, d):
 
 
 @query("""
-WITH p AS (SELECT DISTINCT o_orderdate::DATE AS day FROM orders WHERE o_orderkey % 97 = 0), w AS (SELECT DISTINCT o_orderdate::DATE AS want FROM orders)
+WITH p AS (SELECT DISTINCT o_orderdate::DATE AS day FROM orders WHERE isodow(o_orderdate) = 1), w AS (SELECT DISTINCT o_orderdate::DATE AS want FROM orders)
 SELECT CAST(want AS VARCHAR) AS want, CAST(max(day) AS VARCHAR) AS got FROM w LEFT JOIN p ON day <= want AND day >= want - 35 GROUP BY 1""")
 def covering_partition_asof(spark, d):
-    days = tables.read(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("day"), "o_orderkey")
-    out = tables.covering_partition(days.select(F.col("day").alias("want")).distinct(), days.filter("o_orderkey % 97 = 0").select("day").distinct(), 35)
+    days = tables.read(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
+    out = tables.covering_partition(days.select(F.col("day").alias("want")).distinct(), days.filter(C.iso_weekday(F.col("day")) == 1).distinct(), 35)
     return out.select(F.col("want").cast("string"), F.col("got").cast("string"))
 
 
@@ -336,10 +347,11 @@ def classify_windows_orders(spark, d):
     return tables.read(spark, d, "orders").select("o_orderkey", windows.classify_event(start, end, ref, a, b).alias("class"))
 
 
-@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, TRY_CAST(NULLIF(json_extract_string(props, '$.missing'), '') AS DOUBLE) AS missing FROM events")
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CASE event_id % 3 WHEN 0 THEN CAST(json_extract(props, '$.k') AS DOUBLE) / 2 ELSE -1.0 END AS half FROM events")
 def json_props_extract(spark, d):
-    p = F.from_json("props", "k long, missing string")
-    return tables.read(spark, d, "events").withColumn("p", p).select("event_id", "p.k", S.safe_double(F.col("p.missing")).alias("missing"))
+    text = F.when(F.col("event_id") % 3 == 0, (F.get_json_object("props", "$.k").cast("double") / 2).cast("string")).when(F.col("event_id") % 3 == 1, F.lit("")).otherwise(F.lit("n/a"))
+    p = F.from_json(F.to_json(F.struct(F.get_json_object("props", "$.k").cast("long").alias("k"), text.alias("half"))), "k long, half string")
+    return tables.read(spark, d, "events").withColumn("p", p).select("event_id", "p.k", F.coalesce(S.safe_double(F.col("p.half")), F.lit(-1.0)).alias("half"))
 
 
 @query("""
@@ -358,14 +370,7 @@ def date_range_orders(spark, d):
 
 @query("SELECT * EXCLUDE (ts, props) FROM events")
 def serving_exclude(spark, d):
-    return tables.read(spark, d, "events").drop("ts", "props")
-
-
-@query("""
-SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate::DATE BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' ORDER BY o_totalprice DESC, o_orderkey LIMIT 100""")
-def export_limit(spark, d):
-    rows = tables.in_date_range(tables.read(spark, d, "orders"), "o_orderdate", "1996-01-01", "1999-12-31")
-    return rows.select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(100)
+    return _client(spark, d, "events").query("SELECT * EXCLUDE (ts, props) FROM t_events")
 
 
 @query("""
@@ -395,32 +400,16 @@ def watermark_frontier(spark, d):
     return out.select("dataset", us("last_end").alias("last_end_us"), us(state.window_start(F.col("last_end"), F.lit(datetime(2024, 2, 1)))).alias("start_us"))
 
 
-@query("""
-SELECT event_type AS run_id, max_by(value, (ts, event_id)) AS value, count(*) AS n_events FROM events GROUP BY 1""")
-def run_log_latest(spark, d):
-    log = tables.read(spark, d, "events").select(F.col("event_type").alias("run_id"), F.struct("ts", "event_id").alias("at"), "value")
-    return log.groupBy("run_id").agg(F.max_by("value", "at").alias("value"), F.count("*").alias("n_events"))
-
-
 @query("""
 SELECT s_suppkey, n_name, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_nationkey = s_nationkey AND c_acctbal > 9900)""")
 def unseen_units_anti_join(spark, d):
-    s, n, r, c = (tables.read(spark, d, t) for t in ("supplier", "nation", "region", "customer"))
-    seen = c.filter("c_acctbal > 9900").select(F.col("c_nationkey").alias("s_nationkey")).distinct()
-    rows = s.join(seen, "s_nationkey", "left_anti").join(n, F.col("s_nationkey") == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
-    return rows.select("s_suppkey", "n_name", "r_name")
+    return _client(spark, d, "supplier", "nation", "region", "customer").query("""
+        SELECT s_suppkey, n_name, r_name FROM t_supplier LEFT ANTI JOIN t_customer ON c_nationkey = s_nationkey AND c_acctbal > 9900
+        JOIN t_nation ON s_nationkey = n_nationkey JOIN t_region ON n_regionkey = r_regionkey""")
 
 
 @query("""
 SELECT coalesce(c_nationkey, -1) AS nation, coalesce(c_mktsegment, '*') AS segment, count(*) AS n FROM customer GROUP BY CUBE (c_nationkey, c_mktsegment)""")
 def ad_hoc_cube(spark, d):
-    cube = tables.read(spark, d, "customer").cube("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n"))
-    return cube.select(F.coalesce("c_nationkey", F.lit(-1)).alias("nation"), F.coalesce("c_mktsegment", F.lit("*")).alias("segment"), "n")
-
-
-@query(None)
-def schema_manifest(spark, d):
-    from .manifest import manifest_frame
-
-    return manifest_frame(spark)
+    return _client(spark, d, "customer").query("SELECT coalesce(c_nationkey, -1) AS nation, coalesce(c_mktsegment, '*') AS segment, count(*) AS n FROM t_customer GROUP BY CUBE (c_nationkey, c_mktsegment)")

@@ -16,6 +16,14 @@ from .manifest import HIDDEN
 from .registry import DATASETS
 
 
+def landed(spark: SparkSession, silver: str) -> set[tuple[str, str]]:
+    """(source, dataset) of the folders there are, from one listing."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    pattern = hadoop.Path(f"{silver}/*/*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return {tuple(x.getPath().toString().split("/")[-2:]) for x in found if x.isDirectory()}
+
+
 def register_views(spark: SparkSession, silver: str, strict: bool = True) -> list[str]:
     """Base, latest, alias and gold views for the datasets that have files; absent ones are passed over. Returns the names, in order.
 
@@ -32,9 +40,10 @@ def register_views(spark: SparkSession, silver: str, strict: bool = True) -> lis
             return
         made.append(name)
 
+    there = landed(spark, silver)
     for (source, name), d in sorted(DATASETS.items()):
-        df = tables.read_path(spark, f"{silver}/{source}/{name}")
-        if not df.columns:
+        df = tables.read_path(spark, f"{silver}/{source}/{name}") if (source, name) in there else None
+        if df is None or not df.columns:
             continue
         view(d.relation, df)
         owners.setdefault(name, []).append(d)
@@ -162,10 +171,10 @@ def quality_sweep(spark: SparkSession, silver: str) -> DataFrame:
     """The checks of all datasets with files, on their current vintages."""
     from ..operators import quality
 
-    parts = []
+    parts, there = [], landed(spark, silver)
     for (source, name), d in sorted(DATASETS.items()):
-        df = tables.read_path(spark, f"{silver}/{source}/{name}")
-        if not df.columns:
+        df = tables.read_path(spark, f"{silver}/{source}/{name}") if (source, name) in there else None
+        if df is None or not df.columns:
             continue
         spec = LATEST_SPECS.get((source, name))
         df = latest_by(df, spec, total_order(df, spec)) if spec else df

@@ -122,3 +122,21 @@ def export_csv(df: DataFrame, path: str, start: str | None = None, end: str | No
     if day and (start or end):
         df = in_date_range(df, day, start, end)
     (df.limit(limit) if limit is not None else df).write.mode("overwrite").csv(path, header=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the one that driver and executors share (spark.checkpoint.dir); it goes with the session."""
+    import tempfile
+    import uuid
+
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="wattmill-")
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+    return path
