@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 SAMPLE = 576  # bytes in a sample, and the block to which a payload is padded
 KEY_EVERY = 8  # every so many samples one is a sync sample
 PAD = 255
-BATCH_BYTES = 32 << 20  # of containers that are held at once
+BATCH_BYTES = 2 << 20  # of containers that are held at once
 CONTAINERS = frozenset((b"moov", b"trak", b"mdia", b"minf", b"stbl", b"dinf", b"edts", b"udta"))
 _MATRIX = struct.pack(">9I", 0x10000, 0, 0, 0, 0x10000, 0, 0, 0, 0x40000000)
 
@@ -157,7 +157,7 @@ def media(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     A null or empty text gives one block of padding. Equal texts give equal values; repeated rows
     and null keys pass through; an empty table gives none; other columns are not read. A container
-    must fit one Arrow array, so texts have less than 2**31 bytes; shorter ones go some 32 MB at a time.
+    must fit one Arrow array, so texts have less than 2**31 bytes; shorter ones go some 2 MB at a time.
     """
     kind = df.schema[key].dataType.simpleString()
 
