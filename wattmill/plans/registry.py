@@ -114,6 +114,23 @@ class Dataset:
 _HALF_HOUR = ("settlement_date", "settlement_period")
 
 
+#: Columns of the net adjustment table, in order.
+NET_ADJUSTMENTS = (
+    "net_buy_price_adjustment",
+    "net_sell_price_adjustment",
+    "net_buy_volume_adjustment",
+    "net_sell_volume_adjustment",
+    "net_buy_price_cost_adjustment_energy",
+    "net_buy_price_volume_adjustment_energy",
+    "net_buy_price_volume_adjustment_system",
+    "buy_price_price_adjustment",
+    "net_sell_price_cost_adjustment_energy",
+    "net_sell_price_volume_adjustment_energy",
+    "net_sell_price_volume_adjustment_system",
+    "sell_price_price_adjustment",
+)
+
+
 def _elexon() -> list[Dataset]:
     """name; own columns; further key columns; optional ones; whether published_at is kept."""
     rows = [
@@ -145,14 +162,11 @@ def _elexon() -> list[Dataset]:
         cols = (*_HALF_HOUR, "timestamp_utc", *own.split(), *(("published_at",) if published else ()), *TAIL)
         options = {"half_hour_from": "start_time"} if name == "windfor" else {"constants": {"forecast_type": name.upper()}} if name in ("ndf", "ndfd") else {}
         out.append(Dataset("elexon", name, cols, (*_HALF_HOUR, *key.split()), tuple(optional.split()), date_column="settlement_date", required=_HALF_HOUR if name != "windfor" else (), options=options))
-    net = [f"net_{side}_{what}_adjustment" for what in ("price", "volume") for side in ("buy", "sell")]
-    net += [f"net_buy_price_{x}" for x in ("cost_adjustment_energy", "volume_adjustment_energy", "volume_adjustment_system")] + ["buy_price_price_adjustment"]
-    net += [f"net_sell_price_{x}" for x in ("cost_adjustment_energy", "volume_adjustment_energy", "volume_adjustment_system")] + ["sell_price_price_adjustment"]
     half = (*_HALF_HOUR, "timestamp_utc")
     remit = "mrid revision_number timestamp_utc message_type message_heading event_type unavailability_type participant_id registration_code asset_id asset_type affected_unit affected_unit_eic bidding_zone fuel_type normal_capacity_mw available_capacity_mw unavailable_capacity_mw event_status event_start_time event_end_time cause related_information"
     soso = "contract_identification sender_identification receiver_identification resource_provider trade_direction trade_quantity_mw trade_price trader_unit start_time end_time published_at"
     out += [
-        Dataset("elexon", "netbsad", (*half, *net, *TAIL), _HALF_HOUR, date_column="settlement_date", required=_HALF_HOUR),
+        Dataset("elexon", "netbsad", (*half, *NET_ADJUSTMENTS, *TAIL), _HALF_HOUR, date_column="settlement_date", required=_HALF_HOUR),
         Dataset("elexon", "system_prices", (*half, "system_sell_price", "system_buy_price", "net_imbalance_volume", "run_type", "price_derivation_code", *TAIL), (), append_only=True, vintage_per_file=True, date_column="settlement_date", required=_HALF_HOUR, options={"entity": _HALF_HOUR}),
         Dataset("elexon", "remit", (*remit.split(), *TAIL), (), clock="published_at", append_only=True, version="2.0.0", required=("mrid",), options={"entity": ("mrid",)}),
         Dataset("elexon", "fou2t14d", (*half, "fuel_type", "output_usable_mw", "published_at", *TAIL), ("settlement_date", "fuel_type"), ("published_at", "settlement_period"), clock="period_or_date", append_only=True, date_column="settlement_date", required=("settlement_date", "fuel_type")),
