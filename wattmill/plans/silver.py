@@ -269,7 +269,7 @@ def from_carbon(records: DataFrame, d: Dataset) -> DataFrame:
     rows = records.withColumns({"from": j("record", "$.from"), "to": j("record", "$.to")}).withColumns({"timestamp_utc": at("from"), "period_end_utc": at("to")})
     if family == "generation":
         rows = rows.select(*ORDINAL, "timestamp_utc", "period_end_utc", F.posexplode(F.from_json(j("record", "$.generationmix"), _MIX)).alias("_k", "m"))
-        return finish(rows.withColumns({"fuel": F.col("m.fuel"), "generation_pct": num(F.col("m.perc"))}), d)
+        return finish(rows.withColumns({"fuel": F.col("m.fuel"), "generation_pct": num(F.col("m.perc")), "ordinal": F.array("ordinal", "_k")}), d)
     value = lambda n: num(j("record", f"$.intensity.{n}"))
     cols = {"intensity_index": j("record", "$.intensity.index")}
     cols |= {"stats_max": value("max"), "stats_average": value("average"), "stats_min": value("min")} if family == "stats" else {"forecast_gco2_kwh": value("forecast"), "actual_gco2_kwh": value("actual")}
