@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import re
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -108,3 +109,25 @@ def thue_morse(n: int = 1024) -> tuple[str, str]:
     """A word of a and b, and its complement: they agree under every polynomial hash modulo 2**64 with an odd base."""
     a = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
     return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def bootstrap(edges, least_known=3, least_share=0.8):
+    """Accepted patterns by kind, from distinct (pattern, entity, kind or None), until a round makes nothing new known."""
+    own = collections.defaultdict(set)
+    for p, e, _ in edges:
+        own[p].add(e)
+    known = {(e, k) for _, e, k in edges if k}
+    while True:
+        accepted = {}
+        for p, es in own.items():
+            best = []
+            for kind in {k for _, k in known}:
+                n = sum((e, kind) in known for e in es)
+                if n >= least_known and n / len(es) >= least_share:
+                    best.append((n / len(es) * math.log2(n + 1), kind))
+            if best:
+                accepted[p] = max(best)[1]
+        grown = known | {(e, k) for p, k in accepted.items() for e in own[p]}
+        if grown == known:
+            return accepted
+        known = grown

@@ -198,3 +198,14 @@ def test_repeated_ids_dont_grow_the_sample(spark, monkeypatch):
     seen = toxicity.train(docs, labels, max_documents=2)
     plain = toxicity.train(spark.createDataFrame([(1, "t0"), (2, "u")], SCHEMA), spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"))
     assert seen["features"].tolist() == plain["features"].tolist() and np.allclose(seen["cuts"], plain["cuts"])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_bootstrap_against_a_plain_one(spark, seed):
+    rng = random.Random(seed)
+    kinds = {f"e{i}": rng.choice(["email", "ip", "card", None, None, None]) for i in range(60)}
+    edges = sorted({(f"p{p}", f"e{(7 * p + rng.randint(0, 9)) % 60}") for p in range(40) for _ in range(8)})
+    edges = [(p, e, kinds[e]) for p, e in edges]
+    got = pii.induce(spark.createDataFrame(edges, "pattern string, entity string, kind string"), least_share=0.5).collect()
+    want = brute.bootstrap(edges, least_share=0.5)
+    assert {r.pattern: r.kind for r in got} == want and want
