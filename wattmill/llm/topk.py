@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ._plan import shuffle_partitions
 
 BLOCK_ROWS = 65_536
-BLOCK_QUERIES = 4_096
+BLOCK_QUERIES = 16_384  # rows are copied once for each, so few and large ones
 LEAST_ROWS = 8_192  # rows from which a block is split for the sake of idle tasks
 _SLICE = 64  # queries whose score arrays are held at once
 
