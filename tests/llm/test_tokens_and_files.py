@@ -142,6 +142,10 @@ def test_sharding(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     sizes = sorted((r.size, r.text_crc32) for r in out)
     assert sizes == sorted((len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for _, t in rows)
+    placed = sorted((r.shard, r.slot, r.doc_id is not None, r.doc_id, r.text_crc32, r.size) for r in out if r.doc_id is not None)
+    assert [x[3:] for x in placed] == [x[1:] for x in sorted((x[0], *x[3:]) for x in placed)]  # slots go by key, checksum, size
+    again = sharding.shard(df.repartition(7), 40).collect()
+    assert sorted(map(str, again)) == sorted(map(str, out))  # whatever the partitions
     assert sharding.shard(spark.createDataFrame([], SCHEMA), 40).collect() == []
     plan = sharding.shard(df, 40)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
@@ -219,6 +223,12 @@ def test_hot_keys_fill_no_group_alone(spark, monkeypatch):
     assert len(groups) == 600 and max(groups.count(g) for g in set(groups)) < 300
 
 
+def test_sharding_splits_a_hot_key(spark):
+    df = spark.createDataFrame([(5, "same")] * 4000, SCHEMA).repartition(3)
+    out = sharding.shard(df, 40)
+    assert sorted(r.slot for r in out.select("slot").collect()) == list(range(4000))
+
+
 def test_sharding_keeps_other_columns(spark):
     df = spark.createDataFrame([(1, "a", 10, 11, 12, 13, 14), (1, "a", 20, 21, 22, 23, 24)], SCHEMA + ", _start int, SIZE int, _at int, bucket int, r int")
     out = sharding.shard(df, 3)

@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._plan import Shared, chunk_count
+from ._plan import Shared, estimated_bytes, shuffle_partitions
+
+RANGE_BYTES = 32 << 20  # stored rows, without their texts, that one task sorts
 
 #: The multiplier of the published generator, as 32-bit halves and 16-bit quarters.
 MULTIPLIER = 2862933555777941757
@@ -63,15 +65,15 @@ def shard(df: DataFrame, shards: int, key: str = "doc_id", text: str = "text") -
     """`df` without its text, plus size, text_crc32, law, shard, slot and grown_shard.
 
     size is the UTF-8 length (null text: 0) plus 16; text_crc32 that of the UTF-8 bytes (null: of
-    nothing). slot counts the rows of a shard from 0 without gaps: rows are numbered inside small
-    buckets of a shard, by (key, checksum, size), and the few bucket totals are summed, so no task
-    holds a shard. Rows are dealt into buckets by their number in a table written to the shared
-    folder, so that a key which many rows share fills no bucket alone. Equal keys share a shard;
-    repeated rows get slots of their own. Null keys are one key. An empty table gives none. Columns
-    of `df` named like a new one give way, all others stay. Texts of any length are read in place.
+    nothing). slot counts the rows of a shard from 0 without gaps, in the order of (key, checksum,
+    size), whatever the partitions: rows are sorted in ranges of that order, and each range's few
+    counts by shard are summed, so no task holds a shard. Ranges end within equal keys and texts too,
+    so that no key which many rows share fills one alone; rows that agree in all three get their
+    slots by their place in a table written to the shared folder. Equal keys share a shard. Null keys
+    are one key, the least. An empty table gives none. Columns of `df` named like a new one give
+    way, all others stay. Texts of any length are read in place.
     """
     made = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
-    buckets = max(1, -(-chunk_count(df) // shards))
     raw = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
     keep = [c for c in df.columns if c.lower() not in made and c != text]
     rows = df.select(
@@ -83,11 +85,15 @@ def shard(df: DataFrame, shards: int, key: str = "doc_id", text: str = "text") -
         jump_hash(F.col(f"`{key}`"), shards).alias("shard"),
         jump_hash(F.col(f"`{key}`"), shards + 1).alias("grown_shard"),
     )
-    rows = Shared(df.sparkSession).table(rows).withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)))
-    totals = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
-    before = W.partitionBy("shard").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = totals.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("start"))
-    inside = W.partitionBy("shard", "bucket").orderBy(F.col("key").asc_nulls_first(), "text_crc32", "size", "row")
-    out = rows.withColumn("at", F.row_number().over(inside).cast("long") - 1).join(starts, ["shard", "bucket"])
+    shared = Shared(df.sparkSession)
+    rows = shared.table(rows)
+    order = ("shard", F.col("key").asc_nulls_first(), "text_crc32", "size", "row")
+    ranges = max(shuffle_partitions(df.sparkSession), -(-estimated_bytes(rows) // RANGE_BYTES))
+    rows = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).drop("row", "key")
+    rows = shared.table(rows.withColumn("place", F.monotonically_increasing_id()).withColumn("range", F.shiftright("place", 33)))
+    counts = rows.groupBy("shard", "range").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    before = W.partitionBy("shard").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    shift = (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).cast("long")
+    out = rows.join(counts.select("shard", "range", shift.alias("shift")), ["shard", "range"])
     kept = [F.col("r").getField(c).alias(c) for c in keep]
-    return out.select(*kept, "size", "text_crc32", F.lit("key").alias("law"), "shard", "grown_shard", (F.col("start") + F.col("at")).alias("slot"))
+    return out.select(*kept, "size", "text_crc32", F.lit("key").alias("law"), "shard", "grown_shard", (F.col("place") + F.col("shift")).alias("slot"))
