@@ -179,6 +179,18 @@ def test_op10(spark, folder):
     assert sorted(2048 - sum(n for _, n in s) for s in used.values()) == sorted(room)
 
 
+def test_sql_gives_the_same_rows(spark, folder):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    for name in sorted(set(queries.ORACLE_SQL) - {"op5_topk"}):
+        got = queries.QUERIES[name](spark, folder)
+        want = con.execute(queries.ORACLE_SQL[name])
+        names = [c[0] for c in want.description]
+        assert sorted(names) == sorted(got.columns), name
+        assert sorted(map(tuple, got.select(*names).collect())) == sorted(want.fetchall()), name
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")

@@ -131,5 +131,44 @@ WITH w AS (
 )
 SELECT documents.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents LEFT JOIN per USING (doc_id)
+""",
+    "op3_suffix_array": """
+WITH d AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents
+), w AS (
+  SELECT doc_id, i, b[i:i + 99] AS s FROM d, unnest(generate_series(1, octet_length(b) - 99)) AS g(i)
+), again AS (
+  SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1
+), gaps AS (
+  SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 100, true) AS fresh FROM again
+), runs AS (
+  SELECT doc_id, min(i) AS lo, max(i) + 99 AS hi FROM (SELECT doc_id, i, count(*) FILTER (WHERE fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM gaps) GROUP BY doc_id, run
+), stops AS (
+  SELECT doc_id, lo, hi FROM runs UNION ALL SELECT doc_id, octet_length(b) + 1, NULL FROM d
+), parts AS (
+  SELECT doc_id, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) + 1 AS lo, lo - 1 AS hi, hi - lo + 1 AS cut FROM stops
+)
+SELECT doc_id, any_value(octet_length(b)) AS n_bytes, CAST(coalesce(sum(cut), 0) AS BIGINT) AS n_removed, count(cut) AS n_spans,
+       sha256(unhex(string_agg(CASE WHEN lo <= hi THEN hex(b[lo:hi]) ELSE '' END, '' ORDER BY lo))) AS kept_sha256
+FROM parts JOIN d USING (doc_id) GROUP BY doc_id
+""",
+    "op8_jump_sharding": """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS n, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), t AS (
+  SELECT list(list_reduce(generate_series(1, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM generate_series(0, 255) AS g(i)
+), c AS (
+  SELECT n, xor(list_reduce([CAST('0x' || x AS BIGINT) FOR x IN regexp_extract_all(hex(b), '..')], lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)]), 4294967295), 4294967295) AS crc FROM d, t
+), j AS (
+  SELECT n, shards, CAST(CAST(coalesce(doc_id, 0) AS HUGEINT) + CASE WHEN doc_id < 0 THEN 18446744073709551616 ELSE 0 END AS UHUGEINT) AS k, CAST(-1 AS BIGINT) AS b, CAST(0 AS BIGINT) AS j FROM d, (VALUES (40), (41)) AS s(shards)
+  UNION ALL
+  SELECT n, shards, next, j, CAST(floor((j + 1) * (2147483648.0::DOUBLE / CAST(next // 8589934592 + 1 AS DOUBLE))) AS BIGINT)
+  FROM (SELECT *, (k * 2862933555777941757 + 1) % 18446744073709551616 AS next FROM j) WHERE j < shards
+), s AS (
+  SELECT n, max(b) FILTER (WHERE shards = 40) AS shard, max(b) FILTER (WHERE shards = 41) AS grown_shard FROM j GROUP BY n
+)
+SELECT doc_id, octet_length(b) + 16 AS size, crc AS text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, crc, octet_length(b)) - 1 AS slot, CAST(grown_shard AS INTEGER) AS grown_shard
+FROM d JOIN c USING (n) JOIN s USING (n)
 """,
 }
