@@ -170,5 +170,48 @@ WITH RECURSIVE d AS (
 SELECT doc_id, octet_length(b) + 16 AS size, crc AS text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
        row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, crc, octet_length(b)) - 1 AS slot, CAST(grown_shard AS INTEGER) AS grown_shard
 FROM d JOIN c USING (n) JOIN s USING (n)
+""",
+    # the container written out box by box, in hexadecimal digits
+    "op9_media_columns": """
+WITH t AS (
+  SELECT list(list_reduce(generate_series(1, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM generate_series(0, 255) AS g(i)
+), d AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n_bytes, hex(encode(coalesce(text, ''))) AS h FROM documents
+), s AS (
+  SELECT doc_id, n_bytes, h, greatest(1, (n_bytes + 575) // 576) AS s FROM d
+), p AS (
+  SELECT doc_id, n_bytes, s, 576 * s AS n, (s + 7) // 8 AS c, CASE WHEN s % 8 = 0 OR s < 8 THEN 1 ELSE 2 END AS runs, h || repeat('FF', 576 * s - n_bytes) AS payload FROM s
+), z AS (
+  SELECT *, 152 + 8 * c + 12 * runs AS stbl, 60 + 152 + 8 * c + 12 * runs AS minf, 85 + 60 + 152 + 8 * c + 12 * runs AS mdia,
+         112 + 85 + 60 + 152 + 8 * c + 12 * runs AS trak, 128 + 112 + 85 + 60 + 152 + 8 * c + 12 * runs AS moov FROM p
+), o AS (
+  SELECT *, [32 + moov + 4608 * i FOR i IN generate_series(0, c - 1)] AS starts, '00010000' || repeat('0', 24) || '00010000' || repeat('0', 24) || '40000000' AS matrix FROM z
+), m AS (
+  SELECT *, concat(
+    '00000018', hex('ftyp'), hex('isom'), '00000200', hex('isomiso2'),
+    printf('%08x', moov), hex('moov'),
+    '00000078', hex('mvhd'), '01000000', repeat('0', 32), '0000BB80', printf('%016x', n), '000100000100', repeat('0', 20), matrix, repeat('0', 48), '00000002',
+    printf('%08x', trak), hex('trak'),
+    '00000068', hex('tkhd'), '01000003', repeat('0', 32), '0000000100000000', printf('%016x', n), repeat('0', 16), '0000000001000000', matrix, repeat('0', 16),
+    printf('%08x', mdia), hex('mdia'),
+    '0000002C', hex('mdhd'), '01000000', repeat('0', 32), '0000BB80', printf('%016x', n), '55C40000',
+    '00000021', hex('hdlr'), repeat('0', 16), hex('soun'), repeat('0', 26),
+    printf('%08x', minf), hex('minf'),
+    '00000010', hex('smhd'), repeat('0', 16),
+    '00000024', hex('dinf'), '0000001C', hex('dref'), '0000000000000001', '0000000C', hex('url '), '00000001',
+    printf('%08x', stbl), hex('stbl'),
+    '00000034', hex('stsd'), '0000000000000001', '00000024', hex('raw '), '0000000000000001', repeat('0', 16), '0001000800000000', 'BB800000',
+    '00000018', hex('stts'), '0000000000000001', printf('%08x', s), '00000240',
+    printf('%08x', 16 + 4 * c), hex('stss'), '00000000', printf('%08x', c), array_to_string([printf('%08x', 8 * i + 1) FOR i IN generate_series(0, c - 1)], ''),
+    printf('%08x', 16 + 12 * runs), hex('stsc'), '00000000', printf('%08x', runs), '00000001', printf('%08x', least(s, 8)), '00000001',
+    CASE WHEN runs = 2 THEN concat(printf('%08x', c), printf('%08x', s % 8), '00000001') ELSE '' END,
+    '00000014', hex('stsz'), '0000000000000240', printf('%08x', s),
+    printf('%08x', 16 + 4 * c), hex('stco'), '00000000', printf('%08x', c), array_to_string([printf('%08x', x) FOR x IN starts], ''),
+    printf('%08x', 8 + n), hex('mdat'), payload) AS media FROM o
+)
+SELECT doc_id, n_bytes, n AS payload_bytes, sha256(unhex(payload)) AS payload_sha256, length(media) // 2 AS media_bytes, sha256(unhex(media)) AS media_sha256,
+       xor(list_reduce([CAST('0x' || x AS BIGINT) FOR x IN regexp_extract_all(right(payload, 64), '..')], lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)]), 4294967295), 4294967295) AS tail_crc32,
+       concat('codec=raw;timescale=48000;duration=', n, ';samples=', s, ';keyframes=', array_to_string([concat(x, '-', x + 576) FOR x IN starts], ',')) AS feature
+FROM m, t
 """,
 }
