@@ -344,3 +344,14 @@ def test_covering_day_and_neighbour(spark, tmp_path):
     assert run() == 2
     bronze.write_raw(str(tmp_path / "b"), "elexon", "indo", date(2024, 6, 2), b"[]", {"request_params": {"publishDateTimeFrom": "2024-06-02T00:00Z", "publishDateTimeTo": "2024-06-03T00:00Z"}})
     assert run() == 1
+
+
+def test_fields_named_like_the_scans_own_columns(spark, tmp_path):
+    """A payload's path, day, stamp and ordinal are columns like others and never the ingest stamp; names that differ in case are one."""
+    fields = {"id": "1", "periodFrom": "2024-06-01", "path": "p", "day": "d", "stamp": "1999-01-01", "_bronze_stamp": "1998-01-01", "ordinal": "o", "Label": None, "label": "x"}
+    land(tmp_path / "b", "entsog", "nominations", {"operationalData": [fields]})
+    result = silver.execute(spark, str(tmp_path / "b"), str(tmp_path / "s"), "entsog", "nominations", DAY, "run")
+    (r,) = result.frame.collect()
+    assert (r.path, r.day, r.stamp, r.bronze_stamp, r.ordinal, r.label) == ("p", "d", "1999-01-01", "1998-01-01", "o", "x")
+    assert r.available_at.year > 2000
+    assert not [c for c in result.frame.columns if c.startswith("_")]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,13 +49,18 @@ def snake_case(name: str) -> str:
     return re.sub(r"_+", "_", re.sub(r"[\s\-]+", "_", name)).strip("_").lower()
 
 
-def normalise_names(df: DataFrame, blanks_yield: bool = False) -> DataFrame:
-    """Columns renamed to snake_case; of those that meet, the first value from the left that isn't null (nor blank, if so asked)."""
+def merged_names(names: list[str], value: Callable[[str], Column], blanks_yield: bool = False) -> list[Column]:
+    """One column for each snake_case name; of names that meet, the first value from the left that isn't null (nor blank, if so asked)."""
     groups: dict[str, list[str]] = {}
-    for c in df.columns:
-        groups.setdefault(snake_case(c), []).append(c)
-    pick = (lambda c: F.nullif(F.col(f"`{c}`").cast("string"), F.lit(""))) if blanks_yield else (lambda c: F.col(f"`{c}`"))
-    return df.select(*[(F.col(f"`{cs[0]}`") if len(cs) == 1 else F.coalesce(*map(pick, cs))).alias(n) for n, cs in groups.items()])
+    for n in names:
+        groups.setdefault(snake_case(n), []).append(n)
+    pick = (lambda n: F.nullif(value(n).cast("string"), F.lit(""))) if blanks_yield else value
+    return [(value(ns[0]) if len(ns) == 1 else F.coalesce(*map(pick, ns))).alias(n) for n, ns in groups.items()]
+
+
+def normalise_names(df: DataFrame, blanks_yield: bool = False) -> DataFrame:
+    """Columns renamed to snake_case, and those that meet made one."""
+    return df.select(*merged_names(df.columns, lambda c: F.col(f"`{c}`"), blanks_yield))
 
 
 def slug(text: Column) -> Column:

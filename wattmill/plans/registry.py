@@ -98,8 +98,6 @@ class Dataset:
     recipe: str = "json"
     clock: str = "period"  # where timestamp_utc comes from: period, a column, or date:column
     append_only: bool = False
-    vintage_per_file: bool = False
-    lockstep: bool = False
     half_open: bool = False
     version: str = "1.0.0"
     date_column: str = "timestamp_utc"
@@ -167,7 +165,7 @@ def _elexon() -> list[Dataset]:
     soso = "contract_identification sender_identification receiver_identification resource_provider trade_direction trade_quantity_mw trade_price trader_unit start_time end_time published_at"
     out += [
         Dataset("elexon", "netbsad", (*half, *NET_ADJUSTMENTS, *TAIL), _HALF_HOUR, date_column="settlement_date", required=_HALF_HOUR),
-        Dataset("elexon", "system_prices", (*half, "system_sell_price", "system_buy_price", "net_imbalance_volume", "run_type", "price_derivation_code", *TAIL), (), append_only=True, vintage_per_file=True, date_column="settlement_date", required=_HALF_HOUR, options={"entity": _HALF_HOUR}),
+        Dataset("elexon", "system_prices", (*half, "system_sell_price", "system_buy_price", "net_imbalance_volume", "run_type", "price_derivation_code", *TAIL), (), append_only=True, date_column="settlement_date", required=_HALF_HOUR, options={"entity": _HALF_HOUR}),
         Dataset("elexon", "remit", (*remit.split(), *TAIL), (), clock="published_at", append_only=True, version="2.0.0", required=("mrid",), options={"entity": ("mrid",)}),
         Dataset("elexon", "fou2t14d", (*half, "fuel_type", "output_usable_mw", "published_at", *TAIL), ("settlement_date", "fuel_type"), ("published_at", "settlement_period"), clock="period_or_date", append_only=True, date_column="settlement_date", required=("settlement_date", "fuel_type")),
         Dataset("elexon", "uou2t14d", (*half, "bm_unit_id", "national_grid_bm_unit", "fuel_type", "output_usable_mw", "published_at", *TAIL), ("settlement_date", "bm_unit_id"), ("settlement_period",), clock="period_or_date", date_column="settlement_date", required=("settlement_date", "bm_unit_id")),
@@ -232,7 +230,7 @@ def _entsoe() -> list[Dataset]:
 
 def _gas() -> list[Dataset]:
     flow = ("timestamp_utc", "point_key", "point_label", "operator_key", "operator_label", "direction_key", "flow_gwh_per_day", "unit", *TAIL)
-    out = [Dataset("entsog", "physical_flows", flow, ("timestamp_utc", "point_key"), ("operator_key", "direction_key"), recipe="flows", lockstep=True, options={"record_key": "operationalData"})]
+    out = [Dataset("entsog", "physical_flows", flow, ("timestamp_utc", "point_key"), ("operator_key", "direction_key"), recipe="flows", options={"record_key": "operationalData"})]
     indicators = "nominations allocations renominations firm_available firm_booked firm_technical interruptible_available interruptible_booked interruptible_total gcv wobbe_index methane_content hydrogen_content oxygen_content available_through_oversubscription available_through_surrender available_through_uioli_long_term available_through_uioli_short_term"
     families = {n: "operationalData" for n in indicators.split()} | {
         "cmp_unsuccessful_requests": "cmpUnsuccessfulRequests", "cmp_unavailable_firm_capacity": "cmpUnavailables", "cmp_auction_premiums": "cmpAuctions", "interruptions": "interruptions",
@@ -240,7 +238,7 @@ def _gas() -> list[Dataset]:
         "connection_points": "connectionPoints", "operators": "operators", "balancing_zones": "balancingZones", "operator_point_directions": "operatorPointDirections",
         "interconnections": "interconnections", "aggregate_interconnections": "aggregateInterconnections",
     }
-    out += [Dataset("entsog", n, None, recipe="dynamic", lockstep=True, options={"record_key": k, "windowed": n not in ("tariffs", "tariff_simulations")}) for n, k in families.items()]
+    out += [Dataset("entsog", n, None, recipe="dynamic", options={"record_key": k, "windowed": n not in ("tariffs", "tariff_simulations")}) for n, k in families.items()]
     storage = "gas_day gas_day_end updated_at entity_level entity_code entity_name entity_url country_code country_name gas_in_storage_gwh consumption_gwh consumption_full_pct injection_gwh withdrawal_gwh net_withdrawal_gwh working_gas_volume_gwh injection_capacity_gwh_per_day withdrawal_capacity_gwh_per_day contracted_capacity_gwh_per_day available_capacity_gwh_per_day covered_capacity_gwh_per_day storage_pct_full trend status info"
     key = ("gas_day", "entity_level", "entity_code", "entity_url")
     out += [Dataset("gie_agsi", n, (*storage.split(), *TAIL), key, recipe="storage", clock="gas:gas_day", version="2.0.0", date_column="gas_day") for n in ("storage", "storage_reports")]
@@ -273,7 +271,7 @@ FUELS = ("gas", "coal", "nuclear", "wind", "wind_emb", "hydro", "imports", "biom
 
 
 def _portal() -> list[Dataset]:
-    one = {"append_only": True, "vintage_per_file": True}
+    one = {"append_only": True}
     shares = tuple(f"{f}_pct" for f in FUELS if f != "carbon_intensity")
     embedded = ("embedded_wind_forecast", "embedded_wind_capacity", "embedded_solar_forecast", "embedded_solar_capacity")
     return [

@@ -20,6 +20,8 @@ from . import rules, runs
 from .registry import FUELS, WEATHER, Dataset, column_type, dataset, vendor_names
 
 ORDINAL = ["path", "ordinal"]
+#: What rows of free columns carry beside them. Normalised field names never begin with an underscore, so none can take their place.
+OWN_ORDINAL, OWN_STAMP, LOCAL_DAY = ["_bronze_path", "_bronze_ordinal"], "_bronze_stamp", "_local_day"
 
 
 def typed(value: Column, kind: str) -> Column:
@@ -57,7 +59,7 @@ def finish(df: DataFrame, d: Dataset, provider: str | None = None) -> DataFrame:
     if keys:
         df = vintage.dedup_keep_last(df, keys, ORDINAL)
     if d.columns is None:
-        return df.drop(*ORDINAL)
+        return df.drop(*OWN_ORDINAL)
     for c in d.columns:
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast(column_type(c)))
@@ -181,34 +183,35 @@ def inventory(records: DataFrame) -> DataFrame:
 def from_dynamic(records: DataFrame, d: Dataset) -> DataFrame:
     """Payloads whose columns are found in the data: names normalised, numbers and instants by name.
 
-    `_local_day`, for the day's filter, is the date as the vendor wrote it, before it becomes UTC.
+    LOCAL_DAY, for the day's filter, is the date as the vendor wrote it, before it becomes UTC. A field
+    named like a column of the scan (path, ordinal, stamp, day) is a column like others.
     """
     if d.name in ("about_summary", "about_listing"):
         records = inventory(records)
     names = records.select(F.explode(F.map_keys(F.from_json("record", "map<string,string>"))).alias("k")).distinct()
     found = sorted(r.k for r in names.collect())  # as many as the payload has columns
     rows = records.withColumn("_f", F.from_json("record", "map<string,string>"))
-    carried = [c for c in ("stamp", "day") if c in records.columns]
-    wide = rows.select(*ORDINAL, *carried, *[F.try_element_at("_f", F.lit(n)).alias(n) for n in found])
-    wide = S.normalise_names(wide, d.options.get("blanks_yield", False))
+    own = [F.col(c).alias(o) for c, o in zip((*ORDINAL, "stamp"), (*OWN_ORDINAL, OWN_STAMP), strict=True) if c in records.columns]
+    fields = S.merged_names(found, lambda n: F.try_element_at("_f", F.lit(n)), d.options.get("blanks_yield", False))
+    wide = rows.select(*own, *fields)
     cast = {}
     written = [C.safe_date(F.col(c)) for c in S.INSTANT_PRIORITY if c in wide.columns]
-    wide = wide.withColumn("_local_day", F.coalesce(*written) if written else F.lit(None).cast("date"))
+    wide = wide.withColumn(LOCAL_DAY, F.coalesce(*written) if written else F.lit(None).cast("date"))
     for c in wide.columns:
-        if c not in (*ORDINAL, *carried, "_local_day"):
+        if c not in (*OWN_ORDINAL, OWN_STAMP, LOCAL_DAY):
             if S.is_instant_name(c):
-                cast[c] = C.parse_lenient(F.col(c))
+                cast[c] = C.parse_lenient(F.col(f"`{c}`"))
             elif S.is_numeric_name(c):
-                cast[c] = S.safe_double(F.col(c))
+                cast[c] = S.safe_double(F.col(f"`{c}`"))
     wide = wide.withColumns(cast) if cast else wide
     instant = [F.col(c) for c in S.INSTANT_PRIORITY if c in wide.columns]
     if instant and d.source == "entsog":
         wide = wide.withColumn("timestamp_utc", F.coalesce(*instant))
     subset = [c for c in d.options.get("dedup", ()) if c in wide.columns]
     if d.options.get("dedup") is not None:
-        wide = vintage.dedup_keep_last(wide, subset, ORDINAL) if subset else wide
+        wide = vintage.dedup_keep_last(wide, subset, OWN_ORDINAL) if subset else wide
     else:
-        wide = vintage.dedup_whole_rows(wide, ORDINAL, ("timestamp_utc", "stamp", "day", "_local_day"))
+        wide = vintage.dedup_whole_rows(wide, OWN_ORDINAL, ("timestamp_utc", OWN_STAMP, LOCAL_DAY))
     return finish(wide, d)
 
 
@@ -374,8 +377,8 @@ def owned(rows: DataFrame, d: Dataset, day: date) -> DataFrame:
         elif d.name == "unavailability":
             rows = rows.filter(windows.overlaps_day(text("event_start"), text("event_end"), target))
         elif d.options.get("windowed"):
-            rows = rows.filter(windows.on_day_or_undated(F.col("_local_day"), target))
-        return rows.drop("_local_day", "day")
+            rows = rows.filter(windows.on_day_or_undated(F.col(LOCAL_DAY), target))
+        return rows.drop(LOCAL_DAY)
     if d.recipe in ("storage", "lng"):
         return rows.filter(windows.on_day_or_undated(F.col("gas_day"), target))
     if d.recipe == "weather":
@@ -434,9 +437,10 @@ def execute(spark: SparkSession, root: str, silver: str, source: str, name: str,
     """
     d = dataset(source, name)
     rows = owned(transform(scan(spark, root, d, day), d), d, day)
-    stamp = F.coalesce(F.col("stamp"), F.current_timestamp()) if "stamp" in rows.columns else F.current_timestamp()
+    carrier = OWN_STAMP if d.columns is None else "stamp"
+    stamp = F.coalesce(F.col(carrier), F.current_timestamp()) if carrier in rows.columns else F.current_timestamp()
     gas = d.clock.partition(":")[2] if d.clock.startswith("gas") else None
-    out = bitemporal.stamp_rows(rows, run_id, d.version, stamp, day, gas).drop("stamp")
+    out = bitemporal.stamp_rows(rows, run_id, d.version, stamp, day, gas).drop(carrier)
     files = bronze.vouched(bronze.list_files(spark, root, source, name, day)).filter("ext != '.tmp'")
     seen = files.agg(F.count("*").alias("n"), F.count("reason").alias("bad")).first()
     dropped = undated = unresolved = 0
