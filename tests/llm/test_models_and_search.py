@@ -110,6 +110,14 @@ def test_contexts_find_spaced_numbers(spark):
     assert got[0] == got[40] == "card:5:24" and got[41] == ""
 
 
+def test_contexts_on_the_right(spark):
+    rows = [(i, f"w{'abcdefgh'[i]} 10.0.0.{i} responded late") for i in range(8)] + [(50, "zz 300.1.2.3 responded"), (51, "zz 300.1.2.4 lost"), (52, "300.1.2.5, responded"), (53, "300.1.2.6")]
+    got = {r.doc_id: r.s for r in pii.extract(spark.createDataFrame(rows, SCHEMA)).select("doc_id", pii.spell(F.col("spans")).alias("s")).collect()}
+    assert got[3] == "ip:3:11" and got[50] == "ip:3:12" and got[52] == "ip:0:9" and got[51] == got[53] == ""
+    found = pii._scan(spark.createDataFrame([(1, "card 4111 1111 1111 1111, thanks a@b.cc (x1)")], SCHEMA), "text", ["doc_id"], _plan.Shared(spark))[1]
+    assert {(r.entity, r.after) for r in found.collect() if r.after} == {("4111 1111 1111 1111", " thanks 9 9 9 9"), ("a@b.cc", " (x1) a@a.a")}
+
+
 def test_redaction(spark):
     rows = [(1, "a x@y.zz b 1.2.3.4"), (2, None), (3, "plain"), (4, "🙂 x@y.zz")]
     out = {r.doc_id: (r.text, r.n) for r in pii.redact(spark.createDataFrame(rows, SCHEMA).withColumn("n", F.lit(7))).collect()}

@@ -1,14 +1,15 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame expressions only.
 
 Seeds are what fixed patterns find: e-mail and IP addresses, card and phone numbers. The word left
-of an entity and its shape make a lexical pattern; patterns and the tokens they match, over all
-documents, are a graph of two sides. Every token with a left word is an instance, and so is every
-whole base match, whatever its tokens. Known instances hold a digit or an at sign, and a pattern
-only matches tokens of its own shape, so tokens with neither can neither be found nor count for or
-against a pattern that could be accepted: they are left out without loss. In each round a pattern's score is the share of its instances
-that are known, weighted by how many there are; patterns with a high score make their other
-instances known, and those lend weight to further patterns, until a round finds nothing new. New
-instances become spans.
+of an entity and its shape make a lexical pattern, the word right of it and its shape another;
+patterns and the tokens they match, over all documents, are a graph of two sides. Every token with a
+neighbour is an instance, and so is every whole base match, whatever its tokens. Known instances
+hold a digit or an at sign, and a pattern only matches tokens of its own shape, so tokens with
+neither can neither be found nor count for or against a pattern that could be accepted: they are left
+out without loss. In each round a pattern's score is the share of its instances that are known,
+weighted by how many there are; patterns with a high score make their other instances known, and
+those lend weight to further patterns, until a round finds nothing new. New instances become spans,
+of the kind that their best pattern names.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ PATTERNS = {
 #: A whole token that holds a digit or an at sign, as whatever shares the shape of a base match does.
 _TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 _LAST_WORD = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+$"
+_NEXT_WORD = r"^[\"')>\]}.,;:!?#*]*+[\x20\x09-\x0D]*+([^\x20\x09-\x0D]++)"
 _OPENERS = r"\"'(<\[{#*"
 #: Worth a look for each kind: each pattern's cheaper necessary condition.
 _NEEDS = {"ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "token": "[0-9@]"}
@@ -46,18 +48,20 @@ def _hits(text: Column, kind: str, pattern: str) -> Column:
 
 
 def _found(order: int, hits: Column, gaps: Column) -> Column:
-    """Array of (order, i, gap, size, hit, left) from a kind's matches and what `split` leaves around them.
+    """Array of (order, i, gap, size, hit, left, right) from a kind's matches and what `split` leaves around them.
 
     gap and size are lengths in code points, so running sums tell where a match starts. `left` is the
     word left of the match, from the kind's match before on, and up to the match where they touch;
-    empty if there is none.
+    `right` the word after it, up to the end of the kind's next match; empty if there is none.
     """
 
     def one(hit: Column, i: Column) -> Column:
         gap = F.get(gaps, i)
         before = F.regexp_replace(F.concat(F.coalesce(F.get(hits, i - 1), F.lit("")), gap), f"(?<![{_OPENERS}])[{_OPENERS}]++$", "")
         left = F.lower(F.regexp_extract(before, _LAST_WORD, 1))
-        return F.struct(F.lit(order).alias("order"), i.alias("i"), F.length(gap).alias("gap"), F.length(hit).alias("size"), hit.alias("hit"), left.alias("left"))
+        after = F.concat(F.get(gaps, i + 1), F.coalesce(F.get(hits, i + 1), F.lit("")))
+        right = F.lower(F.regexp_extract(after, _NEXT_WORD, 1))
+        return F.struct(F.lit(order).alias("order"), i.alias("i"), F.length(gap).alias("gap"), F.length(hit).alias("size"), hit.alias("hit"), left.alias("left"), right.alias("right"))
 
     return F.transform(hits, one)
 
@@ -89,9 +93,10 @@ def _valid(order: Column, hit: Column) -> Column:
 def _scan(df: DataFrame, text: str, kept: list[str], shared: Shared) -> tuple[DataFrame, DataFrame]:
     """(the rows, as a number and a struct of the `kept` columns; what is in their texts), both written to the shared folder.
 
-    What is in a text: (row, start, end, order, base, near, entity, pattern, kind), where `base` marks
-    spans of the fixed patterns and `near` contextual instances, with the kind that they are known
-    to have. Positions are running sums over a text's matches, and overlaps are found by running
+    What is in a text: (row, start, end, order, base, near, entity, pattern, after, kind), where `base`
+    marks spans of the fixed patterns and `near` instances with a word on their left, whose pattern
+    is `pattern`; `after` is the pattern of an instance's right word, or null, and begins with a blank
+    as no left one does; `kind` is what an instance is known to be. Positions are running sums over a text's matches, and overlaps are found by running
     maxima, so a text costs in proportion to its matches.
     """
     every = [*PATTERNS.values(), _TOKEN]
@@ -108,7 +113,7 @@ def _scan(df: DataFrame, text: str, kept: list[str], shared: Shared) -> tuple[Da
     base = _valid(F.col("order"), F.col("hit"))
     # a card's number is one thing even if its checksum fails
     whole = F.when(F.col("order") == CARD, F.length(_digits(F.col("hit"))).between(12, 19)).otherwise(F.col("base"))
-    found = found.select("row", "order", "hit", "left", (until - F.col("size")).alias("start"), until.alias("end"), base.alias("base"))
+    found = found.select("row", "order", "hit", "left", "right", (until - F.col("size")).alias("start"), until.alias("end"), base.alias("base"))
     found = found.withColumn("whole", whole).withColumn("token", F.col("order") == TOKEN).filter("whole or token")
     inner = F.regexp_replace("hit", f"^[{_OPENERS}]+", "")
     entity = F.when(F.col("token"), F.regexp_replace(inner, r"[\"')>\]}.,;:!?#*]+$", "")).otherwise(F.col("hit"))
@@ -138,12 +143,14 @@ def _scan(df: DataFrame, text: str, kept: list[str], shared: Shared) -> tuple[Da
     unbroken = (F.coalesce("reached", F.lit(0)) <= F.col("start")) & (F.coalesce("reach", F.lit(0)) <= F.col("end"))
     same = F.col("in").isNotNull() & (F.col("mate.from") == F.col("start")) & (F.col("mate.to") == F.col("end"))
     alone = F.col("base") | ((F.coalesce("taken", F.lit(0)) <= F.col("start")) & (F.coalesce(F.col("next"), F.col("end")) >= F.col("end")))
-    near = (F.col("left") != "") & F.when(F.col("token"), unbroken).otherwise(~same & alone)
+    own = F.when(F.col("token"), unbroken).otherwise(~same & alone)
     order = F.when(F.col("token"), F.col("first.order")).when(F.col("base"), F.col("order"))
     kind = F.get(F.array(*[F.lit(k) for k in KINDS]), order)
     shape = F.regexp_replace(F.regexp_replace("entity", "[0-9]+", "9"), "[A-Za-z]+", "a")
-    found = found.select("row", F.col("from").alias("start"), F.col("to").alias("end"), "order", "base", near.alias("near"), "entity", F.concat_ws(" ", "left", shape).alias("pattern"), kind.alias("kind"))
-    return rows.drop("hits"), shared.table(found.filter("base or near"))
+    after = F.when(own & (F.col("right") != ""), F.concat_ws(" ", F.lit(""), "right", shape))
+    near = (own & (F.col("left") != "")).alias("near")
+    found = found.select("row", F.col("from").alias("start"), F.col("to").alias("end"), "order", "base", near, "entity", F.concat_ws(" ", "left", shape).alias("pattern"), after.alias("after"), kind.alias("kind"))
+    return rows.drop("hits"), shared.table(found.filter("base or near or after is not null"))
 
 
 def induce(edges: DataFrame, rounds: int | None = None, least_known: int = 3, least_share: float = 0.8, shared: Shared | None = None) -> DataFrame:
@@ -180,10 +187,12 @@ def induce(edges: DataFrame, rounds: int | None = None, least_known: int = 3, le
 
 def _spans(found: DataFrame, rounds: int | None, shared: Shared) -> DataFrame:
     """(row, base, s): spans as (start, order, end, kind), those of the fixed patterns and those that accepted contexts add."""
-    near = found.filter("near")
+    sides = F.array_compact(F.array(F.when(F.col("near"), F.col("pattern")), F.col("after")))
+    near = found.select("row", "start", "end", "entity", "kind", F.explode(sides).alias("pattern"))
     edges = shared.table(near.groupBy("pattern", "entity").agg(F.max("kind").alias("kind")))
     accepted = induce(edges, rounds, shared=shared).withColumnRenamed("kind", "found")
-    more = near.filter("kind is null and entity != ''").join(accepted.select("pattern", "found"), "pattern")
+    more = near.filter("kind is null and entity != ''").join(accepted, "pattern")
+    more = more.groupBy("row", "start", "end").agg(F.max_by("found", F.struct("score", "found")).alias("found"))
     order = F.array_position(F.lit(list(KINDS)), F.col("found")).cast("int") - 1
     more = more.select("row", F.lit(False).alias("base"), F.struct("start", order.alias("order"), "end", F.col("found").alias("kind")).alias("s"))
     kind = F.get(F.array(*[F.lit(k) for k in KINDS]), F.col("order"))
