@@ -157,6 +157,16 @@ def test_repeated_words(spark):
     assert sum(r[1] for r in brute.windows(rows).values()) > 100
 
 
+@pytest.mark.parametrize("hot", [1 << 16, 1])
+def test_a_string_at_one_start_in_rows_of_one_id_is_earlier_in_neither(spark, hot):
+    rng = random.Random(8)
+    x, y, z = ("".join(rng.choice("abcdefgh") for _ in range(n)) for n in (180, 150, 150))
+    rows = [(7, x), (7, x), (7, x + y), (None, y), (None, y), (9, x), (7, z + x)]
+    got = suffix_dedup.dedup(spark.createDataFrame(rows, SCHEMA), 100, hot_places=hot).collect()
+    spans = [(7, 180, []), (7, 180, []), (7, 330, [180, 330]), (7, 330, [150, 330]), (9, 180, [0, 180]), (None, 150, []), (None, 150, [])]
+    assert sorted((str(r.doc_id), r.n_bytes, r.spans) for r in got) == sorted((str(d), n, s) for d, n, s in spans)
+
+
 def test_words_of_odd_tables(spark):
     assert substring.dedup(spark.createDataFrame([], SCHEMA)).collect() == []
     text = " ".join(f"v{i}" for i in range(20))
@@ -167,6 +177,22 @@ def test_words_of_odd_tables(spark):
         substring.dedup(rows, 1)
 
 
+@pytest.mark.parametrize("hot", [1 << 16, 1])
+def test_each_read_of_a_chunk_gives_its_rows_in_another_order(spark, monkeypatch, hot):
+    """As reads of a shuffle from several executors do."""
+
+    def stirred(f, seed):
+        stir = lambda table: table.take(np.random.default_rng(seed).permutation(table.num_rows))
+        return (lambda table, notes: f(stir(table), notes)) if seed else lambda table: f(stir(table))
+
+    ask, tell = suffix_dedup.X.ask, suffix_dedup.X.tell
+    monkeypatch.setattr(suffix_dedup.X, "ask", lambda docs, f, answer, replies=None: ask(docs, stirred(f, int(replies is not None)), answer, replies))
+    monkeypatch.setattr(suffix_dedup.X, "tell", lambda docs, replies, f, schema: tell(docs, replies, stirred(f, 2), schema))
+    rows = passages()
+    got = {r.doc_id: r for r in suffix_dedup.dedup(spark.createDataFrame(rows, SCHEMA), 100, hot_places=hot).collect()}
+    assert {d: (r.n_bytes, r.n_bytes - len(r.kept), len(r.spans) // 2, brute.sha(bytes(r.kept))) for d, r in got.items()} == brute.repeats(rows)
+
+
 def test_long_text(spark):
     text = " ".join(f"t{i % 5000}" for i in range(60_000))
     rows = [(1, text), (2, text + " end")]

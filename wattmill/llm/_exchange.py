@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,11 @@ def chunked(df: DataFrame, n: int, key: str, text: str, *more: Column) -> DataFr
     return df.select(chunk_of(key, text, n).alias("chunk"), F.col(key).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"), *more)
 
 
+def in_order(table: pa.Table) -> pa.Table:
+    """A chunk's rows by id and text. Each read of a shuffle may give them in another order, so whatever is sent in the order of rows needs this."""
+    return table.take(pc.sort_indices(table, sort_keys=[("doc_id", "ascending"), ("text", "ascending")])) if table.num_rows > 1 else table
+
+
 def order_ids(table: pa.Table) -> np.ndarray:
     """Ids as integers; null as the least."""
     return table["doc_id"].fill_null(-(1 << 63)).to_numpy()
